@@ -1,0 +1,42 @@
+import os
+import sys
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[8]").appName("cohortweave-tests")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+LONG = "sample_ID string, data_type string, phenotype string, value string, occurrence_date string"
+
+
+@pytest.fixture
+def long_of(spark):
+    """Build a long table from tuples; `source` is added when the tuples have a sixth item."""
+    def make(rows):
+        rows = list(rows)
+        schema = LONG + (", source string" if rows and len(rows[0]) == 6 else "")
+        return spark.createDataFrame(rows, schema)
+
+    return make
+
+
+def by_sample(df, column=None):
+    """{sample_ID: value} of the only (or the named) value column."""
+    column = column or next(c for c in df.columns if c != "sample_ID")
+    return {r["sample_ID"]: r[column] for r in df.collect()}
