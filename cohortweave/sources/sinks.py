@@ -10,7 +10,9 @@ def _save(df: DataFrame, path: str, format: str, mode: str, partition_by: list[s
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if format == "tsv":
-        writer.csv(path, sep="\t", header=True, quote='"', escape='"')
+        # The writer would trim text by default.
+        writer.csv(path, sep="\t", header=True, quote='"', escape='"',
+                   ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     else:
         writer.format(format).save(path)
 
