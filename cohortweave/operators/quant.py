@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import as_date, as_number
-from cohortweave.operators.quantiles import LARGE_GROUP, column_quantiles, exact_quantiles, large_groups
-from cohortweave.runtime import quoted
+from cohortweave.operators.quantiles import LARGE_GROUP, column_quantiles, exact_quantiles, group_sizes, large_groups
+from cohortweave.runtime import quoted, settle
 
 DEFAULT_STATS = ("mean", "median", "std")
 STATS = ("mean", "median", "std", "min", "max", "count", "squared", "first", "last")
@@ -46,7 +46,7 @@ def sample_stats(long: DataFrame, stats: Iterable[str], keys: Iterable[str] = ("
     """(*keys, n, one column per statistic) over numeric values.
 
     All statistics but the median have a constant-size state. The median goes through the built-in
-    percentile for ordinary groups; groups above `large_group` values are selected by
+    percentile for groups up to `large_group` rows; larger ones, if there are any, are selected by
     `exact_quantiles`, so that no task ever holds all values of a huge sample.
     """
     keys, stats = list(keys), list(stats)
@@ -60,12 +60,15 @@ def sample_stats(long: DataFrame, stats: Iterable[str], keys: Iterable[str] = ("
     if "median" not in stats:
         return rows.groupBy(*keys).agg(*plain)
 
-    # At most one key per `large_group` rows, usually none: small enough to broadcast by its definition.
-    large = F.broadcast(large_groups(rows, keys, v, large_group))
+    median = F.percentile(v, 0.5).alias("median")
+    sizes = group_sizes(rows, keys, large_group)
     columns = [*keys, "n", *stats]
-    ordinary = rows.join(large, keys, "left_anti").groupBy(*keys).agg(*plain, F.percentile(v, 0.5).alias("median"))
+    if sizes.large_groups == 0:
+        return rows.groupBy(*keys).agg(*plain, median).select(*columns)
+    large = large_groups(rows, keys, sizes, large_group)
+    ordinary = rows.join(large, keys, "left_anti").groupBy(*keys).agg(*plain, median)
     huge = rows.join(large, keys, "left_semi")
-    medians = exact_quantiles(huge, keys, v, [0.5]).select(*keys, F.get("quantiles", F.lit(0)).alias("median"))
+    medians = exact_quantiles(huge, keys, v, [0.5], sizes).select(*keys, F.get("quantiles", F.lit(0)).alias("median"))
     return ordinary.select(*columns).unionByName(
         huge.groupBy(*keys).agg(*plain).join(medians, keys).select(*columns))
 
@@ -102,8 +105,10 @@ def quantile_bins(df: DataFrame, source_col: str, q: int, output_col: str) -> Da
 def quantile_bins_batch(df: DataFrame, wanted: dict[str, tuple[int, str]]) -> DataFrame:
     """Bins of several columns; their edges come from one selection over all of them.
 
-    The edges are one row, read as a scalar subquery: no join and no shuffle of the table.
+    The table is settled, being read for the edges and for the bins. The edges are one row, used as
+    a scalar subquery: no join and no shuffle of the table.
     """
+    df = settle(df)
     edges = column_quantiles(df, {name: bin_edges(q) for name, (q, _) in wanted.items()})
     edges = edges.select(F.struct(*[F.col(quoted(n)).alias(f"c{i}") for i, n in enumerate(wanted)]).alias("edges"))
     out = df.withColumn("_edges", edges.scalar())

@@ -1,135 +1,150 @@
 """Exact quantiles that stay distributed when one group holds most of the rows.
 
-`percentile` keeps every distinct value of a group in one buffer, which is fine for the few
-observations of a sample and not for a phenotype measured billions of times. For large groups the
-quantile is selected instead:
-
-1. count equal values (combined on the map side), spread by (group, value);
-2. sum the counts into buckets. A bucket is a fixed function of the value (its power of two cut in
-   4096 parts), so the number of buckets of a group is bounded whatever the data, and recomputing
-   a lost task can never assign a value differently;
-3. a running total over the buckets tells which of them hold the wanted ranks;
-4. only the values of those buckets are ranked, and the neighbouring two are interpolated.
+`percentile` keeps every distinct value of a group in one buffer. That is the fast way for groups
+known to be small, and no way for a phenotype measured billions of times. Group sizes are therefore
+looked at first (a count over the key columns); beyond LARGE_GROUP the quantile is selected instead:
+
+1. count the values per bucket. A bucket is a fixed function of the value (its power of two cut in
+   4096 parts), so a group has a bounded number of them whatever the data, the counts are combined
+   on the map side, and a task that is run again assigns every value as before;
+2. a running total over the buckets tells which of them hold the wanted ranks;
+3. only the values of those buckets are fetched, equal ones combined, and ranked; the two
+   neighbours of the wanted position are interpolated.
+
+Both passes read the needed columns only and shuffle counts and a sliver of the values, never the
+data.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import as_number
+from cohortweave.runtime import BROADCAST_ROWS, lookup, quoted
 
 PARTS_PER_OCTAVE = 4096
-_EXPONENT_SHIFT = 1100  # makes every exponent of a double positive
-_INFINITE = 1 << 40
+EXPONENT_SHIFT = 1100  # makes every exponent of a double positive
+INFINITE = 1 << 40
 
 # Groups up to this many values go through the built-in percentile.
 LARGE_GROUP = 1_000_000
 
 
-def value_bucket(value: Column) -> Column:
-    """An order-preserving bucket number for a double."""
-    size = F.abs(value)
-    exponent = F.floor(F.log2(size))
-    part = F.floor((size / F.pow(F.lit(2.0), exponent) - 1) * PARTS_PER_OCTAVE)
-    number = (exponent + _EXPONENT_SHIFT) * PARTS_PER_OCTAVE + part
-    return (
-        F.when(value == 0, F.lit(0))
-        .when(value == float("inf"), F.lit(_INFINITE))
-        .when(value == float("-inf"), F.lit(-_INFINITE))
-        .when(value > 0, number)
-        .otherwise(-number)
-        .cast("bigint")
-    )
+@dataclass(frozen=True)
+class GroupSizes:
+    """What is known about the groups of a table before choosing a plan for them."""
+
+    groups: int
+    large_groups: int
+
+    @property
+    def few(self) -> bool:
+        """One row per group may be broadcast."""
+        return self.groups <= BROADCAST_ROWS
+
+
+def group_sizes(df: DataFrame, keys: Sequence[str], limit: int = LARGE_GROUP) -> GroupSizes:
+    """Count the groups, and those with more than `limit` rows. Reads the key columns only."""
+    sizes = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
+    return GroupSizes(*sizes.agg(F.count("_size"), F.count(F.when(F.col("_size") > limit, 1))).first())
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float]) -> DataFrame:
+def value_bucket(name: str) -> str:
+    """SQL text: an order-preserving bucket number for a double column."""
+    exponent = f"floor(log2(abs({name})))"
+    part = f"floor((abs({name}) / pow(2d, {exponent}) - 1) * {PARTS_PER_OCTAVE})"
+    number = f"(({exponent} + {EXPONENT_SHIFT}) * {PARTS_PER_OCTAVE} + {part})"
+    return f"""CAST(CASE WHEN {name} = 0 THEN 0
+        WHEN {name} = double('infinity') THEN {INFINITE} WHEN {name} = double('-infinity') THEN -{INFINITE}
+        WHEN {name} > 0 THEN {number} ELSE -{number} END AS BIGINT)"""
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float],
+                    sizes: GroupSizes) -> DataFrame:
     """Linear-interpolated quantiles per group: (*keys, n, quantiles array<double>).
 
     Null values and rows with a null key are left out; a group without values gives no row.
     """
     keys = list(keys)
-    present = df.select(*keys, value.alias("_v")).where(F.col("_v").isNotNull())
-    for key in keys:
-        present = present.where(F.col(key).isNotNull())
-    if not keys:
-        # One group: a constant key keeps the windows below partitioned.
-        present, keys = present.withColumn("_all", F.lit(1)), ["_all"]
+    present = df.select(*keys, value.alias("_v")).dropna(subset=[*keys, "_v"])
+    if sizes.large_groups == 0:
+        found = present.groupBy(*keys).agg(
+            F.count("_v").alias("n"), F.percentile("_v", [float(p) for p in probabilities]).alias("quantiles"))
+        return found.where(F.col("n") > 0)
+    return _select_quantiles(present, keys, probabilities, sizes.few)
+
+
+def _select_quantiles(present: DataFrame, keys: list[str], probabilities: Sequence[float], few: bool) -> DataFrame:
+    present = present.withColumn("_bucket", F.expr(value_bucket("_v")))
 
-    counted = present.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_w"))
-    counted = counted.withColumn("_bucket", value_bucket(F.col("_v")))
+    position = [f"({float(p)!r}d * (_n - 1))" for p in probabilities]
+    low = [f"CAST(floor({p}) AS BIGINT)" for p in position]
+    high = [f"CAST(ceil({p}) AS BIGINT)" for p in position]
+    ranks = ", ".join(dict.fromkeys(low + high))
 
     group = W.partitionBy(*keys)
     so_far = group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranks = F.array(*[_rank(p, F.col("_n"), edge) for p in probabilities for edge in (F.floor, F.ceil)])
     wanted = (
-        counted.groupBy(*keys, "_bucket").agg(F.sum("_w").alias("_bw"))
-        .withColumn("_n", F.sum("_bw").over(group))
-        .withColumn("_start", F.sum("_bw").over(so_far) - F.col("_bw"))
-        .where(F.exists(ranks, lambda r: (r >= F.col("_start")) & (r < F.col("_start") + F.col("_bw"))))
-        .select(*keys, "_bucket", "_n", "_start")
+        present.groupBy(*keys, "_bucket").agg(F.count("_v").alias("_size"))
+        .withColumns({"_n": F.sum("_size").over(group), "_end": F.sum("_size").over(so_far)})
+        .where(f"exists(array({ranks}), r -> r >= _end - _size AND r < _end)")
+        .selectExpr(*[quoted(k) for k in keys], "_bucket", "_n", "_end - _size AS _start")
     )
 
     inside = W.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = (
-        counted.join(wanted, [*keys, "_bucket"])
-        .withColumn("_end", F.col("_start") + F.sum("_w").over(inside))
+        present.join(lookup(wanted, few), [*keys, "_bucket"])
+        .groupBy(*keys, "_bucket", "_n", "_start", "_v").agg(F.count("_v").alias("_w"))
+        .withColumn("_end", F.sum("_w").over(inside) + F.col("_start"))
     )
-    covers = lambda rank: (rank >= F.col("_end") - F.col("_w")) & (rank < F.col("_end"))
-    picked = ranked.groupBy(*keys).agg(
-        F.max("_n").alias("_n"),
-        *[
-            F.max(F.when(covers(_rank(p, F.col("_n"), edge)), F.col("_v"))).alias(f"_{side}{i}")
-            for i, p in enumerate(probabilities)
-            for side, edge in (("lo", F.floor), ("hi", F.ceil))
-        ],
-    )
-    quantiles = F.array(*[
-        _between(F.col(f"_lo{i}"), F.col(f"_hi{i}"), _position(p, F.col("_n"))) for i, p in enumerate(probabilities)
-    ])
-    kept = [k for k in keys if k != "_all"]
-    return picked.select(*kept, F.col("_n").alias("n"), quantiles.alias("quantiles"))
-
-
-def _position(p: float, n: Column) -> Column:
-    return F.lit(float(p)) * (n - 1)
-
-
-def _rank(p: float, n: Column, edge) -> Column:
-    return edge(_position(p, n)).cast("bigint")
-
-
-def _between(low: Column, high: Column, position: Column) -> Column:
+    picks = [
+        F.expr(f"max(CASE WHEN {rank} >= _end - _w AND {rank} < _end THEN _v END) AS {side}{i}")
+        for i, pair in enumerate(zip(low, high)) for side, rank in zip(("_lo", "_hi"), pair)
+    ]
     # Equal neighbours are returned untouched, so ties with data values stay exact.
-    return F.when(low == high, low).otherwise(low + (high - low) * (position - F.floor(position)))
+    values = ", ".join(
+        f"CASE WHEN _lo{i} = _hi{i} THEN _lo{i} ELSE _lo{i} + (_hi{i} - _lo{i}) * ({p} - floor({p})) END"
+        for i, p in enumerate(position))
+    return ranked.groupBy(*keys, "_n").agg(*picks).selectExpr(
+        *[quoted(k) for k in keys], "_n AS n", f"array({values}) AS quantiles")
 
 
-def large_groups(df: DataFrame, keys: Sequence[str], value: Column, limit: int = LARGE_GROUP) -> DataFrame:
-    """Keys of groups with more than `limit` values: at most one per `limit` input rows."""
-    return (
-        df.groupBy(*keys).agg(F.count(value).alias("_size"))
+def large_groups(df: DataFrame, keys: Sequence[str], sizes: GroupSizes, limit: int = LARGE_GROUP) -> DataFrame:
+    """Keys of the groups with more than `limit` rows."""
+    found = (
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
         .where(F.col("_size") > limit).select(*keys)
     )
+    return lookup(found, sizes.large_groups <= BROADCAST_ROWS)
 
 
-def column_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> DataFrame:
+def column_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], limit: int = LARGE_GROUP) -> DataFrame:
     """Quantiles of whole columns in one row: a struct (n, q) per column.
 
-    All columns are unpivoted and selected together, so the table is not read once per column.
+    A table with many rows has its columns unpivoted and selected together, so it is not read once
+    per column. Settle `df` first where it is costly to compute: it is read more than once.
     """
     names = list(wanted)
+    if df.count() <= limit:
+        return df.agg(*[
+            F.struct(F.count(as_number(df, name)).alias("n"),
+                     F.percentile(as_number(df, name), [float(p) for p in wanted[name]]).alias("q")).alias(name)
+            for name in names
+        ])
     probabilities = sorted({float(p) for ps in wanted.values() for p in ps})
     cells = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), as_number(df, name).alias("_x")) for i, name in enumerate(names)
     ])).alias("_cell")).select("_cell.*")
-    found = exact_quantiles(cells, ["_c"], F.col("_x"), probabilities)
-    return found.groupBy().agg(*[
-        F.max(F.when(F.col("_c") == i, F.struct(
-            F.col("n"),
-            F.array(*[F.get("quantiles", F.lit(probabilities.index(float(p)))) for p in wanted[name]]).alias("q"),
-        ))).alias(name)
-        for i, name in enumerate(names)
-    ])
+    found = exact_quantiles(cells, ["_c"], F.col("_x"), probabilities, GroupSizes(len(names), len(names)))
+
+    def own(i, name):
+        places = ", ".join(f"get(quantiles, {probabilities.index(float(p))})" for p in wanted[name])
+        cell = f"named_struct('n', n, 'q', array({places}))"
+        return F.expr(f"max(CASE WHEN _c = {i} THEN {cell} END)").alias(name)
+
+    return found.groupBy().agg(*[own(i, name) for i, name in enumerate(names)])

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from cohortweave.functions.values import as_number
 from cohortweave.operators.quant import bin_edges, bin_number
 from cohortweave.operators.quantiles import column_quantiles
+from cohortweave.runtime import settle
 
 log = logging.getLogger(__name__)
 
@@ -149,10 +150,11 @@ def risk_matrix(wide: DataFrame, rules: Iterable[RiskRule]) -> DataFrame:
     """(sample_ID, one class column per rule). Rules on absent columns are skipped.
 
     The cutoffs of all rules are selected together, then one projection classifies every sample;
-    the table itself is never shuffled.
+    the table itself is never shuffled. It is settled first when cutoffs have to be found in it.
     """
     rules = _usable(wide, rules)
     cut = _Cutoffs(rules)
+    wide = settle(wide) if cut.wanted else wide
     return cut.attach(wide, wide).select("sample_ID", *[
         _classified(rule, as_number(wide, rule.source_col), cut).alias(rule.output_col) for rule in rules])
 
@@ -161,6 +163,7 @@ def risk_report(wide: DataFrame, rules: Iterable[RiskRule]) -> DataFrame:
     """Cutoffs and class counts: (output_col, method, stat, entry, label, value)."""
     rules = _usable(wide, rules)
     cut = _Cutoffs(rules)
+    wide = settle(wide) if cut.wanted else wide
     classed = cut.attach(wide, wide).select(*[
         c for i, rule in enumerate(rules) for c in (
             as_number(wide, rule.source_col).alias(f"x{i}"),

@@ -32,22 +32,24 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write `df` to reliable storage once, so that several readers share one computation
-    and a lost executor costs a re-read, not a re-run."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """Write `df` to the shared folder once and read it from there.
 
-
-def lookup_side(df: DataFrame, known_rows: int | None = None) -> DataFrame:
-    """Prepare the small side of a lookup join.
-
-    With a row bound known to the caller nothing runs here. Otherwise the table is settled and
-    counted: up to BROADCAST_ROWS rows it is broadcast, beyond that it is joined by shuffle.
+    Several readers then share one computation, reading only the columns they need, the optimizer
+    knows the size, and a lost executor costs a re-read instead of a re-run.
     """
-    if known_rows is not None:
-        return F.broadcast(df) if known_rows <= BROADCAST_ROWS else df
-    settled = settle(df)
-    return F.broadcast(settled) if settled.count() <= BROADCAST_ROWS else settled
+    if getattr(df, "_settled", False):
+        return df
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    done = df.sparkSession.read.schema(df.schema).parquet(path)
+    done._settled = True
+    return done
+
+
+def lookup(df: DataFrame, few: bool) -> DataFrame:
+    """The side of a join that holds one row per group: broadcast when the groups are known to be
+    few, joined by shuffle otherwise."""
+    return F.broadcast(df) if few else df
 
 
 def local_table(spark: SparkSession, columns: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:

@@ -5,9 +5,10 @@ from pyspark.sql import functions as F
 from cohortweave.operators.clean import outlier_filter
 from cohortweave.operators.coded import CodedDefinition, CodeSource
 from cohortweave.operators.mask import EventDefinition
-from cohortweave.operators.quant import quantitative_summary
+from cohortweave.operators.quant import quantile_bins, quantitative_summary
 from cohortweave.operators.risk import RiskRule, risk_matrix
 from cohortweave.plans.cohort import run_cohort
+from cohortweave.runtime import settle
 from workload.base import CODES, EVENTS, ORDERS, PRIORITY, code_records, long_events, query, rounded, table
 from workload.codes import verdict_sql
 
@@ -88,7 +89,8 @@ def _run_cohort(spark, sf_dir):
 def flagship(spark, sf_dir):
     """Cap outliers per event type, summarise per user, bin the means and flag the top decile."""
     clean = outlier_filter(long_events(spark, sf_dir))
-    summary = quantitative_summary(clean, "activity", ["mean", "median", "std", "count"], qcut_bins=4)
+    summary = settle(quantitative_summary(clean, "activity", ["mean", "median", "std", "count"]))
+    binned = quantile_bins(summary, "activity_mean", 4, "activity_bin")
     risk = risk_matrix(summary, [RiskRule("percentile", "activity_mean", "activity_risk", high=90)])
-    shown = summary.withColumns({f"activity_{s}": rounded(f"activity_{s}") for s in ("mean", "median", "std")})
+    shown = binned.withColumns({f"activity_{s}": rounded(f"activity_{s}") for s in ("mean", "median", "std")})
     return shown.join(risk, "sample_ID")
