@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from cohortweave.functions.values import as_number
 from cohortweave.operators.quantiles import GroupSizes, exact_quantiles, group_sizes
-from cohortweave.runtime import lookup
+from cohortweave.runtime import lookup, settle
 
 
 @dataclass(frozen=True)
@@ -60,7 +60,8 @@ def _with_fences(long: DataFrame, rule: OutlierRule, phenotypes: list[str] | Non
     """Each row with `_old` and `_new` numbers and `_hit`, true where its phenotype has fences."""
     sizes = phenotype_sizes(long, phenotypes)
     fences = outlier_fences(long, rule, phenotypes, sizes).select("phenotype", "lo", "hi", F.lit(True).alias("_fenced"))
-    rows = long.join(lookup(fences, sizes.few), "phenotype", "left")
+    # Settled: a few rows, needed by every later job on the cleaned values.
+    rows = long.join(lookup(settle(fences), sizes.few), "phenotype", "left")
     value, lo, hi = as_number(long, "value"), F.col("lo"), F.col("hi")
     if rule.mode == "cap":
         # least and greatest skip nulls: a missing bound does not clip, a missing value must stay missing.
@@ -110,7 +111,7 @@ def outlier_filter_batch(long: DataFrame, rules: dict[str, OutlierRule]) -> Data
     new = F.when(F.col("_mode") == "cap", F.when(value.isNotNull(), F.least(F.greatest(value, lo), hi))).otherwise(
         F.when((value >= lo) & (value <= hi), value))
     hit = _targets(long, None) & F.col("_mode").isNotNull()
-    rows = long.join(lookup(fences, sizes.few), "phenotype", "left")
+    rows = long.join(lookup(settle(fences), sizes.few), "phenotype", "left")
     return rows.withColumn(
         "value", F.when(hit, _same_type(long, new)).otherwise(F.col("value"))).select(*long.columns)
 
@@ -132,7 +133,7 @@ def scale_filter(long: DataFrame, method: str = "zscore", phenotypes: list[str]
         (F.col("mean") if method == "zscore" else F.col("lo")).alias("_shift"),
         (F.col("sd") if method == "zscore" else F.col("hi") - F.col("lo")).alias("_unit"),
     )
-    rows = long.join(lookup(stats, phenotype_sizes(long, phenotypes).few), "phenotype", "left")
+    rows = long.join(lookup(settle(stats), phenotype_sizes(long, phenotypes).few), "phenotype", "left")
     shifted = as_number(long, "value") - F.col("_shift")
     scaled = F.when(F.col("_unit") > 0, shifted / F.col("_unit")).otherwise(shifted)
     hit = _targets(long, phenotypes) & F.col("_shift").isNotNull()

@@ -61,7 +61,7 @@ def sample_stats(long: DataFrame, stats: Iterable[str], keys: Iterable[str] = ("
         return rows.groupBy(*keys).agg(*plain)
 
     median = F.percentile(v, 0.5).alias("median")
-    sizes = group_sizes(rows, keys, large_group)
+    sizes = group_sizes(long, keys, large_group)
     columns = [*keys, "n", *stats]
     if sizes.large_groups == 0:
         return rows.groupBy(*keys).agg(*plain, median).select(*columns)

@@ -1,0 +1,186 @@
+import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from cohortweave.functions.globs import glob_to_regex, matches_any_glob
+from cohortweave.functions.values import NA_TOKENS, as_date, as_number, normalize_nulls
+from cohortweave.operators import long as L
+from cohortweave.operators.report import phenotype_report
+from cohortweave.sources.delimited import resolve_separator, scan_delimited, scan_long, scan_roster
+from cohortweave.sources.sinks import write_chunks, write_long, write_wide
+
+LIPIDS = [("P001", "55", "HDL", "2020-01-01"), ("P002", "60", "HDL", "2020-01-01"), ("P003", "48", "HDL", "2020-01-02"),
+          ("P004", "51", "HDL", "2020-01-02"), ("P001", "120", "LDL", "2020-01-01"), ("P002", "98", "LDL", "2020-01-01"),
+          ("P003", "130", "LDL", "2020-01-02"), ("P004", "101", "LDL", "2020-01-02"), ("P001", "150", "TG", "2020-01-01")]
+CODES = [("P001", "N80.0", "ICD10", "2019-01-01"), ("P001", "E11.9", "ICD10", "2019-02-01"),
+         ("P002", "E11.9", "ICD10", "2019-03-01"), ("P002", "I11.9", "ICD10", None), ("P003", "N80.0", "ICD10", "2019-04-01"),
+         ("P003", "N80.0", "ICD10", "2020-04-01"), ("P004", "617", "ICD9", "2019-05-01"), ("P005", None, "ICD10", "2019-05-01")]
+
+
+@pytest.fixture
+def lipids(spark):
+    return spark.createDataFrame(LIPIDS, "id string, result string, kind string, day string")
+
+
+@pytest.fixture
+def codes(spark):
+    return spark.createDataFrame(CODES, "id string, code string, vocabulary string, day string")
+
+
+@pytest.mark.parametrize("sep, path, expected", [
+    ("tsv", None, ("\t", False)), ("tab", None, ("\t", False)), ("csv", None, (",", False)), ("comma", None, (",", False)),
+    ("pipe", None, ("|", False)), ("space", None, (" ", False)), ("whitespace", None, (r"\s+", True)),
+    (r"\t", None, ("\t", False)), (r"\s+", None, (r"\s+", True)), (";", None, (";", False)), ("::", None, ("::", True)),
+    (None, "a.tsv", ("\t", False)), (None, "a.TXT", ("\t", False)), (None, "a.csv", (",", False)),
+    (None, "a.dat", (",", False)), (None, None, (",", False)), ("pipe", "a.tsv", ("|", False)),
+])
+def test_separator(sep, path, expected):
+    assert resolve_separator(sep, path) == expected
+
+
+def test_scan_keeps_text_and_nulls_every_missing_token(spark, tmp_path):
+    path = tmp_path / "t.tsv"
+    lines = ["id\tvalue", "0012\t1.50", 'q\t"a ""b"" c"', *[f"x{i}\t{t}" for i, t in enumerate(NA_TOKENS)]]
+    path.write_text("\n".join(lines) + "\n")
+    rows = {r.id: r.value for r in scan_delimited(spark, str(path)).collect()}
+    assert rows["0012"] == "1.50"
+    assert rows["q"] == 'a "b" c'
+    assert all(rows[f"x{i}"] is None for i in range(len(NA_TOKENS)))
+
+
+def test_scan_by_regular_expression(spark, tmp_path):
+    blanks, colons = tmp_path / "w.txt", tmp_path / "c.dat"
+    blanks.write_text("  id   value\n a  1\nb\t 2\n  id   value\n")
+    colons.write_text("id::value\na::1\nb::NA\n")
+    assert sorted(map(tuple, scan_delimited(spark, str(blanks), "whitespace").collect())) == [
+        ("a", "1"), ("b", "2"), ("id", "value")]
+    assert sorted(map(tuple, scan_delimited(spark, str(colons), "::").collect())) == [("a", "1"), ("b", None)]
+
+
+def test_scan_long_accepts_a_partial_table(spark, tmp_path):
+    path = tmp_path / "long.tsv"
+    path.write_text("sample_ID\tphenotype\tvalue\textra\nP1\tBMI\t22.5\tz\n")
+    row = scan_long(spark, str(path)).first()
+    assert (row.sample_ID, row.phenotype, row.value, row.data_type, row.occurrence_date, row.extra) == (
+        "P1", "BMI", "22.5", None, None, "z")
+
+
+def test_roster_is_trimmed_and_distinct(spark, tmp_path):
+    path = tmp_path / "samples.txt"
+    path.write_text(" P1 \n\nP2\n   \nP1\n")
+    assert sorted(r[0] for r in scan_roster(spark, str(path)).collect()) == ["P1", "P2"]
+
+
+def test_sinks_round_trip(spark, long_of, tmp_path):
+    rows = [("P1", "coded", "A/B", "A/B", "2020-01-01"), ("P2", "coded", " x ", " x ", None)]
+    write_long(long_of(rows), str(tmp_path / "long"))
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "long")).collect())) == sorted(rows)
+    write_wide(long_of(rows), str(tmp_path / "wide.tsv"))
+    assert sorted(map(tuple, scan_delimited(spark, str(tmp_path / "wide.tsv")).collect())) == sorted(rows)
+    write_chunks(long_of(rows).withColumn("chunk_id", F.col("sample_ID")), str(tmp_path / "chunks"))
+    assert (tmp_path / "chunks" / "chunk_id=P1").is_dir()
+
+
+@pytest.mark.parametrize("pattern, matching, other", [
+    ("*DL", ["HDL", "LDL", "DL"], ["TG", "hdl", "DLX"]), ("?DL", ["HDL"], ["DL", "XXDL"]), ("E1[0-3].*", ["E11.9"], ["E14.1"]),
+    ("[!E]11", ["X11"], ["E11"]), ("a[]]b", ["a]b"], ["ab"]), ("a[b", ["a[b"], ["ab"]), ("x[a^]", ["x^", "xa"], ["xb"]),
+    ("x[!]]", ["xa"], ["x]"]), ("a.b*", ["a.bc", "a.b"], ["axb"]), ("", [""], ["a"]), ("*", ["", "a\nb"], []),
+    ("a\\b[\\]", ["a\\b\\"], ["ab"]), ("x[b-a]", [], ["xa", "xb"]), ("a(b)|c?", ["a(b)|cd"], ["ab"]),
+])
+def test_globs(spark, pattern, matching, other):
+    df = spark.createDataFrame([(t,) for t in matching + other], "t string")
+    assert sorted(r.t for r in df.where(matches_any_glob(F.col("t"), [pattern])).collect()) == sorted(matching)
+
+
+def test_glob_agrees_with_the_standard_library(spark):
+    import fnmatch
+    import itertools
+
+    alphabet = ["a", "b", "*", "?", "[", "]", "!", "-"]
+    texts = ["", "a", "b", "ab", "a-b", "]", "[a]", "!", "ba", "a\n", "-"]
+    patterns = ["".join(p) for n in range(5) for p in itertools.product(alphabet, repeat=n)][::7]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    tests = [F.col("t").rlike(glob_to_regex(p)) for p in patterns]
+    for row in df.select("t", F.array(*tests).alias("hits")).collect():
+        expected = [fnmatch.fnmatchcase(row.t, p) for p in patterns]
+        assert row.hits == expected, [(p, h) for p, h, e in zip(patterns, row.hits, expected) if h != e][:5]
+
+
+def test_literals_and_prefixes_reach_the_scan(spark, lipids, tmp_path):
+    lipids.write.parquet(str(tmp_path / "p"))
+    df = L.glob_row_filter(spark.read.parquet(str(tmp_path / "p")), {"kind": ["HDL", "TG"], "id": ["P0*"]})
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "In(kind, [HDL,TG])" in plan and "StringStartsWith(id,P0)" in plan
+
+
+def test_row_filter(lipids, codes):
+    assert L.glob_row_filter(lipids, {"kind": ["*DL"]}).count() == 8
+    assert L.glob_row_filter(lipids, {"kind": ["*DL"], "id": ["P001", "P002"]}).count() == 4
+    assert L.glob_row_filter(lipids, {"absent": ["x"]}).count() == 9
+    assert L.glob_row_filter(lipids, {}).count() == 9
+    assert L.glob_row_filter(lipids, {"kind": []}).count() == 0
+    # A null cell compares as the text 'nan'.
+    assert L.glob_row_filter(codes, {"code": ["*"]}).count() == 8
+    assert L.glob_row_filter(codes, {"code": ["n?n"]}).count() == 1
+    assert L.glob_row_filter(codes, {"code": ["N*"]}).count() == 3
+
+
+def test_code_subsample(codes):
+    def found(subsample):
+        return sorted(r.code for r in L.distinct_codes(codes, "code", {"vocabulary": ["ICD10"]}, subsample).collect())
+
+    assert found("all") == ["E11.9", "I11.9", "N80.0"]
+    assert found(["E11.9", "I11"]) == ["E11.9"]
+    assert found(["E11"]) == []
+    assert found(["*.9", "N80.0"]) == ["E11.9", "I11.9", "N80.0"]
+    assert found([]) == []
+
+
+def test_explode_codes(codes):
+    rows = L.explode_codes(codes, value_col="code", sample_id_col="id", date_col="day", reference_date="2024-01-01",
+                           filters={"vocabulary": ["ICD10"]}, allowed=["P002", "P003"]).collect()
+    assert sorted((r.sample_ID, r.phenotype, r.value, r.occurrence_date) for r in rows) == [
+        ("P002", "E11.9", "E11.9", "2019-03-01"), ("P002", "I11.9", "I11.9", "2024-01-01"),
+        ("P003", "N80.0", "N80.0", "2019-04-01"), ("P003", "N80.0", "N80.0", "2020-04-01")]
+
+
+def test_allow_list(lipids):
+    assert L.sample_allow_list(lipids, [], "id").count() == 0
+    assert L.sample_allow_list(lipids, None, "id").count() == 9
+    assert L.sample_allow_list(lipids, ["P001", "P9"], "id").count() == 3
+    assert L.sample_allow_list(lipids, ["P001"], "absent").count() == 9
+
+
+def test_dates(spark, codes):
+    today = L.fill_occurrence_date(codes, run_date=datetime.date(2024, 5, 6)).collect()
+    assert {(r.occurrence_date, r.date_is_synthetic) for r in today} == {("2024-05-06", True)}
+    filled = L.fill_occurrence_date(codes, "day", "2000-01-01").where("code = 'I11.9'").first()
+    assert (filled.occurrence_date, filled.date_is_synthetic) == ("2000-01-01", True)
+    texts = spark.createDataFrame([(t,) for t in (
+        "2022-01-15", " 2022-01-15 ", "2022-01-15 10:30:00", "01/15/2022", "20220115", "soon", "2022-02-30", None)], "t string")
+    day = datetime.date(2022, 1, 15)
+    assert [r[0] for r in texts.select(as_date(texts, "t")).collect()] == [day] * 5 + [None] * 3
+
+
+def test_numbers(spark):
+    texts = ["12", " 12 ", "+5", ".5", "5.", "1e3", "-inf", "1d", "0x10", "1_0", "high", "", "nan", "1,5", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(as_number(df, "t")).collect()] == [
+        12.0, 12.0, 5.0, 0.5, 5.0, 1000.0, float("-inf"), None, None, None, None, None, None, None, None]
+    typed = spark.createDataFrame([(float("nan"), 1), (2.0, None)], "d double, i int")
+    assert [tuple(r) for r in typed.select(as_number(typed, "d"), as_number(typed, "i")).collect()] == [
+        (None, 1.0), (2.0, None)]
+
+
+def test_normalize_only_named_columns(spark):
+    df = spark.createDataFrame([("NA", "NA", 1)], "a string, b string, c int")
+    assert tuple(normalize_nulls(df, ["a", "c"]).first()) == (None, "NA", 1)
+
+
+def test_report(long_of):
+    rows = [("P1", "quantitative", "BMI", "20", None), ("P1", "quantitative", "BMI", "x", None),
+            ("P2", "quantitative", "BMI", "30", None), ("P1", "categorical", "SEX", "f", None)]
+    report = {r.phenotype: r for r in phenotype_report(long_of(rows), {"BMI": ["BMI_mean", "BMI_bin"]}).collect()}
+    assert (report["BMI"].n_rows, report["BMI"].n_numeric, report["BMI"].n_samples) == (3, 2, 2)
+    assert report["BMI"].columns == "BMI_mean, BMI_bin" and report["SEX"].columns is None
