@@ -1,0 +1,122 @@
+import pytest
+from pyspark.sql import functions as F
+
+from cohortweave.operators.coded import CodedDefinition, CodeSource
+from cohortweave.operators.mask import EventDefinition
+from cohortweave.plans.cohort import complete_spec, run_cohort
+
+DAY = "2020-01-01"
+
+
+@pytest.fixture
+def tables(spark):
+    labs = [("P1", "HDL", "50", "2020-01-05"), ("P1", "HDL", "60", "2021-01-01"), ("P2", "HDL", "40", DAY),
+            ("P2", "LDL", "120", DAY), ("P3", "LDL", "NA?", DAY), ("P9", "HDL", "55", DAY)]
+    people = [("P1", "female"), ("P2", "male"), ("P3", "female")]
+    codes = [("P1", "O80.1", DAY), ("P1", "E11.9", DAY), ("P2", "E11.9", DAY), ("P2", "E11.9", "2020-02-01"), ("P2", "E10.1", DAY)]
+    return {
+        "labs": spark.createDataFrame(labs, "pid string, test string, result string, day string"),
+        "people": spark.createDataFrame(people, "pid string, sex string"),
+        "codes": spark.createDataFrame(codes, "pid string, code string, day string"),
+    }
+
+
+def lab(name, **settings):
+    return {"phenotype_name": name, "data_type": "quantitative", "table": "labs", "sample_id_col": "pid", "value_col": "result",
+            "date_col": "day", "filter": {"test": [name]}, "outlier_method": "none", "stats": ["mean"], **settings}
+
+
+SEX = {"phenotype_name": "SEX", "data_type": "categorical", "table": "people", "sample_id_col": "pid", "value_col": "sex",
+       "dictionary": {"male": 0, "female": 1}, "event_mask": ["birth"]}
+DX = {"phenotype_name": "DX", "data_type": "coded", "table": "codes", "sample_id_col": "pid", "value_col": "code", "date_col": "day"}
+BIRTH = [EventDefinition("birth", "DX", ("O80",), -10, 10)]
+
+
+def rows(df):
+    return {r["sample_ID"]: {k: v for k, v in r.asDict().items() if k != "sample_ID"} for r in df.collect()}
+
+
+def test_gathered_matrix(tables):
+    done = run_cohort([lab("HDL"), lab("LDL", stats=["max", "count"]), SEX, DX], tables)
+    wide = rows(done.wide)
+    assert wide["P1"] == {"HDL_mean": 55.0, "LDL_max": None, "LDL_count": None, "SEX": 1, "E10.1": None, "E11.9": 1, "O80.1": 1}
+    assert wide["P9"]["HDL_mean"] == 55.0 and wide["P9"]["SEX"] is None
+    assert set(wide) == {"P1", "P2", "P3", "P9"}
+    assert done.risk is None and done.intervals is None
+    cells = {(r.sample_ID, r.phenotype): r.value for r in done.long.collect()}
+    assert cells["P2", "LDL_max"] == "120.0" and ("P9", "SEX") not in cells
+
+
+def test_masking_is_opt_in_and_needs_dates(tables, caplog):
+    done = run_cohort([lab("HDL", event_mask=["birth"]), lab("LDL"), SEX, {**DX, "event_mask": ["birth"]}], tables, events=BIRTH)
+    wide = rows(done.wide)
+    assert wide["P1"]["HDL_mean"] == 60.0  # the value of 5 January lies in the window
+    assert wide["P1"]["SEX"] == 1 and "SEX" in caplog.text
+    assert "DX is masked by events it is the source of" in caplog.text
+    # The masked codes of P1 are gone from the code columns.
+    assert set(done.wide.columns) == {"sample_ID", "HDL_mean", "LDL_mean", "SEX", "E10.1", "E11.9"} and wide["P1"]["E11.9"] is None
+
+
+def test_definitions_read_unmasked_codes(tables):
+    case = CodedDefinition("T2D", (CodeSource("DX", ("E11",), ("E10",)),))
+    specs = [{**DX, "event_mask": ["birth"]}]
+    raw = rows(run_cohort(specs, tables, events=BIRTH, definitions=[case], code_columns=False).wide)
+    assert raw == {"P1": {"T2D": 1}, "P2": {"T2D": 0}}
+    masked = rows(run_cohort(specs, tables, events=BIRTH, definitions=[case], code_columns=False, mask_definitions=True).wide)
+    assert masked == {"P2": {"T2D": 0}}
+
+
+def test_samples_and_roster(spark, tables):
+    few = run_cohort([lab("HDL"), SEX], tables, allowed=["P1", "P3"])
+    assert set(rows(few.wide)) == {"P1", "P3"}
+    roster = spark.createDataFrame([("P1",), ("P7",)], "sample_ID string")
+    done = run_cohort([{**DX, "missing_as_control": True, "min_occurrences": 2}, {**SEX, "missing_as_control": True}],
+                      tables, roster=roster, codes={"DX": ["E11.9"]})
+    assert rows(done.wide) == {"P1": {"E11.9": None, "SEX": 1}, "P7": {"E11.9": 0, "SEX": 0}}
+
+
+def test_cleaning_and_risk(spark):
+    values = spark.createDataFrame([(f"P{i:02d}", str(v), f"g{i % 2}") for i, v in enumerate([*range(10, 20), 9999])], "sample_ID string, v string, g string")
+    base = {"data_type": "quantitative", "table": "t", "value_col": "v", "stats": ["mean"]}
+    done = run_cohort([
+        {**base, "phenotype_name": "CAP", "risk_classification": {"method": "percentile", "high": 90}},
+        {**base, "phenotype_name": "CUT", "outlier_mode": "remove", "scale": True, "scale_method": "minmax"},
+        {**base, "phenotype_name": "ODD", "filter": {"g": ["g1"]}, "outlier_method": "none"},
+    ], {"t": values})
+    wide = rows(done.wide)
+    assert wide["P10"]["CAP_mean"] == 17.5 + 1.5 * 5  # quartiles 12.5 and 17.5
+    assert wide["P10"]["CUT_mean"] is None and wide["P00"]["CUT_mean"] == 0.0 and wide["P09"]["CUT_mean"] == 1.0
+    assert wide["P01"]["ODD_mean"] == 11.0 and wide["P00"]["ODD_mean"] is None
+    assert rows(done.risk)["P10"] == {"CAP_risk": 1.0} and rows(done.risk)["P00"] == {"CAP_risk": 0.0}
+    assert done.report.where("entry = 'class'").count() == 2
+
+
+def test_phenotypes_of_one_table_share_a_scan(spark, tables, tmp_path):
+    tables["labs"].write.parquet(str(tmp_path / "labs"))
+    done = run_cohort([lab("HDL"), lab("LDL"), lab("*DL")], {"labs": spark.read.parquet(str(tmp_path / "labs"))})
+    plan = done.quantitative._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("FileScan") == 1
+    assert rows(done.wide)["P2"] == {"HDL_mean": 40.0, "LDL_mean": 120.0, "*DL_mean": 80.0}
+
+
+@pytest.mark.parametrize("spec", [
+    {"data_type": "magic"}, {"data_type": "coded", "phenotype_name": "x", "table": "t"}, {**DX, "table": None}])
+def test_incomplete_specs(spec):
+    with pytest.raises(ValueError):
+        complete_spec(spec)
+
+
+def test_events_need_a_source(tables):
+    with pytest.raises(ValueError):
+        run_cohort([lab("HDL")], tables, events=BIRTH)
+
+
+def test_same_code_from_two_specs_is_an_error(tables):
+    with pytest.raises(ValueError):
+        run_cohort([DX, {**DX, "phenotype_name": "DX2"}], tables)
+
+
+def test_date_is_typed_once(tables):
+    done = run_cohort([lab("HDL")], tables)
+    assert dict(done.quantitative.dtypes)["occurrence_date"] == "date"
+    assert done.quantitative.where(F.col("date_is_synthetic")).count() == 0

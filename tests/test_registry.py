@@ -1,0 +1,37 @@
+"""The registered queries against their SQL, on the smallest tables."""
+
+import glob
+import os
+
+import pytest
+
+import __spark_entry__ as contract
+from check_oracles import rows_of
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables here")
+
+
+@pytest.fixture(scope="module")
+def db():
+    import duckdb
+
+    connection = duckdb.connect()
+    for path in glob.glob(f"{SF_DIR}/*.parquet"):
+        connection.execute(f"CREATE VIEW {os.path.basename(path)[:-8]} AS SELECT * FROM '{path}'")
+    return connection
+
+
+def test_every_query_has_its_sql():
+    assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query(spark, db, name):
+    df = contract.queries()[name](spark, SF_DIR)
+    answer = db.execute(contract.oracle_sql()[name])
+    assert rows_of(df.columns, df.collect()) == rows_of([d[0] for d in answer.description], answer.fetchall())
+
+
+def test_entry(spark):
+    assert contract.entry(spark).count() > 0
