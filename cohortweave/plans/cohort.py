@@ -58,7 +58,7 @@ def complete_spec(spec: dict) -> dict:
 
 @dataclass
 class Cohort:
-    """Results of one run; everything but `wide` is lazy."""
+    """Results of one run. `wide` and the tables read more than once are stored, the rest is lazy."""
 
     quantitative: DataFrame | None = None
     categorical: DataFrame | None = None
@@ -156,6 +156,7 @@ def run_cohort(specs: Iterable[dict], tables: dict[str, DataFrame], *,
                definitions: Iterable[CodedDefinition] = (), events: Iterable[EventDefinition] = (),
                allowed: DataFrame | Iterable[str] | None = None, roster: DataFrame | None = None,
                codes: dict[str, list[str]] | None = None, code_columns: bool = True, mask_definitions: bool = False,
+               gather: str = "wide",
                spare_synthetic: bool = False, run_date: datetime.date | None = None) -> Cohort:
     """Clean, mask, derive, gather and classify all phenotypes of a cohort.
 
@@ -163,14 +164,20 @@ def run_cohort(specs: Iterable[dict], tables: dict[str, DataFrame], *,
     Named case/control `definitions` read the unmasked coded rows unless `mask_definitions` is set.
     Event windows always come from unmasked rows. With `code_columns=False` single codes stay out
     of the wide matrix, for vocabularies too large for columns; `codes` names the wanted ones per
-    specification and saves the job that lists them.
+    specification and saves the job that lists them. `gather` is wide, long or both; risk classes
+    need the wide form.
     """
+    if gather not in ("wide", "long", "both"):
+        raise ValueError(f"gather must be wide, long or both, not {gather!r}")
     specs = [complete_spec(s) for s in specs]
     events, definitions = list(events), list(definitions)
     by_family = {f: [s for s in specs if s["data_type"] == f] for f in FAMILY_DEFAULTS}
     out = Cohort()
 
     raw = {f: _family_long(group, tables, allowed, run_date, f) for f, group in by_family.items()}
+    uses = bool(events) + code_columns + 2 * bool(definitions)
+    if raw["coded"] is not None and uses > 1:
+        raw["coded"] = settle(raw["coded"])
     quant = raw["quantitative"]
     if quant is not None:
         group = by_family["quantitative"]
@@ -211,14 +218,19 @@ def run_cohort(specs: Iterable[dict], tables: dict[str, DataFrame], *,
         verdicts = advanced_coded_batch(source.withColumn("source", F.col("owner")), definitions, roster)
         out.parts.append(pivot_long(verdicts, [d.column for d in definitions]))
 
-    wide = gather_wide(out.parts, sort=False)
-    if wide is None:
-        return out
-    # The gathered matrix feeds the cutoffs, the classes and the report: compute it once.
-    out.wide = settle(wide)
-    out.long = gather_long(out.parts, sort=False)
     rules = [RiskRule.for_phenotype(s["output_name"], s["risk_classification"])
              for s in by_family["quantitative"] if (s.get("risk_classification") or {}).get("method")]
+    if rules and gather == "long":
+        raise ValueError("risk classes need the wide matrix")
+    if not out.parts:
+        return out
+    if gather == "both":
+        out.parts = [settle(part) for part in out.parts]
+    if gather != "wide":
+        out.long = gather_long(out.parts, sort=False)
+    if gather != "long":
+        # Cutoffs, classes and report all read the matrix: compute it once.
+        out.wide = settle(gather_wide(out.parts, sort=False))
     if rules:
         out.risk = risk_matrix(out.wide, rules)
         out.report = risk_report(out.wide, rules)

@@ -37,7 +37,7 @@ def rows(df):
 
 
 def test_gathered_matrix(tables):
-    done = run_cohort([lab("HDL"), lab("LDL", stats=["max", "count"]), SEX, DX], tables)
+    done = run_cohort([lab("HDL"), lab("LDL", stats=["max", "count"]), SEX, DX], tables, gather="both")
     wide = rows(done.wide)
     assert wide["P1"] == {"HDL_mean": 55.0, "LDL_max": None, "LDL_count": None, "SEX": 1, "E10.1": None, "E11.9": 1, "O80.1": 1}
     assert wide["P9"]["HDL_mean"] == 55.0 and wide["P9"]["SEX"] is None
@@ -106,6 +106,15 @@ def test_incomplete_specs(spec):
         complete_spec(spec)
 
 
+def test_forms(tables):
+    done = run_cohort([SEX], tables, gather="long")
+    assert done.wide is None and done.long.count() == 3
+    with pytest.raises(ValueError):
+        run_cohort([lab("HDL", risk_classification={"method": "percentile", "high": 90})], tables, gather="long")
+    with pytest.raises(ValueError):
+        run_cohort([SEX], tables, gather="tall")
+
+
 def test_events_need_a_source(tables):
     with pytest.raises(ValueError):
         run_cohort([lab("HDL")], tables, events=BIRTH)

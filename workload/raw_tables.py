@@ -46,8 +46,8 @@ def _normalize_nulls(spark, sf_dir):
     return normalize_nulls(messy_events(spark, sf_dir))
 
 
-@query("scan_long", """SELECT CAST(user_id AS VARCHAR) AS "sample_ID", NULL AS data_type, event_type AS phenotype,
-  CAST(value AS VARCHAR) AS value, NULL AS occurrence_date FROM events""")
+@query("scan_long", """SELECT CAST(user_id AS VARCHAR) AS "sample_ID", CAST(NULL AS VARCHAR) AS data_type, event_type AS phenotype,
+  CAST(value AS VARCHAR) AS value, CAST(NULL AS VARCHAR) AS occurrence_date FROM events""")
 def _scan_long(spark, sf_dir):
     path = scratch_path(spark, "partial-long") + ".tsv"
     write_wide(long_events(spark, sf_dir).select("sample_ID", "phenotype", "value"), path)
