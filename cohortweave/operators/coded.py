@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import strip
-from cohortweave.operators.codes import normalize_patterns, on_pattern, pattern_table, same_head_form
-from cohortweave.runtime import BROADCAST_ROWS, local_table, quoted
+from cohortweave.operators.codes import join_patterns, normalize_patterns, pattern_table, same_head_form
+from cohortweave.runtime import local_table, quoted
 
 MAX_PIVOT_COLUMNS = 10_000
 
@@ -123,22 +123,6 @@ def per_code_min_occurrences(long: DataFrame, min_occurrences: int) -> DataFrame
     return code_counts(long, ["sample_ID", "value"]).where(F.col("n") >= min_occurrences)
 
 
-def _matched(counts: DataFrame, patterns: DataFrame, few: bool) -> DataFrame:
-    """Counts joined with the patterns their code meets.
-
-    A pattern table that is too large to broadcast meets the distinct codes only; its matches are
-    then found by the code itself, which is not skewed like the first two characters are.
-    """
-    def hit(codes):
-        return (codes["source"] == patterns["source_name"]) & on_pattern(codes["code"], patterns)
-
-    if few:
-        return counts.join(patterns, hit(counts))
-    codes = counts.select("source", "code").distinct()
-    matches = codes.join(patterns, hit(codes)).drop("source_name", "head", "key", "is_prefix")
-    return counts.join(matches, ["source", "code"])
-
-
 def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition],
                          roster: DataFrame | None = None) -> DataFrame:
     """All definitions in one pass: (sample_ID, phenotype, value).
@@ -157,17 +141,17 @@ def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition]
     counts = code_counts(rows, ["source", "sample_ID", "value"]).withColumn("code", strip(F.col("value").cast("string")))
 
     text, flag = pa.string(), pa.bool_()
-    labels = {"phenotype": text, "source_name": text, "least": pa.int64(), **{f: flag for f in ROLES.values()}}
+    labels = {"phenotype": text, "pattern_source": text, "least": pa.int64(), **{f: flag for f in ROLES.values()}}
     groups = {}
     for definition in definitions:
         for source in sorted({s.from_phenotype for s in definition.sources}):
             for role, pattern in definition.patterns():
                 label = (definition.column, source, definition.min_occurrences, *[role == r for r in ROLES])
                 groups.setdefault(label, []).append(same_head_form(pattern))
-    patterns = pattern_table(spark, groups, labels)
+    patterns, few = pattern_table(spark, groups, labels)
 
     flags = [F.max(name).alias(name) for name in ROLES.values()]
-    matched = _matched(counts, patterns, few=sum(len(keys) for keys in groups.values()) <= BROADCAST_ROWS)
+    matched = join_patterns(counts, patterns, few)
     # A code may play several roles: fold them before counts are added up over sources.
     per_source = matched.groupBy("phenotype", "sample_ID", "value", "source").agg(
         F.max("n").alias("n"), F.max("least").alias("least"), *flags)

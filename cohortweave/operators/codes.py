@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import WHITE_SPACE, strip
-from cohortweave.runtime import local_table
+from cohortweave.runtime import BROADCAST_ROWS, local_table
 
 # Codes and patterns are only compared when their first two characters agree.
 HEAD = 2
@@ -95,22 +95,36 @@ def disjoint(keys: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
 
 
 def pattern_table(spark: SparkSession, groups: dict[tuple, Iterable[tuple[str, str]]],
-                  labels: dict[str, pa.DataType]) -> DataFrame:
-    """A table to join codes with (see `on_pattern`): one row per label tuple and key."""
+                  labels: dict[str, pa.DataType]) -> tuple[DataFrame, bool]:
+    """A table for `join_patterns`, and whether it is small enough to broadcast.
+
+    One row per label tuple and key; the labels include `pattern_source`.
+    """
     rows = [
         (*label, key[:HEAD], key, kind == "prefix")
         for label, keys in groups.items() for kind, key in disjoint(keys)
     ]
     types = {**labels, **PATTERN_TYPES}
-    return local_table(spark, {name: [r[i] for r in rows] for i, name in enumerate(types)}, types)
+    table = local_table(spark, {name: [r[i] for r in rows] for i, name in enumerate(types)}, types)
+    return table, len(rows) <= BROADCAST_ROWS
 
 
-def on_pattern(code: Column, patterns: DataFrame) -> Column:
-    """Join condition of a code with a pattern table.
+def join_patterns(rows: DataFrame, patterns: DataFrame, few: bool) -> DataFrame:
+    """Rows with a `source` and a `code`, joined with the patterns of that source the code meets.
 
     The shared first two characters are an equality key, so this is a hash join with the prefix
-    test as residual, not a comparison of every code with every pattern.
+    test as residual, not a comparison of every code with every pattern. A pattern table that is
+    too large to broadcast meets the distinct codes only; its matches are then found by the code
+    itself, which is less skewed than its first two characters.
     """
-    key = patterns["key"]
-    return (F.substring(code, 1, HEAD) == patterns["head"]) & F.when(
-        patterns["is_prefix"], code.startswith(key)).otherwise(code == key)
+    def meets(codes):
+        return (
+            (codes["source"] == patterns["pattern_source"]) & (F.substring(codes["code"], 1, HEAD) == patterns["head"])
+            & F.when(patterns["is_prefix"], codes["code"].startswith(patterns["key"])).otherwise(
+                codes["code"] == patterns["key"]))
+
+    if few:
+        return rows.join(patterns, meets(rows)).drop("pattern_source", *PATTERN_TYPES)
+    codes = rows.select("source", "code").distinct()
+    matches = codes.join(patterns, meets(codes)).drop("pattern_source", *PATTERN_TYPES)
+    return rows.join(matches, ["source", "code"])

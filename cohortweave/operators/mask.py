@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import as_date, strip
-from cohortweave.operators.codes import normalize_patterns, on_pattern, pattern_table, same_head_form
+from cohortweave.operators.codes import join_patterns, normalize_patterns, pattern_table, same_head_form
 from cohortweave.runtime import local_table
 
 log = logging.getLogger(__name__)
@@ -46,13 +46,12 @@ def event_code_select(long: DataFrame, events: Iterable[EventDefinition], raw_pr
     `long` names the coded phenotype of each row in `source`. All events are matched in one
     broadcast hash join; a row appears once per event it marks.
     """
-    labels = {"event_type": pa.string(), "event_source": pa.string(),
+    labels = {"event_type": pa.string(), "pattern_source": pa.string(),
               "offset_before": pa.int32(), "offset_after": pa.int32()}
     groups = {(e.name, e.source, int(e.offset_before), int(e.offset_after)): e.keys(raw_prefix) for e in events}
-    patterns = pattern_table(long.sparkSession, groups, labels)
-    code = F.col("value").cast("string")
-    hit = (F.col("source") == F.col("event_source")) & on_pattern(code, patterns)
-    return long.join(patterns, hit).select(*long.columns, "event_type", "offset_before", "offset_after")
+    patterns, few = pattern_table(long.sparkSession, groups, labels)
+    coded = long.withColumn("code", F.col("value").cast("string"))
+    return join_patterns(coded, patterns, few).select(*long.columns, "event_type", "offset_before", "offset_after")
 
 
 def event_windows(marked: DataFrame) -> DataFrame:

@@ -20,11 +20,12 @@ def _save(df: DataFrame, path: str, format: str, mode: str, partition_by: list[s
 def write_long(df: DataFrame, path: str, format: str = "parquet", mode: str = "errorifexists") -> None:
     """Write a long table clustered by phenotype.
 
-    Ranges over (phenotype, sample_ID) keep the rows of one phenotype in few files, so that a
-    reader of one code skips the others by min/max statistics, while a phenotype with a large
-    share of all rows is spread over many files instead of landing in one task.
+    Ranges keep the rows of one phenotype in few files, so that a reader of one code skips the
+    others by min/max statistics. The later keys of the range let a phenotype, or a single sample,
+    with a large share of all rows spread over many files instead of landing in one task.
     """
-    clustered = df.repartitionByRange("phenotype", "sample_ID").sortWithinPartitions("phenotype", "sample_ID")
+    keys = [c for c in ("phenotype", "sample_ID", "occurrence_date", "value") if c in df.columns]
+    clustered = df.repartitionByRange(*keys).sortWithinPartitions(*keys[:2])
     _save(clustered, path, format, mode)
 
 

@@ -181,7 +181,7 @@ def test_large_pattern_tables_give_the_same(spark, long_of, monkeypatch):
         return sorted(map(tuple, E.advanced_coded_batch(long, definitions).collect()), key=str)
 
     small = answer()
-    monkeypatch.setattr(E, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr("cohortweave.operators.codes.BROADCAST_ROWS", 0)
     monkeypatch.setattr("cohortweave.runtime.BROADCAST_ROWS", 0)
     assert answer() == small == sorted([
         ("P1", "X", 0), ("P2", "X", 1), ("P3", "X", None), ("P2", "Y", 0), ("P3", "Y", 1)], key=str)
