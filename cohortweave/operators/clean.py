@@ -34,7 +34,10 @@ def _same_type(long: DataFrame, number: Column) -> Column:
     return number.cast("string") if isinstance(long.schema["value"].dataType, T.StringType) else number
 
 
-def phenotype_sizes(long: DataFrame, phenotypes: list[str] | None) -> GroupSizes:
+def phenotype_sizes(long: DataFrame, phenotypes: list[str] | None, method: str) -> GroupSizes:
+    """Numbers and sizes of the groups; named phenotypes need no job unless quantiles are wanted."""
+    if phenotypes and method != "iqr":
+        return GroupSizes(len(phenotypes), len(phenotypes))
     return group_sizes(long.where(_targets(long, phenotypes)), ["phenotype"])
 
 
@@ -44,7 +47,7 @@ def outlier_fences(long: DataFrame, rule: OutlierRule, phenotypes: list[str] | N
     target = long.where(_targets(long, phenotypes))
     value = as_number(long, "value")
     if rule.method == "iqr":
-        sizes = sizes or phenotype_sizes(long, phenotypes)
+        sizes = sizes or phenotype_sizes(long, phenotypes, rule.method)
         spread = exact_quantiles(target, ["phenotype"], value, [0.25, 0.75], sizes)
         q1, q3 = F.get("quantiles", F.lit(0)), F.get("quantiles", F.lit(1))
         reach = rule.iqr_multiplier * (q3 - q1)
@@ -58,7 +61,7 @@ def outlier_fences(long: DataFrame, rule: OutlierRule, phenotypes: list[str] | N
 
 def _with_fences(long: DataFrame, rule: OutlierRule, phenotypes: list[str] | None) -> DataFrame:
     """Each row with `_old` and `_new` numbers and `_hit`, true where its phenotype has fences."""
-    sizes = phenotype_sizes(long, phenotypes)
+    sizes = phenotype_sizes(long, phenotypes, rule.method)
     fences = outlier_fences(long, rule, phenotypes, sizes).select("phenotype", "lo", "hi", F.lit(True).alias("_fenced"))
     # Settled: a few rows, needed by every later job on the cleaned values.
     rows = long.join(lookup(settle(fences), sizes.few), "phenotype", "left")
@@ -103,7 +106,8 @@ def outlier_filter_batch(long: DataFrame, rules: dict[str, OutlierRule]) -> Data
             by_rule.setdefault(rule, []).append(phenotype)
     if not by_rule:
         return long
-    fences, sizes = None, phenotype_sizes(long, [p for ps in by_rule.values() for p in ps])
+    method = "iqr" if any(rule.method == "iqr" for rule in by_rule) else "zscore"
+    fences, sizes = None, phenotype_sizes(long, [p for ps in by_rule.values() for p in ps], method)
     for rule, phenotypes in by_rule.items():
         part = outlier_fences(long, rule, phenotypes, sizes).withColumn("_mode", F.lit(rule.mode))
         fences = part if fences is None else fences.unionByName(part)
@@ -133,7 +137,7 @@ def scale_filter(long: DataFrame, method: str = "zscore", phenotypes: list[str]
         (F.col("mean") if method == "zscore" else F.col("lo")).alias("_shift"),
         (F.col("sd") if method == "zscore" else F.col("hi") - F.col("lo")).alias("_unit"),
     )
-    rows = long.join(lookup(settle(stats), phenotype_sizes(long, phenotypes).few), "phenotype", "left")
+    rows = long.join(lookup(settle(stats), phenotype_sizes(long, phenotypes, method).few), "phenotype", "left")
     shifted = as_number(long, "value") - F.col("_shift")
     scaled = F.when(F.col("_unit") > 0, shifted / F.col("_unit")).otherwise(shifted)
     hit = _targets(long, phenotypes) & F.col("_shift").isNotNull()

@@ -68,7 +68,7 @@ def sample_stats(long: DataFrame, stats: Iterable[str], keys: Iterable[str] = ("
     large = large_groups(rows, keys, sizes, large_group)
     ordinary = rows.join(large, keys, "left_anti").groupBy(*keys).agg(*plain, median)
     huge = rows.join(large, keys, "left_semi")
-    medians = exact_quantiles(huge, keys, v, [0.5], sizes).select(*keys, F.get("quantiles", F.lit(0)).alias("median"))
+    medians = exact_quantiles(huge, keys, v, [0.5], sizes.of_large).select(*keys, F.get("quantiles", F.lit(0)).alias("median"))
     return ordinary.select(*columns).unionByName(
         huge.groupBy(*keys).agg(*plain).join(medians, keys).select(*columns))
 

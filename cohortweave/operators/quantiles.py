@@ -25,7 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import as_number
-from cohortweave.runtime import BROADCAST_ROWS, lookup, quoted
+from cohortweave.runtime import BROADCAST_ROWS, lookup, quoted, settle
 
 PARTS_PER_OCTAVE = 4096
 EXPONENT_SHIFT = 1100  # makes every exponent of a double positive
@@ -47,6 +47,11 @@ class GroupSizes:
         """One row per group may be broadcast."""
         return self.groups <= BROADCAST_ROWS
 
+    @property
+    def of_large(self) -> GroupSizes:
+        """The same for the large groups alone."""
+        return GroupSizes(self.large_groups, self.large_groups)
+
 
 def group_sizes(df: DataFrame, keys: Sequence[str], limit: int = LARGE_GROUP) -> GroupSizes:
     """Count the groups, and those with more than `limit` rows. Reads the key columns only."""
@@ -120,7 +125,7 @@ def large_groups(df: DataFrame, keys: Sequence[str], sizes: GroupSizes, limit: i
         df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
         .where(F.col("_size") > limit).select(*keys)
     )
-    return lookup(found, sizes.large_groups <= BROADCAST_ROWS)
+    return lookup(settle(found), sizes.of_large.few)
 
 
 def column_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], limit: int = LARGE_GROUP) -> DataFrame:

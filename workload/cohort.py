@@ -83,7 +83,7 @@ def _run_cohort(spark, sf_dir):
     FROM {EVENTS} JOIN f USING (phenotype)) GROUP BY 1),
   e AS (SELECT quantile_cont(mean, 0.25) AS e1, quantile_cont(mean, 0.5) AS e2, quantile_cont(mean, 0.75) AS e3,
     quantile_cont(mean, 0.9) AS p90 FROM s)
-  SELECT "sample_ID", ROUND(mean, 6) AS activity_mean, ROUND(median, 6) AS activity_median, ROUND(std, 6) AS activity_std,
+  SELECT "sample_ID", ROUND(mean, 9) AS activity_mean, ROUND(median, 9) AS activity_median, ROUND(std, 9) AS activity_std,
     n AS activity_count, CAST(1 + CAST(mean > e1 AS INT) + CAST(mean > e2 AS INT) + CAST(mean > e3 AS INT) AS INT)
     AS activity_bin, CAST(mean > p90 AS DOUBLE) AS activity_risk FROM s, e""")
 def flagship(spark, sf_dir):
@@ -92,5 +92,5 @@ def flagship(spark, sf_dir):
     summary = settle(quantitative_summary(clean, "activity", ["mean", "median", "std", "count"]))
     binned = quantile_bins(summary, "activity_mean", 4, "activity_bin")
     risk = risk_matrix(summary, [RiskRule("percentile", "activity_mean", "activity_risk", high=90)])
-    shown = binned.withColumns({f"activity_{s}": rounded(f"activity_{s}") for s in ("mean", "median", "std")})
+    shown = binned.withColumns({f"activity_{s}": rounded(f"activity_{s}", 9) for s in ("mean", "median", "std")})
     return shown.join(risk, "sample_ID")

@@ -13,12 +13,14 @@ STAT_SQL = {
 
 
 def _register(stat):
-    shown = STAT_SQL[stat] if stat == "count" else f"ROUND({STAT_SQL[stat]}, 6)"
+    # Few enough digits for sums in any order to agree, enough that means of two-digit values are no ties.
+    digits = 6 if stat == "squared" else 9
+    shown = STAT_SQL[stat] if stat == "count" else f"ROUND({STAT_SQL[stat]}, {digits})"
 
     @query(f"stat_{stat}", f"""SELECT "sample_ID", phenotype, {shown} AS {stat} FROM {EVENTS} GROUP BY 1, 2""")
     def run(spark, sf_dir):
         found = N.sample_stats(long_events(spark, sf_dir), [stat], ["sample_ID", "phenotype"])
-        return found.select("sample_ID", "phenotype", stat if stat == "count" else rounded(stat))
+        return found.select("sample_ID", "phenotype", stat if stat == "count" else rounded(stat, digits))
 
 
 for _stat in N.STATS:
@@ -73,13 +75,13 @@ MULTI = {
   e AS (SELECT "sample_ID", stddev_samp(value) AS sd, pow(avg(value), 2) AS sq
         FROM {EVENTS} WHERE phenotype = 'error' GROUP BY 1),
   q AS (SELECT quantile_cont(mean, 0.25) AS q1, quantile_cont(mean, 0.5) AS q2, quantile_cont(mean, 0.75) AS q3 FROM c)
-  SELECT "sample_ID", ROUND(mean, 6) AS "CLICK_mean", CAST(c.n AS DOUBLE) AS "CLICK_count",
+  SELECT "sample_ID", ROUND(mean, 9) AS "CLICK_mean", CAST(c.n AS DOUBLE) AS "CLICK_count",
     CAST(1 + CAST(mean > q1 AS INT) + CAST(mean > q2 AS INT) + CAST(mean > q3 AS INT) AS INT) AS "CLICK_bin",
-    CASE WHEN v.n >= 12 THEN ROUND(median, 6) END AS view_median, CASE WHEN v.n >= 12 THEN latest END AS view_last,
-    ROUND(sd, 6) AS error_std, ROUND(sq, 6) AS error_squared
+    CASE WHEN v.n >= 12 THEN ROUND(median, 9) END AS view_median, CASE WHEN v.n >= 12 THEN latest END AS view_last,
+    ROUND(sd, 9) AS error_std, ROUND(sq, 6) AS error_squared
   FROM everyone LEFT JOIN c USING ("sample_ID") LEFT JOIN v USING ("sample_ID") LEFT JOIN e USING ("sample_ID"), q""")
 def _quantitative_summary_multi(spark, sf_dir):
     found = N.quantitative_summary_multi(long_events(spark, sf_dir), MULTI)
     return found.select(
-        "sample_ID", rounded("CLICK_mean"), F.col("CLICK_count").cast("double").alias("CLICK_count"), "CLICK_bin",
-        rounded("view_median"), "view_last", rounded("error_std"), rounded("error_squared"))
+        "sample_ID", rounded("CLICK_mean", 9), F.col("CLICK_count").cast("double").alias("CLICK_count"), "CLICK_bin",
+        rounded("view_median", 9), "view_last", rounded("error_std", 9), rounded("error_squared"))
