@@ -5,10 +5,15 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.operators.coded import MAX_PIVOT_COLUMNS
+from cohortweave.runtime import local_table
+
+# Up to this many counters are computed as expressions on every row.
+MAX_EXPRESSIONS = 64
 
 
 
@@ -54,17 +59,43 @@ def list_categories(long: DataFrame, spec: CategoricalSpec, limit: int = MAX_PIV
     return sorted(r[0] for r in found)
 
 
-def _aggregates(i: int, spec: CategoricalSpec, mine: Column, text: Column) -> list[Column]:
-    """Counters of one phenotype, all of fixed size and combined on the map side."""
-    out = [F.count(F.when(mine, 1)).alias(f"n{i}")]
-    if spec.mode == "dictionary":
-        out += [F.count(F.when(mine & text.isin(*texts), 1)).alias(f"n{i}_{k}")
-                for k, texts in enumerate(spec.codes().values())]
-    elif spec.mode == "one_hot":
-        out += [F.count(F.when(mine & (text == str(c)), 1)).alias(f"n{i}_{k}") for k, c in enumerate(spec.categories)]
+def _value_counters(specs: list[CategoricalSpec]) -> list[tuple[str, str, str]]:
+    """(counter, phenotype, text) for every value an encoding looks at."""
+    out = []
+    for i, spec in enumerate(specs):
+        if spec.mode == "dictionary":
+            out += [(f"n{i}_{k}", spec.phenotype, t) for k, texts in enumerate(spec.codes().values()) for t in texts]
+        elif spec.mode == "one_hot":
+            out += [(f"n{i}_{k}", spec.phenotype, str(c)) for k, c in enumerate(spec.categories)]
     return out
 
 
+def _count_by_expressions(rows: DataFrame, specs: list[CategoricalSpec], counters) -> DataFrame:
+    """All counters of a sample in one aggregation of fixed-size states, combined on the map side."""
+    texts: dict[tuple[str, str], list[str]] = {}
+    for counter, phenotype, text in counters:
+        texts.setdefault((counter, phenotype), []).append(text)
+    mine = {s.phenotype: F.col("phenotype") == s.phenotype for s in specs}
+    return rows.groupBy("sample_ID").agg(
+        *[F.count(F.when(mine[s.phenotype], 1)).alias(f"n{i}") for i, s in enumerate(specs)],
+        *[F.count(F.when(mine[p] & F.col("text").isin(*ts), 1)).alias(c) for (c, p), ts in texts.items()],
+    )
+
+
+def _count_by_lookup(rows: DataFrame, specs: list[CategoricalSpec], counters) -> DataFrame:
+    """The same for many counters: values find theirs by a hash join instead of a test per counter."""
+    cells = rows.groupBy("sample_ID", "phenotype", "text").agg(F.count(F.lit(1)).alias("n"))
+    counters = counters + [(f"n{i}", s.phenotype, None) for i, s in enumerate(specs)]
+    wanted = local_table(
+        rows.sparkSession, dict(zip(("counter", "_phenotype", "_text"), map(list, zip(*counters)))),
+        dict.fromkeys(("counter", "_phenotype", "_text"), pa.string()))
+    # A null text in the lookup stands for the total of the phenotype.
+    keyed = cells.withColumn("_key", F.explode(F.array_distinct(F.array("text", F.lit(None)))))
+    hits = keyed.join(wanted, (F.col("phenotype") == F.col("_phenotype")) & F.col("_key").eqNullSafe(F.col("_text")))
+    names = list(dict.fromkeys(c for c, _, _ in counters))
+    return hits.groupBy("sample_ID").pivot("counter", names).agg(F.sum("n")).na.fill(0)
+
+
 def _most_frequent(counts: list[Column], codes: list) -> Column:
     """The code with the highest count, the smallest on ties, null when all are zero."""
     if not codes:
@@ -108,10 +139,11 @@ def categorical_matrix(long: DataFrame, specs: Iterable[CategoricalSpec], roster
     for spec in specs:
         if spec.mode == "one_hot":
             spec.categories = list(spec.categories or list_categories(long, spec))
-    text = F.col("value").cast("string")
-    rows = long.where(F.col("phenotype").isin(*[s.phenotype for s in specs]) & F.col("sample_ID").isNotNull())
-    counters = [a for i, s in enumerate(specs) for a in _aggregates(i, s, F.col("phenotype") == s.phenotype, text)]
-    table = rows.groupBy("sample_ID").agg(*counters)
+    rows = long.where(F.col("phenotype").isin(*[s.phenotype for s in specs]) & F.col("sample_ID").isNotNull()).select(
+        "sample_ID", "phenotype", F.col("value").cast("string").alias("text"))
+    counters = _value_counters(specs)
+    count = _count_by_expressions if len(counters) <= MAX_EXPRESSIONS else _count_by_lookup
+    table = count(rows, specs, counters)
     if roster is not None:
         table = roster.select("sample_ID").join(table, "sample_ID", "left")
     return table.select("sample_ID", *[c for i, s in enumerate(specs) for c in _encoded(i, s, short_as_zero)])

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
+# Range keys after the leading one, so that equal leading keys can be spread.
+_ROW_KEYS = ("sample_ID", "occurrence_date", "value")
+
+
 def _save(df: DataFrame, path: str, format: str, mode: str, partition_by: list[str] | None = None) -> None:
     writer = df.write.mode(mode)
     if partition_by:
@@ -24,7 +28,7 @@ def write_long(df: DataFrame, path: str, format: str = "parquet", mode: str = "e
     others by min/max statistics. The later keys of the range let a phenotype, or a single sample,
     with a large share of all rows spread over many files instead of landing in one task.
     """
-    keys = [c for c in ("phenotype", "sample_ID", "occurrence_date", "value") if c in df.columns]
+    keys = [c for c in ("phenotype", *_ROW_KEYS) if c in df.columns]
     clustered = df.repartitionByRange(*keys).sortWithinPartitions(*keys[:2])
     _save(clustered, path, format, mode)
 
@@ -34,5 +38,6 @@ def write_wide(df: DataFrame, path: str, format: str = "tsv", mode: str = "error
 
 
 def write_chunks(df: DataFrame, path: str, format: str = "tsv", mode: str = "errorifexists") -> None:
-    """One folder per `chunk_id` of `cohort_chunks`."""
-    _save(df, path, format, mode, ["chunk_id"])
+    """One folder per `chunk_id` of `cohort_chunks`; each task writes few chunks, a large chunk has many files."""
+    keys = [c for c in ("chunk_id", *_ROW_KEYS) if c in df.columns]
+    _save(df.repartitionByRange(*keys), path, format, mode, ["chunk_id"])

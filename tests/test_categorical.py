@@ -4,9 +4,14 @@ from conftest import by_sample
 from cohortweave.operators.categorical import CategoricalSpec, categorical, categorical_matrix_multi, list_categories
 
 
+@pytest.fixture(params=[64, -1], ids=["expressions", "lookup"], autouse=True)
+def either_count(request, monkeypatch):
+    monkeypatch.setattr("cohortweave.operators.categorical.MAX_EXPRESSIONS", request.param)
+
+
 @pytest.fixture
 def sex(long_of):
-    rows = [("P1", "female"), ("P1", "female"), ("P1", "male"), ("P2", "male"), ("P3", "unknown"), (None, "male")]
+    rows = [("P1", "female"), ("P1", "female"), ("P1", "male"), ("P2", "male"), ("P3", "unknown"), (None, "male"), ("P3", None)]
     return long_of([(s, "categorical", "SEX", v, None) for s, v in rows] + [("P9", "categorical", "OTHER", "male", None)])
 
 
@@ -18,7 +23,7 @@ def everyone(spark):
 def test_binary(sex, everyone):
     assert by_sample(categorical(sex, CategoricalSpec("SEX"))) == {"P1": 1, "P2": 1, "P3": 1}
     assert by_sample(categorical(sex, CategoricalSpec("SEX"), everyone)) == {"P1": 1, "P2": 1, "P3": 1, "P4": None}
-    spec = CategoricalSpec("SEX", "S", missing_as_control=True, min_occurrences=2)
+    spec = CategoricalSpec("SEX", "S", missing_as_control=True, min_occurrences=3)
     assert by_sample(categorical(sex, spec, everyone)) == {"P1": 1, "P2": None, "P3": None, "P4": 0}
 
 
@@ -48,12 +53,12 @@ def test_one_hot(sex, everyone):
 
 
 def test_categories_come_from_samples_with_enough_rows(sex):
-    assert list_categories(sex, CategoricalSpec("SEX", min_occurrences=2)) == ["female", "male"]
+    assert list_categories(sex, CategoricalSpec("SEX", min_occurrences=3)) == ["female", "male"]
     with pytest.raises(ValueError):
         list_categories(sex, CategoricalSpec("SEX"), limit=1)
 
 
 def test_matrix_of_all_samples(sex):
     table = categorical_matrix_multi(sex, [
-        CategoricalSpec("SEX", min_occurrences=2), CategoricalSpec("OTHER", dictionary={"male": 4}, min_occurrences=3)])
+        CategoricalSpec("SEX", min_occurrences=3), CategoricalSpec("OTHER", dictionary={"male": 4}, min_occurrences=3)])
     assert sorted(map(tuple, table.collect())) == [("P1", 1, None), ("P2", 0, None), ("P3", 0, None), ("P9", None, 4)]
