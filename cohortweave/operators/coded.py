@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -123,21 +124,21 @@ def per_code_min_occurrences(long: DataFrame, min_occurrences: int) -> DataFrame
     return code_counts(long, ["sample_ID", "value"]).where(F.col("n") >= min_occurrences)
 
 
-def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition],
-                         roster: DataFrame | None = None) -> DataFrame:
-    """All definitions in one pass: (sample_ID, phenotype, value).
+CASE, EXCLUDED_CASE, NOT_A_CONTROL = 1, 0, -1
 
-    `long` holds the rows of every source, named in its `source` column. Two shuffles whatever the
-    number of definitions: one for the counts per (source, sample, code), combined on the map side,
-    after which a sample has at most as many rows as there are codes, and one by
-    (phenotype, sample) for pooling and the verdict.
-    """
-    definitions = list(definitions)
-    spark = long.sparkSession
-    wiring = [(d.column, s) for d in definitions for s in sorted({s.from_phenotype for s in d.sources})]
-    needed = sorted({source for _, source in wiring})
 
-    rows = long.where(F.col("source").isin(*needed))
+def _source_rows(long: DataFrame, definitions: list[CodedDefinition]) -> tuple[DataFrame, list[str]]:
+    sources = sorted({s.from_phenotype for d in definitions for s in d.sources})
+    return long.where(F.col("source").isin(*sources)), sources
+
+
+def _verdicts(rows: DataFrame, definitions: list[CodedDefinition]) -> DataFrame:
+    """(phenotype, sample_ID, verdict) where the codes of a sample decide anything.
+
+    Two shuffles whatever the number of definitions: one for the counts per (source, sample, code),
+    combined on the map side, after which a sample has at most as many rows as there are codes, and
+    one by (phenotype, sample) for pooling and the verdict.
+    """
     counts = code_counts(rows, ["source", "sample_ID", "value"]).withColumn("code", strip(F.col("value").cast("string")))
 
     text, flag = pa.string(), pa.bool_()
@@ -148,7 +149,7 @@ def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition]
             for role, pattern in definition.patterns():
                 label = (definition.column, source, definition.min_occurrences, *[role == r for r in ROLES])
                 groups.setdefault(label, []).append(same_head_form(pattern))
-    patterns, few = pattern_table(spark, groups, labels)
+    patterns, few = pattern_table(rows.sparkSession, groups, labels)
 
     flags = [F.max(name).alias(name) for name in ROLES.values()]
     matched = join_patterns(counts, patterns, few)
@@ -161,11 +162,31 @@ def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition]
         .agg(F.sum("n").alias("n"), F.max("least").alias("least"), *flags)
         .where(F.col("n") >= F.col("least"))
     )
-    verdicts = qualified.groupBy("phenotype", "sample_ID").agg(*flags)
+    verdict = (
+        F.when(F.col("is_case"), F.when(F.col("is_case_excluded"), EXCLUDED_CASE).otherwise(CASE))
+        .when(F.col("is_control_excluded"), NOT_A_CONTROL)
+    )
+    decided = qualified.groupBy("phenotype", "sample_ID").agg(*flags)
+    return decided.select("phenotype", "sample_ID", verdict.alias("verdict")).where(F.col("verdict").isNotNull())
+
+
+def _value(verdict, control):
+    return F.when(verdict.isNull(), control).when(verdict != NOT_A_CONTROL, verdict).cast("int")
+
+
+def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition],
+                         roster: DataFrame | None = None) -> DataFrame:
+    """All definitions in one pass: (sample_ID, phenotype, value), a row for every sample of each.
 
+    `long` holds the rows of every source, named in its `source` column.
+    """
+    definitions = list(definitions)
+    rows, _ = _source_rows(long, definitions)
     if roster is None:
-        sources = local_table(spark, {"phenotype": [w[0] for w in wiring], "source": [w[1] for w in wiring]},
-                              {"phenotype": text, "source": text})
+        wiring = sorted({(d.column, s.from_phenotype) for d in definitions for s in d.sources})
+        sources = local_table(
+            long.sparkSession, {"phenotype": [w[0] for w in wiring], "source": [w[1] for w in wiring]},
+            {"phenotype": pa.string(), "source": pa.string()})
         everyone = (
             rows.where(F.col("sample_ID").isNotNull()).select("source", "sample_ID").distinct()
             .join(sources, "source").select("phenotype", "sample_ID").distinct()
@@ -173,24 +194,46 @@ def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition]
     else:
         names = F.array(*[F.lit(d.column) for d in definitions])
         everyone = roster.select(F.explode(names).alias("phenotype"), "sample_ID")
-
     as_control = [d.column for d in definitions if d.missing_as_control]
     control = F.when(F.col("phenotype").isin(*as_control), 0) if as_control else F.lit(None)
-    value = (
-        F.when(F.col("is_case"), F.when(F.col("is_case_excluded"), 0).otherwise(1))
-        .when(F.col("is_control_excluded"), F.lit(None))
-        .otherwise(control)
-    )
-    return everyone.join(verdicts, ["phenotype", "sample_ID"], "left").select(
-        "sample_ID", "phenotype", value.cast("int").alias("value"))
+    return everyone.join(_verdicts(rows, definitions), ["phenotype", "sample_ID"], "left").select(
+        "sample_ID", "phenotype", _value(F.col("verdict"), control).alias("value"))
+
+
+def advanced_coded_matrix(long: DataFrame, definitions: Iterable[CodedDefinition],
+                          roster: DataFrame | None = None) -> DataFrame:
+    """All definitions as columns: (sample_ID, one column per definition).
+
+    Only decided (definition, sample) pairs are shuffled; who has rows in which source is kept as
+    one row per sample, not repeated per definition.
+    """
+    definitions = list(definitions)
+    rows, sources = _source_rows(long, definitions)
+    columns = _verdicts(rows, definitions).groupBy("sample_ID").pivot(
+        "phenotype", [d.column for d in definitions]).agg(F.first("verdict"))
+    if roster is None:
+        everyone = rows.where(F.col("sample_ID").isNotNull()).groupBy("sample_ID").agg(*[
+            F.max(F.col("source") == source).alias(f"_in{i}") for i, source in enumerate(sources)])
+    else:
+        everyone = roster.select("sample_ID")
+
+    def control(definition):
+        if not definition.missing_as_control:
+            return F.lit(None)
+        if roster is not None:
+            return F.lit(0)
+        seen = [F.col(f"_in{sources.index(s)}") for s in sorted({s.from_phenotype for s in definition.sources})]
+        return F.when(reduce(lambda a, b: a | b, seen), 0)
+
+    return everyone.join(columns, "sample_ID", "left").select("sample_ID", *[
+        _value(F.col(quoted(d.column)), control(d)).alias(d.column) for d in definitions])
 
 
 def advanced_coded(long: DataFrame, definition: CodedDefinition, roster: DataFrame | None = None) -> DataFrame:
     """One definition as a column: (sample_ID, {output_name})."""
     if "source" not in long.columns:
-        sources = F.array(*[F.lit(s) for s in sorted({s.from_phenotype for s in definition.sources})])
-        if len({s.from_phenotype for s in definition.sources}) > 1:
+        names = {s.from_phenotype for s in definition.sources}
+        if len(names) > 1:
             raise ValueError("several sources need a `source` column in the long table")
-        long = long.withColumn("source", F.get(sources, F.lit(0)))
-    return advanced_coded_batch(long, [definition], roster).select(
-        "sample_ID", F.col("value").alias(definition.column))
+        long = long.withColumn("source", F.lit(names.pop()))
+    return advanced_coded_matrix(long, [definition], roster)

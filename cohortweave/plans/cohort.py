@@ -15,7 +15,7 @@ from cohortweave.functions.globs import has_glob, matches_any_glob
 from cohortweave.functions.values import as_date, as_number
 from cohortweave.operators.categorical import CategoricalSpec, categorical_matrix
 from cohortweave.operators.clean import OutlierRule, outlier_filter_batch, scale_filter
-from cohortweave.operators.coded import MAX_PIVOT_COLUMNS, CodedDefinition, advanced_coded_batch, code_counts, presence
+from cohortweave.operators.coded import MAX_PIVOT_COLUMNS, CodedDefinition, advanced_coded_matrix, code_counts, presence
 from cohortweave.operators.gather import gather_long, gather_wide, pivot_long
 from cohortweave.operators.long import glob_condition, occurrence_date, sample_allow_list
 from cohortweave.operators.mask import EventDefinition, apply_mask_batch, mask_intervals
@@ -215,8 +215,7 @@ def run_cohort(specs: Iterable[dict], tables: dict[str, DataFrame], *,
         out.parts.append(_coded_table(out.coded, by_family["coded"], codes, roster))
     if definitions:
         source = out.coded if mask_definitions else raw["coded"]
-        verdicts = advanced_coded_batch(source.withColumn("source", F.col("owner")), definitions, roster)
-        out.parts.append(pivot_long(verdicts, [d.column for d in definitions]))
+        out.parts.append(advanced_coded_matrix(source.withColumn("source", F.col("owner")), definitions, roster))
 
     rules = [RiskRule.for_phenotype(s["output_name"], s["risk_classification"])
              for s in by_family["quantitative"] if (s.get("risk_classification") or {}).get("method")]

@@ -181,6 +181,9 @@ def test_large_pattern_tables_give_the_same(spark, long_of, monkeypatch):
         return sorted(map(tuple, E.advanced_coded_batch(long, definitions).collect()), key=str)
 
     small = answer()
+    matrix = sorted((r.sample_ID, name, r[name]) for r in E.advanced_coded_matrix(long, definitions).collect()
+                    for name in ("X", "Y") if (r.sample_ID, name) != ("P1", "Y"))
+    assert sorted(matrix, key=str) == small  # P1 has no row in the source of Y
     monkeypatch.setattr("cohortweave.operators.codes.BROADCAST_ROWS", 0)
     monkeypatch.setattr("cohortweave.runtime.BROADCAST_ROWS", 0)
     assert answer() == small == sorted([

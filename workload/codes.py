@@ -149,3 +149,10 @@ def _library_sql():
 @query("advanced_coded_batch", _library_sql())
 def _advanced_coded_batch(spark, sf_dir):
     return E.advanced_coded_batch(long_codes(spark, sf_dir), library())
+
+
+@query("advanced_coded_matrix", 'SELECT "sample_ID", ' + ", ".join(
+    f"MAX(CASE WHEN phenotype = 'D{i:02d}' THEN value END) AS \"D{i:02d}\"" for i in range(1, 41))
+    + f' FROM ({_library_sql()}) GROUP BY "sample_ID"')
+def _advanced_coded_matrix(spark, sf_dir):
+    return E.advanced_coded_matrix(long_codes(spark, sf_dir), library())
