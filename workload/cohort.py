@@ -10,7 +10,6 @@ from cohortweave.operators.risk import RiskRule, risk_matrix
 from cohortweave.plans.cohort import run_cohort
 from cohortweave.runtime import settle
 from workload.base import CODES, EVENTS, ORDERS, PRIORITY, code_records, long_events, query, rounded, table
-from workload.codes import verdict_sql
 
 SPECS = [
     {"phenotype_name": "TP", "data_type": "quantitative", "table": "orders", "sample_id_col": "o_custkey",

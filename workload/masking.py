@@ -3,8 +3,7 @@
 from pyspark.sql import functions as F
 
 from cohortweave.operators import mask as M
-from cohortweave.operators.long import build_long
-from workload.base import CODES, EVENTS, ORDERS, day_text, long_codes, long_events, long_orders, query, table
+from workload.base import CODES, ORDERS, day_text, long_codes, long_events, long_orders, query, table
 
 EVENT_LIST = (
     M.EventDefinition("early", "DX_F", ("A01", "A02.3"), -20, 10),

@@ -12,7 +12,7 @@ from cohortweave.sources.delimited import scan_delimited, scan_long, scan_roster
 from cohortweave.sources.sinks import write_long, write_wide
 from workload.base import (
     CODES, EVENTS, MESSY_SQL, ORDERS, PRIORITY, SEGMENT, cat_priority, cat_segment, code_records, day_text, long_codes,
-    long_events, long_orders, messy_events, query, rounded, table)
+    long_events, long_orders, messy_events, query, table)
 
 # What reading the messy text should leave.
 CLEAN_SQL = f"""SELECT event_id, patient, test,
