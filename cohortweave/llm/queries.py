@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import mixing, packing, resharding, simhash, toxicity, winnowing
+from cohortweave.llm import lines, mixing, packing, resharding, simhash, toxicity, winnowing
 from cohortweave.llm.shared import read
 
 QUERIES, ORACLES = {}, {}
@@ -83,3 +83,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ftrl_toxicity")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxic_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+@query("op6_fuzzy_line_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    out = lines.without_repeats(docs.select("doc_id", "text", F.char_length("text").alias("chars_before")))
+    return out.select("doc_id", "chars_before", F.char_length("text").alias("chars_kept"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
