@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import lines, mixing, packing, resharding, simhash, toxicity, winnowing
+from cohortweave.llm import lines, mixing, packing, pii, resharding, simhash, toxicity, winnowing
 from cohortweave.llm.shared import read
 
 QUERIES, ORACLES = {}, {}
@@ -90,3 +90,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     out = lines.without_repeats(docs.select("doc_id", "text", F.char_length("text").alias("chars_before")))
     return out.select("doc_id", "chars_before", F.char_length("text").alias("chars_kept"), F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op4_weak_supervision_pii")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(read(spark, sf_dir, "documents"))
+    counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = {i})) AS BIGINT)").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(F.expr(pii.as_text("base")).cast("binary"), 256).alias("base_sha256"),
+                        F.expr(pii.as_text("array_sort(concat(base, added))")).alias("spans"))
