@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import lines, mixing, packing, pii, resharding, simhash, toxicity, winnowing
+from cohortweave.llm import lines, mixing, mtree, packing, pii, resharding, simhash, toxicity, winnowing
 from cohortweave.llm.shared import read
 
 QUERIES, ORACLES = {}, {}
@@ -98,3 +98,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = [F.expr(f"CAST(size(filter(base, s -> s.kind = {i})) AS BIGINT)").alias(f"n_{kind}") for i, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(F.expr(pii.as_text("base")).cast("binary"), 256).alias("base_sha256"),
                         F.expr(pii.as_text("array_sort(concat(base, added))")).alias("spans"))
+
+
+TOP_SQL = """WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND list_count(embedding) = len(embedding)
+      AND len([x FOR x IN embedding IF NOT isfinite(x)]) = 0),
+  s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.e, c.e)::BIGINT AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 50 = 0)
+  SELECT query_id, CAST(n AS INT) AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s) WHERE n <= 5"""
+
+
+@query("op7_m_tree_top_k", TOP_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
