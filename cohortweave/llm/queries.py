@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import lines, mixing, mtree, packing, pii, resharding, simhash, toxicity, winnowing
+from cohortweave.llm import lines, mixing, mtree, packing, pii, resharding, simhash, substrings, toxicity, winnowing
 from cohortweave.llm.shared import read
 
 QUERIES, ORACLES = {}, {}
@@ -112,3 +112,9 @@ TOP_SQL = """WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embeddin
 @query("op7_m_tree_top_k", TOP_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
+@query("op8_suffix_automaton_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.without_repeats(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

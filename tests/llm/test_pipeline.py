@@ -1,0 +1,26 @@
+from collections import Counter
+
+import corpus_pipeline
+from cohortweave.llm import simhash
+
+
+def test_stages_take_effect_and_keep_clean_documents(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "simhash near-dedup", "mixing", "packing"]
+    results = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        results.append(corpus_pipeline.settle(stage(spark, results[-1], sf_dir)))
+    for df in results[1:-1]:
+        assert df.columns == docs.columns
+    ids = [Counter(r["doc_id"] for r in df.select("doc_id").collect()) for df in results]
+    clean = {i for i in ids[0] if labels.get(i) == 0}
+    assert len(clean & set(ids[1])) > 0.97 * len(clean)
+    assert set(ids[2]) == set(ids[1])  # lines go, rows stay
+    groups = simhash.simhash_groups(results[2]).collect()
+    assert set(ids[3]) == {r["component_id"] for r in groups} and max(ids[3].values()) == 1
+    assert max(ids[4].values()) <= 3 and set(ids[5]) == set(ids[4])
+
+
+def test_run(spark, sf_dir):
+    assert corpus_pipeline.run(spark, sf_dir).count() > 100
