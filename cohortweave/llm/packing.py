@@ -18,6 +18,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -70,15 +71,23 @@ def pack(lengths: list[int], capacity: int = CAPACITY) -> list[list[int]]:
     return windows
 
 
+STOPS = frozenset(".,;:!?")
+
+
 class Words(dict):
     """The ids (as bytes) of words without white space. The tokenizer never joins over white space, so a
     text's ids are its words' ids; a full table starts anew."""
 
-    def __init__(self, tokenizer, most: int = 500_000):
+    def __init__(self, tokenizer, most: int = 1_500_000):
         super().__init__()
         self.tokenizer, self.most = tokenizer, most
 
     def __missing__(self, word: str) -> bytes:
+        # case does not count, and letters and the stop behind them are tokenized apart
+        if word[-1:] in STOPS and word[:-1].isalpha() and word.isascii():
+            return self[word[:-1]] + self[word[-1]]
+        if word.isascii() and word.isalpha() and not word.islower():
+            return self[word.lower()]
         ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
         if len(word) <= 64:
             if len(self) >= self.most:
@@ -87,15 +96,21 @@ class Words(dict):
         return ids
 
 
+@lru_cache(maxsize=2)
+def words_of(tokenizer_path: str) -> Words:
+    """The words known in this worker process; they serve the tasks after this one too."""
+    from tokenizers import Tokenizer
+
+    return Words(Tokenizer.from_file(tokenizer_path))
+
+
 def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens, row): the pieces of every document, without a sequence yet."""
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, row long"
     closing = np.array([CLOSING_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        known = Words(Tokenizer.from_file(tokenizer_path))
+        known = words_of(tokenizer_path)
         for batch in batches:
             out = []
             for doc_id, text, row in zip(*(c.to_pylist() for c in batch.columns)):
