@@ -84,8 +84,9 @@ def bit_filter(ids: DataFrame, bits: int = 1 << 20) -> DataFrame:
     place = ids.select(F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(bits)).alias("p")).distinct()
     words = place.groupBy(F.shiftright("p", 6).alias("w")).agg(
         F.expr("bit_or(shiftleft(1L, CAST(p & 63 AS INT)))").alias("v"))
-    filled = words.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("w", "v"))).alias("m"))
-    return filled.select(F.expr(f"transform(sequence(0L, {bits // 64 - 1}L), i -> coalesce(m[i], 0L))").alias("bits"))
+    every = ids.sparkSession.range(bits // 64).select(F.col("id").alias("w"), F.lit(0).cast("long").alias("v"))
+    every = every.union(words).groupBy("w").agg(F.max(F.struct(F.col("v") != 0, "v"))["v"].alias("v"))
+    return every.groupBy().agg(F.transform(F.array_sort(F.collect_list(F.struct("w", "v"))), lambda x: x["v"]).alias("bits"))
 
 
 def may_hold(ids: DataFrame, column: Column, bits: int = 1 << 20) -> Column:
