@@ -10,10 +10,9 @@ from cohortweave.functions.values import as_date
 
 def whole_years(born: Column, on: Column) -> Column:
     """Completed years between two dates; a 29 February birthday is reached on 1 March."""
-    before_birthday = (F.month(on) < F.month(born)) | (
-        (F.month(on) == F.month(born)) & (F.dayofmonth(on) < F.dayofmonth(born))
-    )
-    return F.year(on) - F.year(born) - before_birthday.cast("int")
+    day_of_year = lambda d: F.struct(F.month(d), F.dayofmonth(d))
+    years = F.year(on) - F.year(born)
+    return F.when(day_of_year(on) >= day_of_year(born), years).otherwise(years - 1)
 
 
 def age_at_reference(df: DataFrame, birth_col: str, ref_date: str, output_col: str = "age") -> DataFrame:

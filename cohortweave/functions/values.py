@@ -22,7 +22,7 @@ WHITE_SPACE = " \t\n\r\x0b\x0c"
 NUMERIC_TEXT = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 
 # Layouts tried after ISO dates.
-DATE_LAYOUTS = ("M/d/yyyy", "yyyyMMdd")
+DATE_LAYOUTS = ("M/d/yyyy", "yyyyMMdd", "yyyy/M/d", "M-d-yyyy", "d-MMM-yyyy", "MMM d, yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yy")
 
 
 def strip(column: Column) -> Column:

@@ -33,7 +33,6 @@ ICD9_VALUE = r"^[0-9]{3,5}(\.[0-9]+)?$"
 ICD10_NAME = r"(?i)^[A-Z][0-9]{2}"
 ICD9_NAME = r"^[0-9]{3}"
 MAJORITY = 0.7
-DETECTION_SAMPLE = 50
 
 
 def normalize_data_type(label: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,8 +16,7 @@ from cohortweave.runtime import local_table
 MAX_EXPRESSIONS = 64
 
 
-
-@dataclass
+@dataclass(frozen=True)
 class CategoricalSpec:
     """How one phenotype is encoded: a dictionary beats one-hot, one-hot beats presence."""
 
@@ -43,7 +42,8 @@ class CategoricalSpec:
         for text, code in self.dictionary.items():
             if code is not None and str(code) != "NA":
                 out.setdefault(code, []).append(str(text))
-        return dict(sorted(out.items()))
+        texts = any(isinstance(code, str) for code in out)  # numbers and texts together are ordered as text
+        return dict(sorted(out.items(), key=lambda item: str(item[0]) if texts else item[0]))
 
 
 def list_categories(long: DataFrame, spec: CategoricalSpec, limit: int = MAX_PIVOT_COLUMNS) -> list[str]:
@@ -136,9 +136,10 @@ def categorical_matrix(long: DataFrame, specs: Iterable[CategoricalSpec], roster
     `short_as_zero` presence is 0 for it instead and the other encodings take its rows as they are.
     """
     specs = list(specs)
-    for spec in specs:
+    for spec in list(specs):
         if spec.mode == "one_hot":
-            spec.categories = list(spec.categories or list_categories(long, spec))
+            found = list(spec.categories or list_categories(long, spec))  # the caller's specification stays as it is
+            specs[specs.index(spec)] = replace(spec, categories=found)
     rows = long.where(F.col("phenotype").isin(*[s.phenotype for s in specs]) & F.col("sample_ID").isNotNull()).select(
         "sample_ID", "phenotype", F.col("value").cast("string").alias("text"))
     counters = _value_counters(specs)

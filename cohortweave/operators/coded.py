@@ -181,6 +181,9 @@ def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition]
     `long` holds the rows of every source, named in its `source` column.
     """
     definitions = list(definitions)
+    twice = sorted({d.column for d in definitions if [x.column for x in definitions].count(d.column) > 1})
+    if twice:
+        raise ValueError(f"more than one definition of {', '.join(twice)}")
     rows, _ = _source_rows(long, definitions)
     if roster is None:
         wiring = sorted({(d.column, s.from_phenotype) for d in definitions for s in d.sources})

@@ -113,7 +113,7 @@ def _select_quantiles(present: DataFrame, keys: list[str], probabilities: Sequen
     ]
     # Equal neighbours are returned untouched, so ties with data values stay exact.
     values = ", ".join(
-        f"CASE WHEN _lo{i} = _hi{i} THEN _lo{i} ELSE _lo{i} + (_hi{i} - _lo{i}) * ({p} - floor({p})) END"
+        f"CASE WHEN _lo{i} = _hi{i} THEN _lo{i} ELSE (ceil({p}) - {p}) * _lo{i} + ({p} - floor({p})) * _hi{i} END"
         for i, p in enumerate(position))
     return ranked.groupBy(*keys, "_n").agg(*picks).selectExpr(
         *[quoted(k) for k in keys], "_n AS n", f"array({values}) AS quantiles")

@@ -34,6 +34,11 @@ class RiskRule:
     def __post_init__(self):
         if self.method not in METHODS:
             raise ValueError(f"unknown risk method {self.method!r}, expected one of {', '.join(METHODS)}")
+        if self.cutoffs is not None and list(self.cutoffs) != sorted(self.cutoffs):
+            raise ValueError(f"{self.output_col}: cutoffs must rise")
+        classes = self.n if self.method == "quantile_bin" else len(self.cutoffs) + 1 if self.cutoffs is not None else None
+        if self.labels and classes and len(self.labels) < classes:
+            raise ValueError(f"{self.output_col}: {classes} classes need as many labels, not {len(self.labels)}")
 
     @classmethod
     def for_phenotype(cls, output_name: str, settings: dict) -> RiskRule:

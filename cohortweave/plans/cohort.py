@@ -43,11 +43,17 @@ FAMILY_DEFAULTS = {
 }
 
 
+OTHER_SETTINGS = {"data_type", "phenotype_name", "table", "value_col", "risk_classification"}
+
+
 def complete_spec(spec: dict) -> dict:
     """A specification with its defaults; raises on a missing or unknown setting."""
     family = spec.get("data_type")
     if family not in FAMILY_DEFAULTS:
         raise ValueError(f"data_type must be one of {sorted(FAMILY_DEFAULTS)}, not {family!r}")
+    unknown = sorted(set(spec) - set(COMMON_DEFAULTS) - set(FAMILY_DEFAULTS[family]) - OTHER_SETTINGS)
+    if unknown:
+        raise ValueError(f"{spec.get('phenotype_name', '?')}: unknown settings {', '.join(unknown)}")
     full = {**COMMON_DEFAULTS, **FAMILY_DEFAULTS[family], **spec}
     for needed in ("phenotype_name", "table", "value_col"):
         if full.get(needed) is None:
@@ -170,6 +176,10 @@ def run_cohort(specs: Iterable[dict], tables: dict[str, DataFrame], *,
     if gather not in ("wide", "long", "both"):
         raise ValueError(f"gather must be wide, long or both, not {gather!r}")
     specs = [complete_spec(s) for s in specs]
+    events = list(events)
+    unknown = sorted({name for spec in specs for name in spec["event_mask"]} - {e.name for e in events})
+    if unknown:
+        log.warning("no mask for the unknown events %s", ", ".join(unknown))
     events, definitions = list(events), list(definitions)
     by_family = {f: [s for s in specs if s["data_type"] == f] for f in FAMILY_DEFAULTS}
     out = Cohort()

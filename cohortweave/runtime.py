@@ -16,12 +16,15 @@ BROADCAST_ROWS = 100_000
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir` of the session.
 
-    Only a session without that setting (a laptop, a test) gets a folder of its own.
+    Only a session on one machine (a laptop, a test) gets a folder of its own without that setting; on a
+    cluster each executor would write its part to a disk of its own, so its absence is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if spark.sparkContext.getCheckpointDir() is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cohortweave-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 

@@ -19,8 +19,11 @@ DEFAULT_SEPARATOR = ","
 
 LONG_COLUMNS = ("sample_ID", "data_type", "phenotype", "value", "occurrence_date")
 
-# A character that text tables do not hold: read with it, a whole line is one column.
-_WHOLE_LINE = "\x01"
+# A run of control characters that text tables do not hold: read with it, a whole line is one column.
+_WHOLE_LINE = "\x01\x02\x03\x02\x01"
+
+# What the parser makes room for; wide matrices have far more columns than its default of 20,480.
+MAX_COLUMNS = 1_000_000
 
 
 def resolve_separator(sep: str | None = None, path: str | None = None) -> tuple[str, bool]:
@@ -47,7 +50,8 @@ def scan_delimited(spark: SparkSession, path: str, sep: str | None = None,
     separator, is_regex = resolve_separator(sep, path)
     if is_regex:
         return normalize_nulls(_scan_by_regex(spark, path, separator))
-    raw = spark.read.csv(path, sep=separator, header=True, inferSchema=False,
+    # A file whose header differs from the first one's is an error, not a swap of columns.
+    raw = spark.read.csv(path, sep=separator, header=True, inferSchema=False, enforceSchema=False, maxColumns=MAX_COLUMNS,
                          quote='"', escape='"', multiLine=multiline)
     return normalize_nulls(raw)
 
@@ -60,6 +64,8 @@ def _scan_by_regex(spark: SparkSession, path: str, pattern: str) -> DataFrame:
         header, line = header.strip(), strip(line)
     names = spark.range(1).select(F.split(F.lit(header), pattern)).first()[0]
     fields = F.split(line, pattern)
+    fields = F.when(F.size(fields) <= len(names), fields).otherwise(
+        F.raise_error(F.concat(F.lit(f"more than {len(names)} fields: "), line)))
     return lines.select(*[F.get(fields, F.lit(i)).alias(name) for i, name in enumerate(names)])
 
 
