@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohortweave.functions.values import as_number
-from cohortweave.operators.quantiles import GroupSizes, exact_quantiles, group_sizes
-from cohortweave.runtime import lookup, settle
+from cohortweave.operators.quantiles import exact_quantiles
+from cohortweave.runtime import settle
 
 
 @dataclass(frozen=True)
@@ -34,21 +34,12 @@ def _same_type(long: DataFrame, number: Column) -> Column:
     return number.cast("string") if isinstance(long.schema["value"].dataType, T.StringType) else number
 
 
-def phenotype_sizes(long: DataFrame, phenotypes: list[str] | None, method: str) -> GroupSizes:
-    """Numbers and sizes of the groups; named phenotypes need no job unless quantiles are wanted."""
-    if phenotypes and method != "iqr":
-        return GroupSizes(len(phenotypes), len(phenotypes))
-    return group_sizes(long.where(_targets(long, phenotypes)), ["phenotype"])
-
-
-def outlier_fences(long: DataFrame, rule: OutlierRule, phenotypes: list[str] | None = None,
-                   sizes: GroupSizes | None = None) -> DataFrame:
+def outlier_fences(long: DataFrame, rule: OutlierRule, phenotypes: list[str] | None = None) -> DataFrame:
     """Bounds per phenotype: (phenotype, lo, hi). Groups without any number have no row."""
     target = long.where(_targets(long, phenotypes))
     value = as_number(long, "value")
     if rule.method == "iqr":
-        sizes = sizes or phenotype_sizes(long, phenotypes, rule.method)
-        spread = exact_quantiles(target, ["phenotype"], value, [0.25, 0.75], sizes)
+        spread = exact_quantiles(target, ["phenotype"], value, [0.25, 0.75])
         q1, q3 = F.get("quantiles", F.lit(0)), F.get("quantiles", F.lit(1))
         reach = rule.iqr_multiplier * (q3 - q1)
         return spread.select("phenotype", (q1 - reach).alias("lo"), (q3 + reach).alias("hi"))
@@ -61,10 +52,9 @@ def outlier_fences(long: DataFrame, rule: OutlierRule, phenotypes: list[str] | N
 
 def _with_fences(long: DataFrame, rule: OutlierRule, phenotypes: list[str] | None) -> DataFrame:
     """Each row with `_old` and `_new` numbers and `_hit`, true where its phenotype has fences."""
-    sizes = phenotype_sizes(long, phenotypes, rule.method)
-    fences = outlier_fences(long, rule, phenotypes, sizes).select("phenotype", "lo", "hi", F.lit(True).alias("_fenced"))
-    # Settled: a few rows, needed by every later job on the cleaned values.
-    rows = long.join(lookup(settle(fences), sizes.few), "phenotype", "left")
+    fences = outlier_fences(long, rule, phenotypes).select("phenotype", "lo", "hi", F.lit(True).alias("_fenced"))
+    # Settled: a row per phenotype, needed by every later job on the cleaned values, of a size Spark then knows.
+    rows = long.join(settle(fences), "phenotype", "left")
     value, lo, hi = as_number(long, "value"), F.col("lo"), F.col("hi")
     if rule.mode == "cap":
         # least and greatest skip nulls: a missing bound does not clip, a missing value must stay missing.
@@ -106,16 +96,15 @@ def outlier_filter_batch(long: DataFrame, rules: dict[str, OutlierRule]) -> Data
             by_rule.setdefault(rule, []).append(phenotype)
     if not by_rule:
         return long
-    method = "iqr" if any(rule.method == "iqr" for rule in by_rule) else "zscore"
-    fences, sizes = None, phenotype_sizes(long, [p for ps in by_rule.values() for p in ps], method)
+    fences = None
     for rule, phenotypes in by_rule.items():
-        part = outlier_fences(long, rule, phenotypes, sizes).withColumn("_mode", F.lit(rule.mode))
+        part = outlier_fences(long, rule, phenotypes).withColumn("_mode", F.lit(rule.mode))
         fences = part if fences is None else fences.unionByName(part)
     value, lo, hi = as_number(long, "value"), F.col("lo"), F.col("hi")
     new = F.when(F.col("_mode") == "cap", F.when(value.isNotNull(), F.least(F.greatest(value, lo), hi))).otherwise(
         F.when((value >= lo) & (value <= hi), value))
     hit = _targets(long, None) & F.col("_mode").isNotNull()
-    rows = long.join(lookup(settle(fences), sizes.few), "phenotype", "left")
+    rows = long.join(settle(fences), "phenotype", "left")
     return rows.withColumn(
         "value", F.when(hit, _same_type(long, new)).otherwise(F.col("value"))).select(*long.columns)
 
@@ -137,7 +126,7 @@ def scale_filter(long: DataFrame, method: str = "zscore", phenotypes: list[str]
         (F.col("mean") if method == "zscore" else F.col("lo")).alias("_shift"),
         (F.col("sd") if method == "zscore" else F.col("hi") - F.col("lo")).alias("_unit"),
     )
-    rows = long.join(lookup(settle(stats), phenotype_sizes(long, phenotypes, method).few), "phenotype", "left")
+    rows = long.join(settle(stats), "phenotype", "left")
     shifted = as_number(long, "value") - F.col("_shift")
     scaled = F.when(F.col("_unit") > 0, shifted / F.col("_unit")).otherwise(shifted)
     hit = _targets(long, phenotypes) & F.col("_shift").isNotNull()

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import as_date, as_number
-from cohortweave.operators.quantiles import LARGE_GROUP, column_quantiles, exact_quantiles, group_sizes, large_groups
+from cohortweave.operators.quantiles import column_quantiles, exact_quantiles
 from cohortweave.runtime import quoted, settle
 
 DEFAULT_STATS = ("mean", "median", "std")
@@ -41,36 +41,25 @@ def _mergeable(stat: str, v: Column, when: Column | None) -> Column:
     }[stat]()
 
 
-def sample_stats(long: DataFrame, stats: Iterable[str], keys: Iterable[str] = ("sample_ID",),
-                 large_group: int = LARGE_GROUP) -> DataFrame:
+def sample_stats(long: DataFrame, stats: Iterable[str], keys: Iterable[str] = ("sample_ID",)) -> DataFrame:
     """(*keys, n, one column per statistic) over numeric values.
 
-    All statistics but the median have a constant-size state. The median goes through the built-in
-    percentile for groups up to `large_group` rows; larger ones, if there are any, are selected by
-    `exact_quantiles`, so that no task ever holds all values of a huge sample.
+    All statistics but the median have a constant-size state. The median comes from `exact_quantiles`,
+    so that no task ever holds all values of a huge sample; beside others it has the rows written once.
     """
     keys, stats = list(keys), list(stats)
     when = as_date(long, "occurrence_date") if {"first", "last"} & set(stats) else None
     rows = long.select(*keys, as_number(long, "value").alias("_v"), *([when.alias("_d")] if when is not None else []))
-    rows = rows.where(F.col("_v").isNotNull())
-    for key in keys:
-        rows = rows.where(F.col(key).isNotNull())
+    rows = rows.dropna(subset=["_v", *keys])
     v, d = F.col("_v"), F.col("_d") if when is not None else None
-    plain = [F.count(v).alias("n"), *[_mergeable(s, v, d).alias(s) for s in stats if s != "median"]]
+    others = [_mergeable(s, v, d).alias(s) for s in stats if s != "median"]
     if "median" not in stats:
-        return rows.groupBy(*keys).agg(*plain)
-
-    median = F.percentile(v, 0.5).alias("median")
-    sizes = group_sizes(long, keys, large_group)
-    columns = [*keys, "n", *stats]
-    if sizes.large_groups == 0:
-        return rows.groupBy(*keys).agg(*plain, median).select(*columns)
-    large = large_groups(rows, keys, sizes, large_group)
-    ordinary = rows.join(large, keys, "left_anti").groupBy(*keys).agg(*plain, median)
-    huge = rows.join(large, keys, "left_semi")
-    medians = exact_quantiles(huge, keys, v, [0.5], sizes.of_large).select(*keys, F.get("quantiles", F.lit(0)).alias("median"))
-    return ordinary.select(*columns).unionByName(
-        huge.groupBy(*keys).agg(*plain).join(medians, keys).select(*columns))
+        return rows.groupBy(*keys).agg(F.count(v).alias("n"), *others)
+    rows = settle(rows) if others else rows
+    found = exact_quantiles(rows, keys, v, [0.5]).select(*keys, "n", F.get("quantiles", F.lit(0)).alias("median"))
+    if others:
+        found = found.join(rows.groupBy(*keys).agg(*others), keys)
+    return found.select(*keys, "n", *stats)
 
 
 def quantitative_summary(long: DataFrame, output_name: str, stats: Iterable[str] | str | None = None,

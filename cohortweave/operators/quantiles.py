@@ -1,91 +1,38 @@
-"""Exact quantiles that stay distributed when one group holds most of the rows.
+"""Exact quantiles in one plan, whatever the sizes of the groups and however close their values are.
 
-`percentile` keeps every distinct value of a group in one buffer. That is the fast way for groups
-known to be small, and no way for a phenotype measured billions of times. Group sizes are therefore
-looked at first (a count over the key columns); beyond LARGE_GROUP the quantile is selected instead:
+1. Equal values of a group are counted, combined on the map side.
+2. The counts are range-partitioned by (keys, value) and written once: a large group spreads over
+   many tasks, also when all its values are near each other.
+3. One small row per group and partition tells where in its group each partition starts, hence
+   which partitions hold the wanted ranks.
+4. Only in those the running total is taken; the two neighbours of each position are interpolated.
 
-1. count the values per bucket. A bucket is a fixed function of the value (its power of two cut in
-   4096 parts), so a group has a bounded number of them whatever the data, the counts are combined
-   on the map side, and a task that is run again assigns every value as before;
-2. a running total over the buckets tells which of them hold the wanted ranks;
-3. only the values of those buckets are fetched, equal ones combined, and ranked; the two
-   neighbours of the wanted position are interpolated.
-
-Both passes read the needed columns only and shuffle counts and a sliver of the values, never the
-data.
+No task holds a group, and no group's answer depends on the groups beside it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import as_number
-from cohortweave.runtime import BROADCAST_ROWS, lookup, quoted, settle
-
-PARTS_PER_OCTAVE = 4096
-EXPONENT_SHIFT = 1100  # makes every exponent of a double positive
-INFINITE = 1 << 40
-
-# Groups up to this many values go through the built-in percentile.
-LARGE_GROUP = 1_000_000
-
-
-@dataclass(frozen=True)
-class GroupSizes:
-    """What is known about the groups of a table before choosing a plan for them."""
-
-    groups: int
-    large_groups: int
-
-    @property
-    def few(self) -> bool:
-        """One row per group may be broadcast."""
-        return self.groups <= BROADCAST_ROWS
-
-    @property
-    def of_large(self) -> GroupSizes:
-        """The same for the large groups alone."""
-        return GroupSizes(self.large_groups, self.large_groups)
-
+from cohortweave.runtime import quoted, settle
 
-def group_sizes(df: DataFrame, keys: Sequence[str], limit: int = LARGE_GROUP) -> GroupSizes:
-    """Count the groups, and those with more than `limit` rows. Reads the key columns only."""
-    sizes = df.dropna(subset=list(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-    return GroupSizes(*sizes.agg(F.count("_size"), F.count(F.when(F.col("_size") > limit, 1))).first())
 
-
-def value_bucket(name: str) -> str:
-    """SQL text: an order-preserving bucket number for a double column."""
-    exponent = f"floor(log2(abs({name})))"
-    part = f"floor((abs({name}) / pow(2d, {exponent}) - 1) * {PARTS_PER_OCTAVE})"
-    number = f"(({exponent} + {EXPONENT_SHIFT}) * {PARTS_PER_OCTAVE} + {part})"
-    return f"""CAST(CASE WHEN {name} = 0 THEN 0
-        WHEN {name} = double('infinity') THEN {INFINITE} WHEN {name} = double('-infinity') THEN -{INFINITE}
-        WHEN {name} > 0 THEN {number} ELSE -{number} END AS BIGINT)"""
-
-
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float],
-                    sizes: GroupSizes) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float]) -> DataFrame:
     """Linear-interpolated quantiles per group: (*keys, n, quantiles array<double>).
 
     Null values and rows with a null key are left out; a group without values gives no row.
     """
-    keys = list(keys)
-    present = df.select(*keys, value.alias("_v")).dropna(subset=[*keys, "_v"])
-    if sizes.large_groups == 0:
-        found = present.groupBy(*keys).agg(
-            F.count("_v").alias("n"), F.percentile("_v", [float(p) for p in probabilities]).alias("quantiles"))
-        return found.where(F.col("n") > 0)
-    return _select_quantiles(present, keys, probabilities, sizes.few)
-
-
-def _select_quantiles(present: DataFrame, keys: list[str], probabilities: Sequence[float], few: bool) -> DataFrame:
-    present = present.withColumn("_bucket", F.expr(value_bucket("_v")))
+    names, keys = list(keys), [quoted(k) for k in keys]
+    present = df.select(*keys, value.cast("double").alias("_v")).dropna(subset=[*names, "_v"])
+    counts = present.groupBy(*keys, "_v").agg(F.count("_v").alias("_w"))
+    dealt = counts.repartitionByRange(*[F.col(k) for k in keys], F.col("_v")).withColumn("_part", F.spark_partition_id())
+    # written, as a second sampling could choose other ranges
+    dealt = settle(dealt)
 
     position = [f"({float(p)!r}d * (_n - 1))" for p in probabilities]
     low = [f"CAST(floor({p}) AS BIGINT)" for p in position]
@@ -93,19 +40,18 @@ def _select_quantiles(present: DataFrame, keys: list[str], probabilities: Sequen
     ranks = ", ".join(dict.fromkeys(low + high))
 
     group = W.partitionBy(*keys)
-    so_far = group.orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    wanted = (
-        present.groupBy(*keys, "_bucket").agg(F.count("_v").alias("_size"))
-        .withColumns({"_n": F.sum("_size").over(group), "_end": F.sum("_size").over(so_far)})
+    earlier = group.orderBy("_part").rowsBetween(W.unboundedPreceding, W.currentRow)
+    parts = (
+        dealt.groupBy(*keys, "_part").agg(F.sum("_w").alias("_size"))
+        .withColumns({"_n": F.sum("_size").over(group), "_end": F.sum("_size").over(earlier)})
         .where(f"exists(array({ranks}), r -> r >= _end - _size AND r < _end)")
-        .selectExpr(*[quoted(k) for k in keys], "_bucket", "_n", "_end - _size AS _start")
+        .selectExpr(*keys, "_part", "_n", "_end - _size AS _start")
     )
-
-    inside = W.partitionBy(*keys, "_bucket").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = W.partitionBy(*keys, "_part").orderBy("_v").rowsBetween(W.unboundedPreceding, W.currentRow)
     ranked = (
-        present.join(lookup(wanted, few), [*keys, "_bucket"])
-        .groupBy(*keys, "_bucket", "_n", "_start", "_v").agg(F.count("_v").alias("_w"))
+        dealt.join(parts, [*names, "_part"])
         .withColumn("_end", F.sum("_w").over(inside) + F.col("_start"))
+        .where(f"exists(array({ranks}), r -> r >= _end - _w AND r < _end)")
     )
     picks = [
         F.expr(f"max(CASE WHEN {rank} >= _end - _w AND {rank} < _end THEN _v END) AS {side}{i}")
@@ -115,37 +61,20 @@ def _select_quantiles(present: DataFrame, keys: list[str], probabilities: Sequen
     values = ", ".join(
         f"CASE WHEN _lo{i} = _hi{i} THEN _lo{i} ELSE (ceil({p}) - {p}) * _lo{i} + ({p} - floor({p})) * _hi{i} END"
         for i, p in enumerate(position))
-    return ranked.groupBy(*keys, "_n").agg(*picks).selectExpr(
-        *[quoted(k) for k in keys], "_n AS n", f"array({values}) AS quantiles")
-
-
-def large_groups(df: DataFrame, keys: Sequence[str], sizes: GroupSizes, limit: int = LARGE_GROUP) -> DataFrame:
-    """Keys of the groups with more than `limit` rows."""
-    found = (
-        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"))
-        .where(F.col("_size") > limit).select(*keys)
-    )
-    return lookup(settle(found), sizes.of_large.few)
+    return ranked.groupBy(*keys, "_n").agg(*picks).selectExpr(*keys, "_n AS n", f"array({values}) AS quantiles")
 
 
-def column_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]], limit: int = LARGE_GROUP) -> DataFrame:
+def column_quantiles(df: DataFrame, wanted: dict[str, Sequence[float]]) -> DataFrame:
     """Quantiles of whole columns in one row: a struct (n, q) per column.
 
-    A table with many rows has its columns unpivoted and selected together, so it is not read once
-    per column. Settle `df` first where it is costly to compute: it is read more than once.
+    The columns are unpivoted and selected together, so the table is read once, not once per column.
     """
     names = list(wanted)
-    if df.count() <= limit:
-        return df.agg(*[
-            F.struct(F.count(as_number(df, name)).alias("n"),
-                     F.percentile(as_number(df, name), [float(p) for p in wanted[name]]).alias("q")).alias(name)
-            for name in names
-        ])
     probabilities = sorted({float(p) for ps in wanted.values() for p in ps})
     cells = df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("_c"), as_number(df, name).alias("_x")) for i, name in enumerate(names)
     ])).alias("_cell")).select("_cell.*")
-    found = exact_quantiles(cells, ["_c"], F.col("_x"), probabilities, GroupSizes(len(names), len(names)))
+    found = exact_quantiles(cells, ["_c"], F.col("_x"), probabilities)
 
     def own(i, name):
         places = ", ".join(f"get(quantiles, {probabilities.index(float(p))})" for p in wanted[name])

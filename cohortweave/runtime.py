@@ -49,12 +49,6 @@ def settle(df: DataFrame) -> DataFrame:
     return done
 
 
-def lookup(df: DataFrame, few: bool) -> DataFrame:
-    """The side of a join that holds one row per group: broadcast when the groups are known to be
-    few, joined by shuffle otherwise."""
-    return F.broadcast(df) if few else df
-
-
 def local_table(spark: SparkSession, columns: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:
     """A table of caller-supplied rules, with a size the optimizer knows."""
     arrays = {name: pa.array(values, type=types[name]) for name, values in columns.items()}

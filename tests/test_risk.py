@@ -3,7 +3,6 @@ import logging
 import pytest
 from conftest import by_sample
 
-from cohortweave.operators import quantiles
 from cohortweave.operators.risk import RiskRule, risk_matrix, risk_report
 
 
@@ -21,19 +20,7 @@ TEN = [float(i) for i in range(1, 11)]
 EIGHT = TEN[:8]
 
 
-@pytest.fixture(params=["small", "large"])
-def either_plan(request, monkeypatch):
-    """Cutoffs by the built-in percentile and by selection."""
-    if request.param == "large":
-        default = quantiles.column_quantiles.__defaults__
-        quantiles.column_quantiles.__defaults__ = (0,)
-        yield
-        quantiles.column_quantiles.__defaults__ = default
-    else:
-        yield
-
-
-def test_percentile(spark, either_plan):
+def test_percentile(spark):
     assert classes(spark, TEN, "percentile", high=90) == [0.0] * 9 + [1.0]
     assert classes(spark, TEN, "percentile", low=10) == [1.0] + [0.0] * 9
     assert classes(spark, TEN, "percentile", high=90, low=10) == [1.0] + [0.0] * 8 + [1.0]
@@ -49,7 +36,7 @@ def test_threshold(spark):
     assert classes(spark, [1.0, 9.0], "threshold", cutoffs=(5,), labels=("a", "b")) == ["a", "b"]
 
 
-def test_quantile_bins(spark, either_plan):
+def test_quantile_bins(spark):
     assert classes(spark, EIGHT, "quantile_bin", n=4) == [0, 0, 1, 1, 2, 2, 3, 3]
     assert classes(spark, EIGHT, "quantile_bin", n=4, high=1, low=1) == [1, 1, 0, 0, 0, 0, 1, 1]
     assert classes(spark, [*EIGHT, None], "quantile_bin", n=2, labels=("lo", "hi")) == ["lo"] * 4 + ["hi"] * 4 + [None]
@@ -92,7 +79,7 @@ def test_text_columns_are_read_as_numbers(spark):
     assert by_sample(risk_matrix(df, [RiskRule("percentile", "x_mean", "r", high=50)])) == {"1": 0.0, "2": None, "3": 1.0}
 
 
-def test_report(spark, either_plan):
+def test_report(spark):
     rules = [RiskRule("percentile", "x_mean", "p", high=90), RiskRule("quantile_bin", "x_mean", "q", n=2, labels=("lo", "hi")),
              RiskRule("threshold", "x_mean", "t", cutoffs=(5, 100))]
     lines = {(r.output_col, r.entry, r.label): r.value for r in risk_report(table(spark, [*TEN, None]), rules).collect()}

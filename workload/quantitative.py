@@ -26,10 +26,10 @@ def _register(stat):
 for _stat in N.STATS:
     _register(_stat)
 
-# The median again with every sample on the path of very large groups.
+# The median alone, over larger samples.
 @query("stat_median_large_groups", f"""SELECT "sample_ID", ROUND(median(value), 6) AS median FROM {ORDERS} GROUP BY 1""")
 def _stat_median_large_groups(spark, sf_dir):
-    found = N.sample_stats(long_orders(spark, sf_dir), ["median"], large_group=0)
+    found = N.sample_stats(long_orders(spark, sf_dir), ["median"])
     return found.select("sample_ID", rounded("median"))
 
 
