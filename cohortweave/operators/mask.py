@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.functions.values import as_date, strip
 from cohortweave.operators.codes import join_patterns, normalize_patterns, pattern_table, same_head_form
-from cohortweave.runtime import local_table
+from cohortweave.runtime import local_table, quoted
 
 log = logging.getLogger(__name__)
 
@@ -161,26 +161,23 @@ def apply_mask_batch(long: DataFrame, intervals: DataFrame, opt_in: dict[str, It
                      owner_col: str = "phenotype", spare_synthetic: bool = False) -> DataFrame:
     """Mask many phenotypes at once; `opt_in` names the events of each.
 
-    Phenotypes that did not opt in bypass the join. The others carry their list of events, so the
-    windows are not multiplied by the number of phenotypes.
+    The input is read once. Each row carries the list of events of its phenotype, so the windows are
+    not multiplied by the number of phenotypes; a phenotype that did not opt in has none and matches nothing.
     """
     opt_in = {name: list(events) for name, events in opt_in.items() if events}
     if not opt_in:
         return long
-    owner = F.coalesce(F.col(owner_col), F.lit(""))
-    takes_part = owner.isin(*opt_in)
     chosen = local_table(
         long.sparkSession, {"_owner": list(opt_in), "_events": list(opt_in.values())},
         {"_owner": pa.string(), "_events": pa.list_(pa.string())})
-    rows = long.where(takes_part).join(chosen, F.col(owner_col) == F.col("_owner")).drop("_owner")
+    rows = long.join(chosen, F.col(owner_col) == F.col("_owner"), "left").drop("_owner")
     wanted = sorted({e for events in opt_in.values() for e in events})
     windows = _checked_intervals(intervals).where(F.col("event_type").isin(*wanted))
     windows = merge_intervals(windows, ["sample_ID", "event_type"])
     extra = F.array_contains(F.col("_events"), F.col("_w_event_type"))
     if spare_synthetic:
         extra = extra & _maskable(long, True)
-    masked = _outside(rows, windows, extra).select(*long.columns)
-    return long.where(~takes_part).unionByName(masked)
+    return _outside(rows, windows, extra).select(*[quoted(c) for c in long.columns])
 
 
 def event_definitions_from_table(codes: DataFrame, source: str = "ICD10", offset_before: int = -270,

@@ -15,28 +15,31 @@ from workload.base import (
 def parts(spark, sf_dir):
     orders = quantitative_summary(long_orders(spark, sf_dir), "TP", ["mean", "max"]).select(
         "sample_ID", rounded("TP_mean"), "TP_max")
-    clicks = quantitative_summary(long_events(spark, sf_dir).where("phenotype = 'click'"), "CLICK", ["count"])
+    events = quantitative_summary(long_events(spark, sf_dir), "EVENT", ["count"])
     code = basic_coded(long_codes(spark, sf_dir), "N24.4")
-    segment = categorical(cat_segment(spark, sf_dir), CategoricalSpec("SEGMENT", one_hot=True, categories=["BUILDING"]))
-    return [orders, clicks, code, segment]
+    segment = categorical(cat_segment(spark, sf_dir), CategoricalSpec("SEGMENT", one_hot=True))
+    return [orders, events, code, segment]
 
 
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+FLAGS = [f'"SEGMENT_{s}"' for s in SEGMENTS]
 PARTS = f"""WITH o AS (SELECT "sample_ID", ROUND(avg(value), 6) AS "TP_mean", max(value) AS "TP_max" FROM {ORDERS} GROUP BY 1),
-  k AS (SELECT "sample_ID", count(*) AS "CLICK_count" FROM {EVENTS} WHERE phenotype = 'click' GROUP BY 1),
+  k AS (SELECT "sample_ID", count(*) AS "EVENT_count" FROM {EVENTS} GROUP BY 1),
   d AS (SELECT "sample_ID", 1 AS "N24.4" FROM {CODES} WHERE value = 'N24.4' GROUP BY 1),
-  g AS (SELECT CAST(c_custkey AS VARCHAR) AS "sample_ID", CAST(c_mktsegment = 'BUILDING' AS INT) AS "SEGMENT_BUILDING"
-        FROM customer)"""
+  g AS (SELECT CAST(c_custkey AS VARCHAR) AS "sample_ID",
+        {', '.join(f"CAST(c_mktsegment = '{s}' AS INT) AS {c}" for s, c in zip(SEGMENTS, FLAGS))} FROM customer)"""
 
 
-@query("gather_wide", f"""{PARTS} SELECT "sample_ID", "TP_mean", "TP_max", "CLICK_count", "N24.4", "SEGMENT_BUILDING"
+@query("gather_wide", f"""{PARTS} SELECT "sample_ID", "TP_mean", "TP_max", "EVENT_count", "N24.4", {', '.join(FLAGS)}
   FROM o FULL JOIN k USING ("sample_ID") FULL JOIN d USING ("sample_ID") FULL JOIN g USING ("sample_ID")""")
 def _gather_wide(spark, sf_dir):
     return gather_wide(parts(spark, sf_dir))
 
 
 LONG = f"""{PARTS} SELECT "sample_ID", 'TP_mean' AS phenotype, "TP_mean" AS value FROM o
-  UNION ALL SELECT "sample_ID", 'TP_max', "TP_max" FROM o UNION ALL SELECT "sample_ID", 'CLICK_count', "CLICK_count" FROM k
-  UNION ALL SELECT "sample_ID", 'N24.4', "N24.4" FROM d UNION ALL SELECT "sample_ID", 'SEGMENT_BUILDING', "SEGMENT_BUILDING" FROM g"""
+  UNION ALL SELECT "sample_ID", 'TP_max', "TP_max" FROM o UNION ALL SELECT "sample_ID", 'EVENT_count', "EVENT_count" FROM k
+  UNION ALL SELECT "sample_ID", 'N24.4', "N24.4" FROM d
+  {' '.join(f'''UNION ALL SELECT "sample_ID", 'SEGMENT_{s}', {c} FROM g''' for s, c in zip(SEGMENTS, FLAGS))}"""
 
 
 @query("gather_long", LONG)
@@ -50,8 +53,7 @@ def _gather_long(spark, sf_dir):
 def _gather_both(spark, sf_dir):
     # Both forms hold the same cells.
     wide, long = gather_both(parts(spark, sf_dir), sort=False)
-    names = ["TP_mean", "TP_max", "CLICK_count", "N24.4", "SEGMENT_BUILDING"]
-    filled = sum((F.col(f"`{n}`").isNotNull().cast("bigint") for n in names), F.lit(0))
+    filled = sum((F.col(f"`{n}`").isNotNull().cast("bigint") for n in wide.columns if n != "sample_ID"), F.lit(0))
     cells = long.groupBy("sample_ID").agg(F.count(F.lit(1)).alias("cells"))
     return wide.select("sample_ID", filled.cast("bigint").alias("filled")).join(cells, "sample_ID")
 

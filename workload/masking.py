@@ -54,16 +54,16 @@ def _event_windows(spark, sf_dir):
     return _shown(M.event_windows(M.event_code_select(long_codes(spark, sf_dir), EVENT_LIST)))
 
 
-SIGNUPS = """(SELECT CAST(user_id AS VARCHAR) AS "sample_ID", CAST(ts AS DATE) - 1 AS window_start,
-  CAST(ts AS DATE) + 2 AS window_end FROM events WHERE event_type = 'signup')"""
+AROUND = """(SELECT CAST(user_id AS VARCHAR) AS "sample_ID", event_type, CAST(ts AS DATE) - 1 AS window_start,
+  CAST(ts AS DATE) + 2 AS window_end FROM events)"""
 
 
-@query("merge_intervals", f"""SELECT "sample_ID", {DATES} FROM {_merge_sql(SIGNUPS, '"sample_ID"')}""")
+@query("merge_intervals", f"""SELECT "sample_ID", event_type, {DATES} FROM {_merge_sql(AROUND, '"sample_ID", event_type')}""")
 def _merge_intervals(spark, sf_dir):
-    signups = long_events(spark, sf_dir).where("phenotype = 'signup'").select(
-        "sample_ID", F.date_add("occurrence_date", -1).alias("window_start"),
+    around = long_events(spark, sf_dir).select(
+        "sample_ID", F.col("phenotype").alias("event_type"), F.date_add("occurrence_date", -1).alias("window_start"),
         F.date_add("occurrence_date", 2).alias("window_end"))
-    return _shown(M.merge_intervals(signups, ["sample_ID"]))
+    return _shown(M.merge_intervals(around, ["sample_ID", "event_type"]))
 
 
 @query("mask_intervals", f"SELECT \"sample_ID\", event_type, {DATES} FROM {MERGED}")
