@@ -20,6 +20,14 @@ def whole_text(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """25 bytes that tell rows apart by doc_id and text together (128 bits of hash) and sort by doc_id, a null one first."""
+    number = F.col(doc_id).cast("long")
+    digits = lambda c: F.lpad(F.hex(c), 16, "0")
+    known = F.concat(F.lit("01"), digits(number.bitwiseXOR(F.lit(-(1 << 63)))))
+    return F.unhex(F.concat(F.coalesce(known, F.lit("00" + "0" * 16)), digits(F.xxhash64(text)), digits(F.xxhash64(F.lit(1), text))))
+
+
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence[Column], size: str | None = None) -> DataFrame:
     """`df` with `_rank` (from 0) in its group, and `_before`, the sum of `size` over earlier rows.
 

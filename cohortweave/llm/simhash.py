@@ -27,8 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortweave.llm.shared import components
-from cohortweave.runtime import settle
+from cohortweave.llm.shared import components, row_key
+from cohortweave.runtime import quoted, settle
 
 SEED = 42
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # lowest bit, width
@@ -53,14 +53,14 @@ def fingerprint(text: str | None, words: int = 4) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 4) -> DataFrame:
-    """doc_id and `fp`, the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, words: int = 4, key: str = "doc_id", kind: str = "long") -> DataFrame:
+    """The column `key` and `fp`, the fingerprint as a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t, words) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], [key, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(key).cast(kind), "text").mapInArrow(run, f"{key} {kind}, fp long")
 
 
 def index_rows(prints: DataFrame) -> DataFrame:
@@ -153,25 +153,33 @@ def centre_links(prints: DataFrame, distance: int) -> DataFrame:
     return centres.join(first, "c").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
 
 
-def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, large: int = 20_000) -> DataFrame:
-    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable through links."""
+def rooted(prints: DataFrame, distance: int, large: int) -> DataFrame:
+    """`prints` with `root`, one fingerprint for each component."""
     if distance not in (0, 2, 4):
         raise ValueError("three segments with one wildcard each serve distances of 0, 2 or 4 bits")
-    prints = settle(fingerprints(docs, words))
     distinct = prints.select("fp").distinct()
     index = settle(index_rows(distinct))
     crowded = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > large).select("key")
     links = bucket_links(index.join(crowded, "key", "left_anti"), distance)
     links = links.union(centre_links(index.join(crowded, "key", "left_semi").select("fp").distinct(), distance))
     roots = components(links)
-    named = prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
+def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, large: int = 20_000) -> DataFrame:
+    """(doc_id, fp, component_id): component_id is the smallest doc_id reachable through links."""
+    named = rooted(settle(fingerprints(docs, words)), distance, large)
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return named.join(smallest, "root").select("doc_id", "fp", "component_id")
 
 
-def one_per_group(docs: DataFrame, **settings) -> DataFrame:
-    """`docs` without the near copies: the row of the smallest doc_id of each group stays, one such row."""
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    groups = simhash_groups(docs, **settings)
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias("_key")).distinct()
-    return docs.withColumn("_key", key).join(stays, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+def one_per_group(docs: DataFrame, words: int = 4, distance: int = 4, large: int = 20_000) -> DataFrame:
+    """`docs` without the near copies: one row of each group stays, that of the smallest doc_id, then text hash; null ids come last.
+
+    A row is told by its doc_id and text together, so rows of other groups with the same doc_id, or none, stay as well.
+    """
+    keyed = docs.withColumn("_key", row_key())
+    named = rooted(settle(fingerprints(keyed, words, "_key", "binary")), distance, large)
+    last = F.substring("_key", 1, 1) == F.unhex(F.lit("00"))  # no doc_id
+    stays = named.groupBy("root").agg(F.min(F.struct(last.alias("last"), "_key"))["_key"].alias("_key")).select("_key")
+    return keyed.join(stays, "_key", "left_semi").dropDuplicates(["_key"]).select(*[F.col(quoted(c)) for c in docs.columns])

@@ -13,8 +13,8 @@ pieces that share its anchor. An anchor with more than `crowd` occurrences (a co
 windows are dealt out by their own hash, which equal windows share, so no shard ever holds more than `crowd` distinct pieces,
 and equal pieces are combined before they are shuffled.
 
-Defined results: a null text has no words; fewer words than a window: nothing goes; rows repeated under a doc_id are one document
-and are cleaned alike; a null doc_id comes first; an empty table gives an empty result. Anchors are compared as 64-bit hashes, which can
+Defined results: a null text has no words; fewer words than a window: nothing goes; rows with equal doc_id and text are one document
+and are cleaned alike; other rows of a doc_id, also of a null one, are documents of their own; a null doc_id comes first; an empty table gives an empty result. Anchors are compared as 64-bit hashes, which can
 only bring strangers together; equal pieces are told by 128 bits.
 """
 
@@ -28,8 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortweave.llm.lines import id_of
-from cohortweave.llm.shared import may_hold
+from cohortweave.llm.shared import may_hold, row_key
 from cohortweave.runtime import settle
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -154,16 +153,16 @@ def anchors(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 words = (text or "").encode("utf-8").split()
                 found.append(word_pieces(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), window, gram)[0])
                 counts.append(len(found[-1]))
-            ids = np.repeat(batch.column(0).to_numpy(), counts)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(ids, pa.int64())], names=["anchor", "id"])
+            ids = batch.column(0).take(pa.array(np.repeat(np.arange(len(counts)), counts)))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), ids], names=["anchor", "id"])
 
-    return docs.select("id", "text").mapInArrow(run, "anchor long, id long")
+    return docs.select("id", "text").mapInArrow(run, "anchor long, id binary")
 
 
 def cut_pieces(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """(key, id, start, n, text) of the pieces with an anchor in `repeated` (map<anchor, split>). `docs`: id, text, repeated."""
-    schema = "key long, id long, start int, n int, text string"
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.string()]
+    schema = "key long, id binary, start int, n int, text string"
+    types = [pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHashes()
@@ -211,10 +210,11 @@ def match_pieces(distinct: DataFrame, window: int) -> DataFrame:
                 if not all(found):
                     automaton.add_piece(words)
             columns = list(zip(*out)) or [[]] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["id", "low", "high"])
+            types = [pa.binary(), pa.int64(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["id", "low", "high"])
 
     dealt = distinct.repartition("key").sortWithinPartitions("key", "id", "start").select("key", "id", "start", "text")
-    return dealt.mapInArrow(run, "id long, low long, high long")
+    return dealt.mapInArrow(run, "id binary, low long, high long")
 
 
 def repeated_words(docs: DataFrame, window: int = 20, gram: int = 8, crowd: int = 1000) -> DataFrame:
@@ -258,7 +258,7 @@ def kept_words(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame, **settings) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_of("doc_id").alias("id"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("id"), "text")
     gone = settle(repeated_words(rows.select("id", "text"), **settings))
     touched = may_hold(gone.select("id"), F.col("id"))
     kind = gone.schema["gone"].dataType
