@@ -120,6 +120,11 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     return F.broadcast(known).join(texts, "_id").select("_id", "_turn", "text", "label")  # `most` rows of three numbers
 
 
+def gathered_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
+    """`labelled_rows` in one partition, by an exchange behind the join: all tasks read the documents, one gets the rows found."""
+    return labelled_rows(docs, labels, most).repartition(1)
+
+
 def held_out(name: str):
     return F.coalesce(F.crc32(F.col(name).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
@@ -143,8 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) ->
         bias = model.bias() if rows else float(np.log(prior / (1 - prior)))
         yield pd.DataFrame({"place": np.append(at, -1), "value": np.append(w[at], bias)})
 
-    one = labelled_rows(docs, labels, s.most).coalesce(1)  # bounded by `most`
-    found = one.mapInPandas(train, "place long, value double").toPandas()
+    found = gathered_rows(docs, labels, s.most).mapInPandas(train, "place long, value double").toPandas()
     bias = found.loc[found["place"] < 0, "value"]
     found = found[found["place"] >= 0]
     base = float(bias.iloc[0]) if len(bias) else float(np.log(s.prior / (1 - s.prior)))

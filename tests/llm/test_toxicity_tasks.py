@@ -1,0 +1,11 @@
+from cohortweave.llm import toxicity
+
+
+def test_documents_are_joined_before_the_rows_come_to_one_task(spark, docs_of):
+    docs = docs_of(["text %d" % i for i in range(40)])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    rows = toxicity.gathered_rows(docs, labels, 20)
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert rows.rdd.getNumPartitions() == 1 and "Coalesce" not in plan
+    assert plan.index("SinglePartition") < plan.index("Join")  # the exchange is above the join
+    assert toxicity.labelled_rows(docs, labels, 20).rdd.getNumPartitions() > 1 and rows.count() <= 20
