@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortweave.llm import lines, mixing, mtree, packing, pii, resharding, simhash, substrings, toxicity, winnowing
+from cohortweave.llm import conversations, large_items, lines, mixing, mtree, packing, pii, resharding, simhash, spelling, substrings, toxicity, winnowing
 from cohortweave.llm.shared import read
 
 QUERIES, ORACLES = {}, {}
@@ -118,3 +118,19 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.without_repeats(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read(spark, sf_dir, "conversations")
+    return conversations.repaired_conversations(turns, conversations.damaged(turns))
+
+
+@query("op12_partenum_spelling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read(spark, sf_dir, "documents"))
+
+
+@query("op13_large_item_packing")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return large_items.pack_documents(read(spark, sf_dir, "documents"), tokenizer_path())
