@@ -40,15 +40,55 @@ def settle(df: DataFrame) -> DataFrame:
     Several readers then share one computation, reading only the columns they need, the optimizer
     knows the size, and a lost executor costs a re-read instead of a re-run.
     """
-    if getattr(df, "_settled", False):
+    if getattr(df, "_settled", None):
         return df
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     done = df.sparkSession.read.schema(df.schema).parquet(path)
-    done._settled = True
+    done._settled = path
     return done
 
 
+def release(table: DataFrame) -> None:
+    """Delete the folder of a settled table; no plan may read it from then on."""
+    path = getattr(table, "_settled", None)
+    if path:
+        jvm = table.sparkSession.sparkContext._jvm
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scope:
+    """Owns the tables it settles: each is dropped after its last reader, all of them if the work fails.
+
+    A table that was settled before belongs to its caller and is never dropped here. What is left when the work ends well is still
+    read by the lazy result; `drop` removes it when that is done with.
+    """
+
+    def __init__(self):
+        self.tables: list[DataFrame] = []
+
+    def __enter__(self) -> Scope:
+        return self
+
+    def __exit__(self, kind, error, trace) -> None:
+        if kind is not None:
+            self.drop()
+
+    def settle(self, df: DataFrame) -> DataFrame:
+        done = settle(df)
+        if done is not df:
+            self.tables.append(done)
+        return done
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Drop `tables`, or all that are left."""
+        for table in tables or tuple(self.tables):
+            if any(table is t for t in self.tables):
+                release(table)
+                self.tables = [t for t in self.tables if t is not table]
+
+
 def local_table(spark: SparkSession, columns: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:
     """A table of caller-supplied rules, with a size the optimizer knows."""
     arrays = {name: pa.array(values, type=types[name]) for name, values in columns.items()}

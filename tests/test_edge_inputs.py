@@ -2,6 +2,7 @@
 
 import datetime
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +10,7 @@ from cohortweave.functions.dates import whole_years
 from cohortweave.functions.values import as_date
 from cohortweave.operators.categorical import CategoricalSpec, categorical
 from cohortweave.operators.coded import CodedDefinition, CodeSource, advanced_coded_batch
-from cohortweave.operators.quantiles import GroupSizes, exact_quantiles
+from cohortweave.operators.quantiles import exact_quantiles
 from cohortweave.operators.risk import RiskRule
 from cohortweave.plans.cohort import complete_spec
 from cohortweave.sources.delimited import scan_delimited
@@ -29,11 +30,16 @@ def test_whole_years(spark):
     assert [r["a"] for r in got] == [r["y"] for r in got]
 
 
-def test_both_quantile_plans_agree_to_the_bit(spark):
-    df = spark.range(20_000).select((F.col("id") % 40).alias("g"), F.rand(7).alias("v"))
-    probabilities = [0.1, 0.25, 1 / 3, 0.9]
-    few, many = (exact_quantiles(df, ["g"], F.col("v"), probabilities, GroupSizes(40, large)) for large in (0, 40))
-    assert {r["g"]: r["quantiles"] for r in few.collect()} == {r["g"]: r["quantiles"] for r in many.collect()}
+def test_quantiles_equal_linear_interpolation(spark):
+    df = spark.range(20_000).select((F.col("id") % 40).alias("g"), F.round(F.rand(7), 3).alias("v"))
+    probabilities = [0.0, 0.1, 0.25, 1 / 3, 0.9, 1.0]
+    got = {r["g"]: (r["n"], r["quantiles"]) for r in exact_quantiles(df, ["g"], F.col("v"), probabilities).collect()}
+    values = {}
+    for g, v in df.collect():
+        values.setdefault(g, []).append(v)
+    for g, vs in values.items():
+        assert got[g][0] == len(vs)
+        assert got[g][1] == pytest.approx(np.quantile(vs, probabilities).tolist(), abs=1e-12)
 
 
 def test_whitespace_table_keeps_control_characters_and_refuses_surplus(spark, tmp_path):
