@@ -7,15 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import strip
-from cohortweave.operators.codes import join_patterns, normalize_patterns, pattern_table, same_head_form
-from cohortweave.runtime import local_table, quoted
+from cohortweave.operators.codes import match_codes, normalize_patterns, pattern_keys
+from cohortweave.runtime import local_table, quoted, settle
 
 MAX_PIVOT_COLUMNS = 10_000
 
@@ -127,109 +126,105 @@ def per_code_min_occurrences(long: DataFrame, min_occurrences: int) -> DataFrame
 CASE, EXCLUDED_CASE, NOT_A_CONTROL = 1, 0, -1
 
 
-def _source_rows(long: DataFrame, definitions: list[CodedDefinition]) -> tuple[DataFrame, list[str]]:
-    sources = sorted({s.from_phenotype for d in definitions for s in d.sources})
-    return long.where(F.col("source").isin(*sources)), sources
+def _checked(definitions: Iterable[CodedDefinition]) -> list[CodedDefinition]:
+    definitions = list(definitions)
+    names = [d.column for d in definitions]
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"more than one definition of {', '.join(twice)}")
+    return definitions
 
 
-def _verdicts(rows: DataFrame, definitions: list[CodedDefinition]) -> DataFrame:
-    """(phenotype, sample_ID, verdict) where the codes of a sample decide anything.
+def _sources(definition: CodedDefinition) -> list[str]:
+    return sorted({s.from_phenotype for s in definition.sources})
 
-    Two shuffles whatever the number of definitions: one for the counts per (source, sample, code),
-    combined on the map side, after which a sample has at most as many rows as there are codes, and
-    one by (phenotype, sample) for pooling and the verdict.
-    """
-    counts = code_counts(rows, ["source", "sample_ID", "value"]).withColumn("code", strip(F.col("value").cast("string")))
-
-    text, flag = pa.string(), pa.bool_()
-    labels = {"phenotype": text, "pattern_source": text, "least": pa.int64(), **{f: flag for f in ROLES.values()}}
-    groups = {}
-    for definition in definitions:
-        for source in sorted({s.from_phenotype for s in definition.sources}):
-            for role, pattern in definition.patterns():
-                label = (definition.column, source, definition.min_occurrences, *[role == r for r in ROLES])
-                groups.setdefault(label, []).append(same_head_form(pattern))
-    patterns, few = pattern_table(rows.sparkSession, groups, labels)
 
+def _pattern_table(spark, definitions: list[CodedDefinition]) -> DataFrame:
+    """(phenotype, least, one flag per role, pattern_source, key, is_prefix) of all patterns of all definitions."""
+    rows = list(dict.fromkeys(
+        (d.column, d.min_occurrences, role, source, pattern)
+        for d in definitions for role, pattern in d.patterns() for source in _sources(d)))
+    columns = dict(zip(("phenotype", "least", "role", "pattern_source", "pattern"), map(list, zip(*rows)) if rows else [[]] * 5))
+    kinds = dict.fromkeys(columns, pa.string()) | {"least": pa.int64()}
+    flags = [(F.col("role") == role).alias(flag) for role, flag in ROLES.items()]
+    return local_table(spark, columns, kinds).select("phenotype", "least", *flags, "pattern_source", F.inline(F.array(pattern_keys(F.col("pattern")))))
+
+
+def _per_sample(long: DataFrame, definitions: list[CodedDefinition], everyone: bool) -> DataFrame:
+    """(sample_ID, verdicts, seen): what the codes of a sample decide, by definition, and the sources it has rows in.
+
+    The rows are read once, for the counts per (source, sample, code), combined on the map side; after that a sample has at most
+    as many rows as there are codes, and all its pooling happens behind one exchange by sample. With `everyone` the
+    join with the patterns keeps counts without a pattern as markers, so that undecided samples survive; else only
+    matched counts are shuffled again.
+    """
+    sources = sorted({s for d in definitions for s in _sources(d)})
+    rows = long.where(F.col("source").isin(*sources) & F.col("sample_ID").isNotNull())
+    counts = rows.groupBy("source", "sample_ID", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = settle(counts.withColumn("code", strip(F.col("value").cast("string"))))
     flags = [F.max(name).alias(name) for name in ROLES.values()]
-    matched = join_patterns(counts, patterns, few)
-    # A code may play several roles: fold them before counts are added up over sources.
-    per_source = matched.groupBy("phenotype", "sample_ID", "value", "source").agg(
-        F.max("n").alias("n"), F.max("least").alias("least"), *flags)
-    qualified = (
-        per_source.repartition("phenotype", "sample_ID")
-        .groupBy("phenotype", "sample_ID", "value")
-        .agg(F.sum("n").alias("n"), F.max("least").alias("least"), *flags)
-        .where(F.col("n") >= F.col("least"))
-    )
+    met = match_codes(counts.select("source", "code").distinct(), _pattern_table(long.sparkSession, definitions))
+    met = met.groupBy("source", "code", "phenotype", "least").agg(*flags)  # a code may play several roles
+    matched = counts.join(met, ["source", "code"], "left" if everyone else "inner").repartition("sample_ID")
+    pooled = matched.groupBy("sample_ID", "phenotype", F.when(F.col("phenotype").isNotNull(), F.col("value")).alias("value")).agg(
+        (F.sum("n") >= F.max("least")).alias("enough"), *flags, F.collect_set("source").alias("seen"))
+    decided = pooled.groupBy("sample_ID", "phenotype").agg(
+        *[F.max(F.col(f) & F.col("enough")).alias(f) for f in ROLES.values()], F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"))
     verdict = (
         F.when(F.col("is_case"), F.when(F.col("is_case_excluded"), EXCLUDED_CASE).otherwise(CASE))
         .when(F.col("is_control_excluded"), NOT_A_CONTROL)
     )
-    decided = qualified.groupBy("phenotype", "sample_ID").agg(*flags)
-    return decided.select("phenotype", "sample_ID", verdict.alias("verdict")).where(F.col("verdict").isNotNull())
+    found = F.when(F.col("phenotype").isNotNull() & verdict.isNotNull(), F.struct("phenotype", verdict.alias("verdict")))
+    return decided.groupBy("sample_ID").agg(
+        F.map_from_entries(F.collect_list(found)).alias("verdicts"), F.array_distinct(F.flatten(F.collect_list("seen"))).alias("seen"))
+
+
+def _of_roster(samples: DataFrame, roster: DataFrame | None) -> DataFrame:
+    """`samples`, or those of the roster: the latter count as seen everywhere."""
+    if roster is None:
+        return samples
+    return roster.select("sample_ID").join(samples.drop("seen"), "sample_ID", "left").withColumn("seen", F.lit(None).cast("array<string>"))
 
 
-def _value(verdict, control):
-    return F.when(verdict.isNull(), control).when(verdict != NOT_A_CONTROL, verdict).cast("int")
+def _seen_in(definition_sources: Column) -> Column:
+    return F.col("seen").isNull() | F.arrays_overlap("seen", definition_sources)
 
 
-def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition],
-                         roster: DataFrame | None = None) -> DataFrame:
-    """All definitions in one pass: (sample_ID, phenotype, value), a row for every sample of each.
+def advanced_coded_batch(long: DataFrame, definitions: Iterable[CodedDefinition], roster: DataFrame | None = None,
+                         undecided: bool = False) -> DataFrame:
+    """All definitions in one pass: (sample_ID, phenotype, value) of the pairs that are decided.
 
-    `long` holds the rows of every source, named in its `source` column.
+    Those are cases (1), excluded cases (0), samples that may not serve as controls (null) and, for definitions with
+    `missing_as_control`, controls (0). `undecided` adds the other samples with rows in a source of a definition, or of the
+    roster, with null: a row for every pair. `long` holds the rows of every source, named in its `source` column.
     """
-    definitions = list(definitions)
-    twice = sorted({d.column for d in definitions if [x.column for x in definitions].count(d.column) > 1})
-    if twice:
-        raise ValueError(f"more than one definition of {', '.join(twice)}")
-    rows, _ = _source_rows(long, definitions)
-    if roster is None:
-        wiring = sorted({(d.column, s.from_phenotype) for d in definitions for s in d.sources})
-        sources = local_table(
-            long.sparkSession, {"phenotype": [w[0] for w in wiring], "source": [w[1] for w in wiring]},
-            {"phenotype": pa.string(), "source": pa.string()})
-        everyone = (
-            rows.where(F.col("sample_ID").isNotNull()).select("source", "sample_ID").distinct()
-            .join(sources, "source").select("phenotype", "sample_ID").distinct()
-        )
-    else:
-        names = F.array(*[F.lit(d.column) for d in definitions])
-        everyone = roster.select(F.explode(names).alias("phenotype"), "sample_ID")
-    as_control = [d.column for d in definitions if d.missing_as_control]
-    control = F.when(F.col("phenotype").isin(*as_control), 0) if as_control else F.lit(None)
-    return everyone.join(_verdicts(rows, definitions), ["phenotype", "sample_ID"], "left").select(
-        "sample_ID", "phenotype", _value(F.col("verdict"), control).alias("value"))
+    definitions = _checked(definitions)
+    rest = [d for d in definitions if d.missing_as_control or undecided]
+    samples = _of_roster(_per_sample(long, definitions, everyone=bool(rest) and roster is None), roster)
+    own = F.transform(F.map_entries("verdicts"), lambda e: F.struct(
+        e["key"].alias("phenotype"), F.when(e["value"] != NOT_A_CONTROL, e["value"]).cast("int").alias("value")))
+    cells = F.coalesce(own, F.array().cast("array<struct<phenotype:string,value:int>>"))
+    if rest:
+        others = F.array(*[F.struct(
+            F.lit(d.column).alias("phenotype"), F.lit(0 if d.missing_as_control else None).cast("int").alias("value"),
+            F.array(*map(F.lit, _sources(d))).alias("sources")) for d in rest])
+        free = F.filter(others, lambda o: ~F.coalesce(F.map_contains_key("verdicts", o["phenotype"]), F.lit(False)) & _seen_in(o["sources"]))
+        cells = F.concat(cells, F.transform(free, lambda o: F.struct(o["phenotype"].alias("phenotype"), o["value"].alias("value"))))
+    return samples.select("sample_ID", F.inline(cells))
 
 
 def advanced_coded_matrix(long: DataFrame, definitions: Iterable[CodedDefinition],
                           roster: DataFrame | None = None) -> DataFrame:
-    """All definitions as columns: (sample_ID, one column per definition).
+    """All definitions as columns: (sample_ID, one column per definition), a row for every sample."""
+    definitions = _checked(definitions)
+    samples = _of_roster(_per_sample(long, definitions, everyone=roster is None), roster)
 
-    Only decided (definition, sample) pairs are shuffled; who has rows in which source is kept as
-    one row per sample, not repeated per definition.
-    """
-    definitions = list(definitions)
-    rows, sources = _source_rows(long, definitions)
-    columns = _verdicts(rows, definitions).groupBy("sample_ID").pivot(
-        "phenotype", [d.column for d in definitions]).agg(F.first("verdict"))
-    if roster is None:
-        everyone = rows.where(F.col("sample_ID").isNotNull()).groupBy("sample_ID").agg(*[
-            F.max(F.col("source") == source).alias(f"_in{i}") for i, source in enumerate(sources)])
-    else:
-        everyone = roster.select("sample_ID")
-
-    def control(definition):
-        if not definition.missing_as_control:
-            return F.lit(None)
-        if roster is not None:
-            return F.lit(0)
-        seen = [F.col(f"_in{sources.index(s)}") for s in sorted({s.from_phenotype for s in definition.sources})]
-        return F.when(reduce(lambda a, b: a | b, seen), 0)
-
-    return everyone.join(columns, "sample_ID", "left").select("sample_ID", *[
-        _value(F.col(quoted(d.column)), control(d)).alias(d.column) for d in definitions])
+    def column(d: CodedDefinition) -> Column:
+        verdict = F.try_element_at("verdicts", F.lit(d.column))
+        control = F.when(_seen_in(F.array(*map(F.lit, _sources(d)))), 0) if d.missing_as_control else F.lit(None)
+        return F.when(verdict.isNull(), control).when(verdict != NOT_A_CONTROL, verdict).cast("int").alias(d.column)
+
+    return samples.select("sample_ID", *map(column, definitions))
 
 
 def advanced_coded(long: DataFrame, definition: CodedDefinition, roster: DataFrame | None = None) -> DataFrame:

@@ -5,12 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import WHITE_SPACE, strip
-from cohortweave.runtime import BROADCAST_ROWS, local_table
 
 # Codes and patterns are only compared when their first two characters agree.
 HEAD = 2
@@ -68,63 +66,37 @@ def sample_has_any_code(long: DataFrame, patterns: Iterable[str], code_col: str
     return long.where(F.col(sample_col).isNotNull()).groupBy(sample_col).agg(F.bool_or(match).alias("has_code"))
 
 
-PATTERN_TYPES = {"head": pa.string(), "key": pa.string(), "is_prefix": pa.bool_()}
+def pattern_keys(pattern: Column) -> Column:
+    """struct(key, is_prefix) of a trimmed pattern, as a code is looked up by.
 
-
-def same_head_form(pattern: str) -> tuple[str, str]:
-    """Pattern under the two-character rule, with a key whose first characters are that head.
-
-    A prefix shorter than the head only reaches codes that begin like the pattern text itself.
+    Under the two-character rule a prefix shorter than that only reaches codes that begin like the pattern text itself.
     """
-    kind, key = parse_pattern(pattern)
-    if kind == "prefix" and len(key) < HEAD:
-        return ("prefix", pattern[:HEAD]) if len(pattern) >= HEAD else ("exact", pattern)
-    return kind, key
-
+    key = F.rtrim(pattern, F.lit("*"))
+    starred, dotted = F.contains(pattern, F.lit("*")), pattern.endswith(".")
+    short = F.char_length(key) < HEAD
+    is_prefix = (starred | dotted) & (~short | (F.char_length(pattern) >= HEAD))
+    text = F.when(starred & ~short, key).when((starred | dotted) & short & is_prefix, F.substring(pattern, 1, HEAD)).otherwise(pattern)
+    return F.struct(text.alias("key"), is_prefix.alias("is_prefix"))
 
-def disjoint(keys: Iterable[tuple[str, str]]) -> list[tuple[str, str]]:
-    """The same set of codes with no key covering another: a code meets at most one of them."""
-    keys = set(keys)
-    prefixes = {key for kind, key in keys if kind == "prefix"}
 
-    def covered(key, longest):
-        return any(key[:n] in prefixes for n in range(HEAD, longest + 1))
+def dotted_children(pattern: Column) -> Column:
+    """The native form of prefix matching in `normalize_patterns`: a bare code stands for its dotted children."""
+    bare = ~F.contains(pattern, F.lit("*")) & ~F.contains(pattern, F.lit("."))
+    return F.when(bare, F.concat(pattern, F.lit(".*"))).otherwise(pattern)
 
-    kept = [("prefix", key) for key in prefixes if not covered(key, len(key) - 1)]
-    return sorted(kept + [(kind, key) for kind, key in keys if kind == "exact" and not covered(key, len(key))])
 
+def match_codes(codes: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Which codes meet which patterns: the columns of `codes` and the labels of `patterns`, each combination once.
 
-def pattern_table(spark: SparkSession, groups: dict[tuple, Iterable[tuple[str, str]]],
-                  labels: dict[str, pa.DataType]) -> tuple[DataFrame, bool]:
-    """A table for `join_patterns`, and whether it is small enough to broadcast.
-
-    One row per label tuple and key; the labels include `pattern_source`.
-    """
-    rows = [
-        (*label, key[:HEAD], key, kind == "prefix")
-        for label, keys in groups.items() for kind, key in disjoint(keys)
-    ]
-    types = {**labels, **PATTERN_TYPES}
-    table = local_table(spark, {name: [r[i] for r in rows] for i, name in enumerate(types)}, types)
-    return table, len(rows) <= BROADCAST_ROWS
-
-
-def join_patterns(rows: DataFrame, patterns: DataFrame, few: bool) -> DataFrame:
-    """Rows with a `source` and a `code`, joined with the patterns of that source the code meets.
-
-    The shared first two characters are an equality key, so this is a hash join with the prefix
-    test as residual, not a comparison of every code with every pattern. A pattern table that is
-    too large to broadcast meets the distinct codes only; its matches are then found by the code
-    itself, which is less skewed than its first two characters.
+    `codes`: distinct (source, code). `patterns`: labels, pattern_source, key, is_prefix. A code is taken apart into its
+    prefixes of the lengths that occur among the patterns, and those meet the keys by equality: no code is compared with
+    a pattern it does not match, whatever the number of either.
     """
-    def meets(codes):
-        return (
-            (codes["source"] == patterns["pattern_source"]) & (F.substring(codes["code"], 1, HEAD) == patterns["head"])
-            & F.when(patterns["is_prefix"], codes["code"].startswith(patterns["key"])).otherwise(
-                codes["code"] == patterns["key"]))
-
-    if few:
-        return rows.join(patterns, meets(rows)).drop("pattern_source", *PATTERN_TYPES)
-    codes = rows.select("source", "code").distinct()
-    matches = codes.join(patterns, meets(codes)).drop("pattern_source", *PATTERN_TYPES)
-    return rows.join(matches, ["source", "code"])
+    labels = [c for c in patterns.columns if c not in ("pattern_source", "key", "is_prefix")]
+    lengths = patterns.where("is_prefix").agg(F.collect_set(F.char_length("key")).alias("lengths")).scalar()
+    fitting = F.filter("_lengths", lambda n: n <= F.char_length("code"))
+    prefixes = F.transform(fitting, lambda n: F.struct(F.substring(F.col("code"), F.lit(1), n).alias("key"), F.lit(True).alias("is_prefix")))
+    itself = F.array(F.struct(F.col("code").alias("key"), F.lit(False).alias("is_prefix")))
+    keyed = codes.where("code <> ''").withColumn("_lengths", lengths).select("source", "code", F.inline(F.concat(itself, prefixes)))
+    met = keyed.join(patterns.withColumnRenamed("pattern_source", "source"), ["source", "key", "is_prefix"])
+    return met.select("source", "code", *labels).distinct()

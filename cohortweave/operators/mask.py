@@ -3,24 +3,24 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import as_date, strip
-from cohortweave.operators.codes import join_patterns, normalize_patterns, pattern_table, same_head_form
+from cohortweave.operators.codes import dotted_children, match_codes, pattern_keys
 from cohortweave.runtime import local_table, quoted
 
 log = logging.getLogger(__name__)
 
 INTERVAL_COLUMNS = ("sample_ID", "event_type", "window_start", "window_end")
 
-# Windows are cut at multiples of this many days to join them on an equality key.
-DAYS_PER_SLOT = 32
+# Runs of 2**22 days hold all dates.
+TOP_LEVEL = 22
 
 
 @dataclass(frozen=True)
@@ -31,27 +31,35 @@ class EventDefinition:
     offset_before: int = 0
     offset_after: int = 0
 
-    def keys(self, raw_prefix: bool = True) -> list[tuple[str, str]]:
-        """Match keys of the codes. By default every listed code also matches as a plain prefix."""
-        codes = [str(c).strip() for c in self.codes if str(c).strip()]
-        out = [same_head_form(p) for p in normalize_patterns(codes)]
-        if raw_prefix:
-            out += [("prefix", c) if len(c) > 1 else ("exact", c) for c in codes]
-        return out
 
+EVENT_COLUMNS = {"event_type": pa.string(), "code": pa.string(), "source": pa.string(), "offset_before": pa.int32(), "offset_after": pa.int32()}
 
-def event_code_select(long: DataFrame, events: Iterable[EventDefinition], raw_prefix: bool = True) -> DataFrame:
+
+def event_table(spark: SparkSession, events: Iterable[EventDefinition] | DataFrame) -> DataFrame:
+    """Event definitions as a table, one row per (event, code); a table is taken as it is."""
+    if isinstance(events, DataFrame):
+        return events.select(*[F.col(c).cast("int" if c.startswith("offset") else "string").alias(c) for c in EVENT_COLUMNS])
+    rows = [(e.name, str(c), e.source, int(e.offset_before), int(e.offset_after)) for e in events for c in e.codes]
+    return local_table(spark, {name: [r[i] for r in rows] for i, name in enumerate(EVENT_COLUMNS)}, EVENT_COLUMNS)
+
+
+def event_code_select(long: DataFrame, events: Iterable[EventDefinition] | DataFrame, raw_prefix: bool = True) -> DataFrame:
     """Rows of `long` that mark an event, with event_type, offset_before and offset_after.
 
-    `long` names the coded phenotype of each row in `source`. All events are matched in one
-    broadcast hash join; a row appears once per event it marks.
+    `long` names the coded phenotype of each row in `source`; `events` are definitions or a table of any size, as
+    `event_definitions_from_table` gives it. The distinct codes meet the patterns of all events at once and a row appears once per
+    event it marks. By default every listed code also matches as a plain prefix.
     """
-    labels = {"event_type": pa.string(), "pattern_source": pa.string(),
-              "offset_before": pa.int32(), "offset_after": pa.int32()}
-    groups = {(e.name, e.source, int(e.offset_before), int(e.offset_after)): e.keys(raw_prefix) for e in events}
-    patterns, few = pattern_table(long.sparkSession, groups, labels)
-    coded = long.withColumn("code", F.col("value").cast("string"))
-    return join_patterns(coded, patterns, few).select(*long.columns, "event_type", "offset_before", "offset_after")
+    listed = event_table(long.sparkSession, events).withColumn("code", strip(F.col("code"))).where("code <> ''")
+    ways = [pattern_keys(dotted_children(F.col("code")))]
+    if raw_prefix:
+        ways.append(F.struct(F.col("code").alias("key"), (F.char_length("code") > 1).alias("is_prefix")))
+    patterns = listed.select("event_type", "offset_before", "offset_after", F.col("source").alias("pattern_source"), F.inline(F.array(*ways))).distinct()
+    coded = long.withColumn("_code", F.col("value").cast("string"))
+    met = match_codes(coded.select("source", F.col("_code").alias("code")).distinct(), patterns)
+    met = met.toDF("_source", "_met", "event_type", "offset_before", "offset_after")
+    joined = coded.join(met, (F.col("source") == F.col("_source")) & (F.col("_code") == F.col("_met")))
+    return joined.select(*[quoted(c) for c in long.columns], "event_type", "offset_before", "offset_after")
 
 
 def event_windows(marked: DataFrame) -> DataFrame:
@@ -81,14 +89,14 @@ def merge_intervals(windows: DataFrame, keys: Iterable[str] = ("sample_ID", "eve
         F.min("window_start").alias("window_start"), F.max("window_end").alias("window_end")).drop("_island")
 
 
-def mask_intervals(long: DataFrame, events: Iterable[EventDefinition], raw_prefix: bool = True) -> DataFrame:
+def mask_intervals(long: DataFrame, events: Iterable[EventDefinition] | DataFrame, raw_prefix: bool = True) -> DataFrame:
     """Merged windows of all events: (sample_ID, event_type, window_start, window_end)."""
     return merge_intervals(event_windows(event_code_select(long, events, raw_prefix))).select(*INTERVAL_COLUMNS)
 
 
-def events_without_windows(intervals: DataFrame, events: Iterable[EventDefinition]) -> DataFrame:
+def events_without_windows(intervals: DataFrame, events: Iterable[EventDefinition] | DataFrame) -> DataFrame:
     """Names of the events no code matched."""
-    names = local_table(intervals.sparkSession, {"event_type": [e.name for e in events]}, {"event_type": pa.string()})
+    names = event_table(intervals.sparkSession, events).select("event_type").distinct()
     return names.join(intervals.select("event_type").distinct(), "event_type", "left_anti")
 
 
@@ -109,29 +117,42 @@ def mask_event_types(intervals: DataFrame, event_types: Iterable[str]) -> DataFr
     return merge_intervals(wanted.select("sample_ID", "window_start", "window_end"), ["sample_ID"])
 
 
-def _slot(day: Column) -> Column:
-    return F.floor(F.unix_date(day) / DAYS_PER_SLOT)
+def _nodes(start: Column, end: Column) -> Column:
+    """The fewest aligned runs of 2**level days that cover the days from `start` to `end`: array of (level, node).
+
+    At each level at most one run is taken at either end, so a window of n days has at most 2 log2(n) of them.
+    """
+    low, above = F.unix_date(start), F.unix_date(end) + 1
+
+    def at(level: Column) -> Column:
+        size = F.call_function("shiftleft", F.lit(1), level)
+        first, last = F.call_function("shiftright", low + size - 1, level), F.call_function("shiftright", above, level)
+        run = lambda taken, node: F.when((first < last) & taken, F.struct(level.alias("level"), node.alias("node")))
+        odd = lambda n: n.bitwiseAND(F.lit(1)) == 1
+        return F.array(run(odd(first), first), run(odd(last), last - 1))
 
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(TOP_LEVEL)), at)))
 
-def _outside(long: DataFrame, windows: DataFrame, extra: Column | None = None) -> DataFrame:
-    """Rows of `long` in no window of their sample.
 
-    Both sides meet on (sample, slot of days): a row is compared with the few windows that touch
-    its slot instead of all of its sample, and the rows of a huge sample spread over the slots.
+def _outside(long: DataFrame, windows: DataFrame, extra: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Rows of `long` in no window of their sample; `extra` tests a row against the event types of the windows on its day.
+
+    Windows are taken apart into aligned runs of days and the distinct (sample, day) pairs into the runs they lie in, of the
+    sizes that occur; they meet by equality, so a lifelong window costs some twenty rows and the days of a huge sample
+    spread. The rows then meet the masked days by equality.
     """
-    day = as_date(long, "occurrence_date")
-    left = long.withColumns({"_day": day, "_slot": _slot(day)})
-    right = windows.select(
-        *[F.col(c).alias(f"_w_{c}") for c in windows.columns],
-        F.explode(F.sequence(_slot(F.col("window_start")), _slot(F.col("window_end")))).alias("_w_slot"),
-    )
-    inside = (
-        (F.col("sample_ID") == F.col("_w_sample_ID")) & (F.col("_slot") == F.col("_w_slot"))
-        & F.col("_day").between(F.col("_w_window_start"), F.col("_w_window_end"))
-    )
+    types = F.col("event_type") if "event_type" in windows.columns else F.lit("")
+    nodes = windows.select(F.col("sample_ID").alias("_s"), types.alias("_type"), F.inline(_nodes(F.col("window_start"), F.col("window_end"))))
+    levels = nodes.agg(F.collect_set("level").alias("levels")).scalar()
+    left = long.withColumn("_day", as_date(long, "occurrence_date"))
+    days = left.where("_day IS NOT NULL AND sample_ID IS NOT NULL").select(F.col("sample_ID").alias("_s"), "_day").distinct()
+    place = lambda n: F.struct(n.alias("level"), F.call_function("shiftright", F.unix_date("_day"), n).alias("node"))
+    hits = days.withColumn("_levels", levels).select("_s", "_day", F.inline(F.transform("_levels", place))).join(nodes, ["_s", "level", "node"])
+    hits = hits.groupBy("_s", F.col("_day").alias("_hit")).agg(F.collect_set("_type").alias("_types"))
+    inside = (F.col("sample_ID") == F.col("_s")) & (F.col("_day") == F.col("_hit"))
     if extra is not None:
-        inside = inside & extra
-    return left.join(right, inside, "left_anti").drop("_day", "_slot")
+        inside = inside & extra(F.col("_types"))
+    return left.join(hits, inside, "left_anti").drop("_day")
 
 
 def _maskable(long: DataFrame, spare_synthetic: bool) -> Column:
@@ -154,7 +175,7 @@ def apply_mask(long: DataFrame, intervals: DataFrame, event_types: Iterable[str]
     if missing:
         raise ValueError(f"long table lacks the columns {sorted(missing)}")
     windows = mask_event_types(intervals, list(event_types))
-    return _outside(long, windows, _maskable(long, spare_synthetic) if spare_synthetic else None)
+    return _outside(long, windows, (lambda types: _maskable(long, True)) if spare_synthetic else None)
 
 
 def apply_mask_batch(long: DataFrame, intervals: DataFrame, opt_in: dict[str, Iterable[str]],
@@ -174,9 +195,8 @@ def apply_mask_batch(long: DataFrame, intervals: DataFrame, opt_in: dict[str, It
     wanted = sorted({e for events in opt_in.values() for e in events})
     windows = _checked_intervals(intervals).where(F.col("event_type").isin(*wanted))
     windows = merge_intervals(windows, ["sample_ID", "event_type"])
-    extra = F.array_contains(F.col("_events"), F.col("_w_event_type"))
-    if spare_synthetic:
-        extra = extra & _maskable(long, True)
+    own = lambda types: F.arrays_overlap("_events", types)
+    extra = (lambda types: own(types) & _maskable(long, True)) if spare_synthetic else own
     return _outside(rows, windows, extra).select(*[quoted(c) for c in long.columns])
 
 
@@ -185,8 +205,7 @@ def event_definitions_from_table(codes: DataFrame, source: str = "ICD10", offset
                                  code_col: str = "ICD10") -> DataFrame:
     """Events from a code table: one row per (event_type, code) with source and offsets.
 
-    The long form keeps a group of any size out of a single array; `collect_events` turns a table
-    of modest size into the arguments of `event_code_select`.
+    The table is what `event_code_select` and `mask_intervals` take, whatever its size.
     """
     missing = {group_col, code_col} - set(codes.columns)
     if missing:
@@ -198,14 +217,3 @@ def event_definitions_from_table(codes: DataFrame, source: str = "ICD10", offset
         F.lit(source).alias("source"), F.lit(offset_before).alias("offset_before"),
         F.lit(offset_after).alias("offset_after"),
     ).distinct()
-
-
-def collect_events(definitions: DataFrame, limit: int = 100_000) -> list[EventDefinition]:
-    """Event definitions as arguments; tables beyond `limit` rows are refused, not cut."""
-    rows = definitions.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} event codes")
-    events: dict = {}
-    for r in rows:
-        events.setdefault((r.event_type, r.source, r.offset_before, r.offset_after), []).append(r.code)
-    return [EventDefinition(n, s, tuple(sorted(c)), b, a) for (n, s, b, a), c in sorted(events.items())]

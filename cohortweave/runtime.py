@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# A lookup side is broadcast only when it is known to have at most this many rows.
-BROADCAST_ROWS = 100_000
+# The innermost scope that is open owns what is settled.
+_SCOPES: ContextVar[tuple] = ContextVar("scopes", default=())
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -46,6 +46,8 @@ def settle(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     done = df.sparkSession.read.schema(df.schema).parquet(path)
     done._settled = path
+    for scope in _SCOPES.get()[-1:]:
+        scope.tables.append(done)
     return done
 
 
@@ -59,42 +61,44 @@ def release(table: DataFrame) -> None:
 
 
 class Scope:
-    """Owns the tables it settles: each is dropped after its last reader, all of them if the work fails.
+    """Owns what is settled while it is the innermost open one: tables are dropped after their last reader, all of them if the work fails.
 
     A table that was settled before belongs to its caller and is never dropped here. What is left when the work ends well is still
-    read by the lazy result; `drop` removes it when that is done with.
+    read by its lazy results and goes to the scope outside; `drop` removes it when they are done with.
     """
 
     def __init__(self):
         self.tables: list[DataFrame] = []
 
     def __enter__(self) -> Scope:
+        self._token = _SCOPES.set((*_SCOPES.get(), self))
         return self
 
     def __exit__(self, kind, error, trace) -> None:
+        _SCOPES.reset(self._token)
         if kind is not None:
             self.drop()
-
-    def settle(self, df: DataFrame) -> DataFrame:
-        done = settle(df)
-        if done is not df:
-            self.tables.append(done)
-        return done
+        for outer in _SCOPES.get()[-1:]:
+            outer.tables += self.tables
 
     def drop(self, *tables: DataFrame) -> None:
-        """Drop `tables`, or all that are left."""
+        """Drop those of `tables` that are owned here."""
         for table in tables or tuple(self.tables):
             if any(table is t for t in self.tables):
                 release(table)
                 self.tables = [t for t in self.tables if t is not table]
 
+    def drop_but(self, *kept: DataFrame) -> None:
+        """Drop all but `kept`."""
+        for table in tuple(self.tables):
+            if not any(table is k for k in kept):
+                self.drop(table)
+
 
 def local_table(spark: SparkSession, columns: dict[str, list], types: dict[str, pa.DataType]) -> DataFrame:
-    """A table of caller-supplied rules, with a size the optimizer knows."""
+    """A table of caller-supplied rules. The optimizer knows its size and decides how it is joined."""
     arrays = {name: pa.array(values, type=types[name]) for name, values in columns.items()}
-    df = spark.createDataFrame(pa.table(arrays))
-    size = len(next(iter(columns.values()), []))
-    return F.broadcast(df) if size <= BROADCAST_ROWS else df
+    return spark.createDataFrame(pa.table(arrays))
 
 
 def quoted(name: str) -> str:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from cohortweave.functions.vocabulary import (
     detect_column_type, detect_value_type, normalize_data_type, profile_table, route_by_data_type)
 from cohortweave.operators import coded as E
-from cohortweave.operators.codes import code_pattern_match, disjoint, normalize_patterns, same_head_form, sample_has_any_code
+from cohortweave.operators.codes import code_pattern_match, dotted_children, match_codes, normalize_patterns, pattern_keys, sample_has_any_code
 
 
 @pytest.mark.parametrize("raw, expected", [
@@ -35,14 +35,37 @@ def test_normalize_patterns():
     assert normalize_patterns(None) == []
 
 
-def test_disjoint_keys_cover_the_same_codes():
-    keys = [("prefix", "O03"), ("prefix", "O03."), ("exact", "O03.1"), ("exact", "O04"), ("prefix", "O0"), ("exact", "E1"),
-            ("exact", "E1"), ("prefix", "E11")]
-    assert disjoint(keys) == [("exact", "E1"), ("prefix", "E11"), ("prefix", "O0")]
+@pytest.mark.parametrize("pattern, expected", [
+    ("E*", ("E*", True)), ("*", ("*", False)), ("E11.*", ("E11.", True)), ("E11", ("E11", False)), ("I83.", ("I83.", True)), (".", (".", False)),
+    ("N.", ("N.", True)), ("*80.0", ("*80.0", True)), ("I70.0**", ("I70.0", True))])
+def test_pattern_keys(spark, pattern, expected):
+    df = spark.createDataFrame([(pattern,)], "p string")
+    assert tuple(df.select(F.inline(F.array(pattern_keys(F.col("p"))))).first()) == expected
+
+
+def test_dotted_children_follow_the_list_form(spark):
+    listed = ["E11", "E10.5", "E12.*", "I83.", "250", "*"]
+    df = spark.createDataFrame([(p,) for p in listed], "p string")
+    assert [r[0] for r in df.select(dotted_children(F.col("p"))).collect()] == normalize_patterns(listed)
+
+
+def test_a_million_patterns(spark):
+    """Codes meet their patterns by equality of prefixes: no join but on (source, key, kind), each match once."""
+    codes = spark.range(3000).select(F.lit("S").alias("source"), F.format_string("K%05d.%d", F.col("id") % 1000, F.col("id") % 7).alias("code")).distinct()
+    ids = spark.range(1_000_000)
+    patterns = ids.select(F.col("id").alias("label"), F.lit("S").alias("pattern_source"), F.concat(F.lit("K"), F.lpad((F.col("id") % 100_000).cast("string"), 5, "0"),
+        F.when(F.col("id") < 500_000, ".").otherwise(F.concat(F.lit("."), (F.col("id") % 10).cast("string")))).alias("key"), (F.col("id") < 500_000).alias("is_prefix"))
+    met = match_codes(codes, patterns)
+    plan = met._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    expected = 0
+    exact = {f"K{i % 1000:05d}.{i % 7}" for i in range(3000)}
+    for code in exact:
+        expected += 5 + (5 if int(code[5]) == int(code[7]) else 0)  # five prefixes hold it, five exact ones when its digits fit
+    assert met.count() == expected
 
 
 def test_two_character_rule(spark, long_of):
-    assert same_head_form("E*") == ("prefix", "E*") and same_head_form("*") == ("exact", "*")
     long = long_of([("P1", "coded", "N80.0", "N80.0", None), ("P2", "coded", "N", "N", None)])
     assert by_sample(sample_has_any_code(long, ["N*", "*"])) == {"P1": False, "P2": False}
     assert by_sample(sample_has_any_code(long, ["N8*"])) == {"P1": True, "P2": False}
@@ -170,24 +193,33 @@ def test_prefix_flag(spark, long_of, of_definition, of_source, code, expected):
     assert verdict(spark, long_of, [("P1", code, "CPT")], [source], prefix_matching=of_definition) == {"P1": expected}
 
 
-def test_large_pattern_tables_give_the_same(spark, long_of, monkeypatch):
-    rows = [("P1", "E11.9", "A"), ("P1", "E10.1", "A"), ("P2", "E11.9", "B"), ("P2", "E11.9", "A"), ("P3", "E10.1", "B")]
-    definitions = [
-        E.CodedDefinition("X", (E.CodeSource("A", ("E11",), ("E10.1",)), E.CodeSource("B", ("E11.9",))), min_occurrences=1),
-        E.CodedDefinition("Y", (E.CodeSource("B", ("E10",)),), missing_as_control=True)]
-    long = coded(long_of, rows)
-
-    def answer():
-        return sorted(map(tuple, E.advanced_coded_batch(long, definitions).collect()), key=str)
-
-    small = answer()
-    matrix = sorted((r.sample_ID, name, r[name]) for r in E.advanced_coded_matrix(long, definitions).collect()
-                    for name in ("X", "Y") if (r.sample_ID, name) != ("P1", "Y"))
-    assert sorted(matrix, key=str) == small  # P1 has no row in the source of Y
-    monkeypatch.setattr("cohortweave.operators.codes.BROADCAST_ROWS", 0)
-    monkeypatch.setattr("cohortweave.runtime.BROADCAST_ROWS", 0)
-    assert answer() == small == sorted([
-        ("P1", "X", 0), ("P2", "X", 1), ("P3", "X", None), ("P2", "Y", 0), ("P3", "Y", 1)], key=str)
+LIBRARY = [
+    E.CodedDefinition("X", (E.CodeSource("A", ("E11",), ("E10.1",)), E.CodeSource("B", ("E11.9",))), min_occurrences=1),
+    E.CodedDefinition("Y", (E.CodeSource("B", ("E10",)),), missing_as_control=True),
+    E.CodedDefinition("Z", (E.CodeSource("A", ("Q1",), (), ("E10",)),))]
+LIBRARY_ROWS = [("P1", "E11.9", "A"), ("P1", "E10.1", "A"), ("P2", "E11.9", "B"), ("P2", "E11.9", "A"), ("P3", "E10.1", "B"), ("P4", None, "A"), (None, "E11.9", "A")]
+
+
+def test_batch_gives_decided_pairs_and_wanted_controls(spark, long_of):
+    long = coded(long_of, LIBRARY_ROWS)
+    answer = lambda df: sorted(map(tuple, df.collect()), key=str)
+    decided = [("P1", "X", 0), ("P1", "Z", None), ("P2", "X", 1), ("P2", "Y", 0), ("P3", "Y", 1)]
+    assert answer(E.advanced_coded_batch(long, LIBRARY)) == sorted(decided, key=str)
+    others = [("P3", "X", None), ("P2", "Z", None), ("P4", "X", None), ("P4", "Z", None)]  # P1 and P4 have no row in the source of Y
+    assert answer(E.advanced_coded_batch(long, LIBRARY, undecided=True)) == sorted(decided + others, key=str)
+    roster = people(spark, "P1", "P9")
+    assert answer(E.advanced_coded_batch(long, LIBRARY, roster)) == sorted([("P1", "X", 0), ("P1", "Z", None), ("P1", "Y", 0), ("P9", "Y", 0)], key=str)
+    matrix = {r.sample_ID: (r.X, r.Y, r.Z) for r in E.advanced_coded_matrix(long, LIBRARY).collect()}
+    assert matrix == {"P1": (0, None, None), "P2": (1, 0, None), "P3": (None, 1, None), "P4": (None, None, None)}
+    assert E.advanced_coded_batch(long.where("false"), LIBRARY).count() == 0
+
+
+def test_source_is_read_once(spark, long_of, tmp_path):
+    coded(long_of, LIBRARY_ROWS).write.parquet(str(tmp_path / "codes"))
+    long = spark.read.parquet(str(tmp_path / "codes"))
+    for df in (E.advanced_coded_matrix(long, LIBRARY), E.advanced_coded_batch(long, LIBRARY)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert str(tmp_path) not in plan and plan.count("FileScan") == 2  # distinct codes, counts
 
 
 def test_batch_joins_on_the_head(spark, long_of):

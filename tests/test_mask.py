@@ -129,16 +129,34 @@ def test_mask_join_has_equality_keys(spark, long_of):
     long = long_of([("P1", "quantitative", "X", "1", "2022-01-15")])
     df = M.apply_mask(long, spans(spark, [("P1", "e", "2022-01-10", "2022-01-20")]), ["e"])
     plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "LeftAnti" in plan and "NestedLoop" not in plan and "_w_slot" in plan
+    assert "LeftAnti" in plan and "NestedLoop" not in plan and "node" in plan
 
 
-def test_events_from_a_code_table(spark):
+def test_events_from_a_code_table(spark, long_of):
     table = spark.createDataFrame([("First Trimester", "O03"), ("First Trimester", " O03 "), ("Third", "O80"), (" ", "O1"),
                                    ("Third", None), ("nan", "O2")], "TRIMESTER string, ICD10 string")
-    events = M.collect_events(M.event_definitions_from_table(table))
-    assert events == [M.EventDefinition("first_trimester", "ICD10", ("O03",), -270, 90),
-                      M.EventDefinition("third", "ICD10", ("O80",), -270, 90)]
+    events = M.event_definitions_from_table(table)
+    assert sorted(map(tuple, events.collect())) == [("first_trimester", "O03", "ICD10", -270, 90), ("third", "O80", "ICD10", -270, 90)]
     with pytest.raises(ValueError):
         M.event_definitions_from_table(table.drop("ICD10"))
-    with pytest.raises(ValueError):
-        M.collect_events(M.event_definitions_from_table(table), limit=1)
+    long = marks(long_of, [("P1", "O03.4", "2022-01-01", "ICD10"), ("P1", "O80", "2022-06-01", "ICD10"), ("P1", "O03.4", "2022-01-01", "ICD9")])
+    assert [r.event_type for r in M.event_code_select(long, events).orderBy("event_type").collect()] == ["first_trimester", "third"]
+    assert M.events_without_windows(M.mask_intervals(long.where("value = 'O80'"), events), events).first()[0] == "first_trimester"
+
+
+def test_a_window_of_any_length_costs_few_rows(spark):
+    lengths = [1, 2, 31, 365, 1000, 36_500, 1_000_000]
+    df = spark.createDataFrame([(n, off) for n in lengths for off in (0, 1, 17, -900)], "n int, off int").withColumns(
+        {"a": F.date_add(F.lit("1990-01-01").cast("date"), F.col("off")), "b": F.date_add(F.lit("1990-01-01").cast("date"), F.col("off") + F.col("n") - 1)})
+    found = df.select("n", M._nodes(F.col("a"), F.col("b")).alias("nodes"), F.unix_date("a").alias("low"), F.unix_date("b").alias("high")).collect()
+    for r in found:
+        runs = sorted((node.node << node.level, (node.node + 1) << node.level) for node in r.nodes)
+        assert len(runs) <= 2 * max(1, r.n.bit_length())
+        assert runs[0][0] == r.low and runs[-1][1] == r.high + 1 and all(x[1] == y[0] for x, y in zip(runs, runs[1:]))
+
+
+def test_lifelong_windows(spark, long_of):
+    intervals = spans(spark, [("P1", "e", "1000-01-01", "9999-12-31"), ("P2", "e", "1969-12-30", "1970-01-02")])
+    rows = [("P1", "quantitative", "X", "1", "2022-01-15"), ("P1", "quantitative", "X", "2", "0950-02-15"), *[
+        ("P2", "quantitative", "X", str(i), d) for i, d in enumerate(["1969-12-29", "1969-12-30", "1970-01-01", "1970-01-02", "1970-01-03"], 3)]]
+    assert sorted(r.value for r in M.apply_mask(long_of(rows), intervals, ["e"]).collect()) == ["2", "3", "7"]

@@ -14,8 +14,8 @@ def folder(table):
 def test_a_scope_drops_its_own_tables_only(spark):
     given = settle(spark.range(5))
     with Scope() as scope:
-        assert scope.settle(given) is given
-        first, second = scope.settle(spark.range(7)), scope.settle(spark.range(9))
+        assert settle(given) is given
+        first, second = settle(spark.range(7)), settle(spark.range(9))
         scope.drop(first, given)
         assert not os.path.exists(folder(first)) and os.path.isdir(folder(given)) and second.count() == 9
     assert second.count() == 9
@@ -24,7 +24,20 @@ def test_a_scope_drops_its_own_tables_only(spark):
 
 
 def test_a_failure_drops_everything(spark):
-    with pytest.raises(KeyError), Scope() as scope:
-        table = scope.settle(spark.range(3))
+    with pytest.raises(KeyError), Scope():
+        table = settle(spark.range(3))
         raise KeyError
     assert not os.path.exists(folder(table))
+
+
+def test_what_an_inner_scope_leaves_goes_to_the_outer_one(spark):
+    with Scope() as outer:
+        with Scope() as inner:
+            a, b, c = (settle(spark.range(n)) for n in (2, 3, 4))
+            inner.drop(a)
+        assert [t.count() for t in outer.tables] == [3, 4]
+        outer.drop_but(c)
+    assert not os.path.exists(folder(b)) and c.count() == 4
+    outer.drop()
+    outer.drop()
+    assert not os.path.exists(folder(c))

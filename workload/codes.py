@@ -92,11 +92,12 @@ def _test(patterns):
 
 
 def verdict_sql(case, case_exclude=(), control_exclude=(), sources=("DX_F", "DX_O"), least=1, control="NULL"):
-    """SQL for one definition: (sample_ID, value)."""
+    """SQL for one definition: (sample_ID, value, decided)."""
     listed = ", ".join(f"'{s}'" for s in sources)
     return f"""SELECT "sample_ID", CAST(CASE WHEN bool_or({_test(case)} AND n >= {least}) THEN
         CASE WHEN bool_or({_test(case_exclude)} AND n >= {least}) THEN 0 ELSE 1 END
-      WHEN bool_or({_test(control_exclude)} AND n >= {least}) THEN NULL ELSE {control} END AS INT) AS value
+      WHEN bool_or({_test(control_exclude)} AND n >= {least}) THEN NULL ELSE {control} END AS INT) AS value,
+      bool_or(({_test(case)} OR {_test(control_exclude)}) AND n >= {least}) OR {control} IS NOT NULL AS decided
       FROM (SELECT "sample_ID", value, COUNT(*) AS n FROM {CODES} WHERE source IN ({listed}) GROUP BY 1, 2)
       GROUP BY "sample_ID" """
 
@@ -142,11 +143,11 @@ def _library_sql():
         case, case_out, control_out = f"{'ANR'[i % 3]}{i:02d}", f"{'NRA'[i % 3]}{i + 5:02d}.1", f"{'RAN'[i % 3]}{i + 9:02d}"
         verdict = verdict_sql([f"{case}.*"], [case_out], [f"{control_out}.*"], ["DX_F", "DX_O"] if i % 2 else ["DX_F"],
                               2 if i % 4 == 0 else 1, "0" if i % 3 else "NULL")
-        parts.append(f"SELECT 'D{i:02d}' AS phenotype, \"sample_ID\", value FROM ({verdict})")
+        parts.append(f"SELECT 'D{i:02d}' AS phenotype, \"sample_ID\", value, decided FROM ({verdict})")
     return " UNION ALL ".join(parts)
 
 
-@query("advanced_coded_batch", _library_sql())
+@query("advanced_coded_batch", f'SELECT phenotype, "sample_ID", value FROM ({_library_sql()}) WHERE decided')
 def _advanced_coded_batch(spark, sf_dir):
     return E.advanced_coded_batch(long_codes(spark, sf_dir), library())
 
