@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from cohortweave.functions.values import as_number
 from cohortweave.operators.quant import bin_edges, bin_number
 from cohortweave.operators.quantiles import column_quantiles
-from cohortweave.runtime import settle
+from cohortweave.runtime import quoted, settle
 
 log = logging.getLogger(__name__)
 
@@ -86,12 +86,14 @@ class _Cutoffs:
             ps += [p for p in rule.probabilities() if p not in ps]
         self.wanted = {name: ps for name, ps in self.wanted.items() if ps}
 
-    def attach(self, to: DataFrame, wide: DataFrame) -> DataFrame:
-        if not self.wanted:
-            return to
-        found = column_quantiles(wide, self.wanted)
-        packed = F.struct(*[F.col(f"`{name}`").alias(f"c{i}") for i, name in enumerate(self.wanted)])
-        return to.withColumn("_cut", found.select(packed.alias("cut")).scalar())
+    def find(self, wide: DataFrame) -> None:
+        """Select the cutoffs; the one row is written, for matrix and report alike."""
+        if self.wanted:
+            packed = F.struct(*[F.col(quoted(name)).alias(f"c{i}") for i, name in enumerate(self.wanted)])
+            self.row = settle(column_quantiles(wide, self.wanted).select(packed.alias("cut")))
+
+    def attach(self, to: DataFrame) -> DataFrame:
+        return to.withColumn("_cut", self.row.scalar()) if self.wanted else to
 
     def at(self, rule: RiskRule, probability: float) -> Column:
         place = list(self.wanted).index(rule.source_col)
@@ -151,25 +153,41 @@ def _usable(wide: DataFrame, rules: Iterable[RiskRule]) -> list[RiskRule]:
     return [r for r in rules if r.source_col in wide.columns]
 
 
+def _prepared(wide: DataFrame, rules: Iterable[RiskRule]) -> tuple[DataFrame, list[RiskRule], _Cutoffs]:
+    rules = _usable(wide, rules)
+    cut = _Cutoffs(rules)
+    wide = settle(wide) if cut.wanted else wide
+    cut.find(wide)
+    return wide, rules, cut
+
+
 def risk_matrix(wide: DataFrame, rules: Iterable[RiskRule]) -> DataFrame:
     """(sample_ID, one class column per rule). Rules on absent columns are skipped.
 
     The cutoffs of all rules are selected together, then one projection classifies every sample;
     the table itself is never shuffled. It is settled first when cutoffs have to be found in it.
     """
-    rules = _usable(wide, rules)
-    cut = _Cutoffs(rules)
-    wide = settle(wide) if cut.wanted else wide
-    return cut.attach(wide, wide).select("sample_ID", *[
-        _classified(rule, as_number(wide, rule.source_col), cut).alias(rule.output_col) for rule in rules])
+    return _matrix(*_prepared(wide, rules))
 
 
 def risk_report(wide: DataFrame, rules: Iterable[RiskRule]) -> DataFrame:
     """Cutoffs and class counts: (output_col, method, stat, entry, label, value)."""
-    rules = _usable(wide, rules)
-    cut = _Cutoffs(rules)
-    wide = settle(wide) if cut.wanted else wide
-    classed = cut.attach(wide, wide).select(*[
+    return _report(*_prepared(wide, rules))
+
+
+def risk_tables(wide: DataFrame, rules: Iterable[RiskRule]) -> tuple[DataFrame, DataFrame]:
+    """`risk_matrix` and `risk_report` from the same cutoffs."""
+    prepared = _prepared(wide, rules)
+    return _matrix(*prepared), _report(*prepared)
+
+
+def _matrix(wide: DataFrame, rules: list[RiskRule], cut: _Cutoffs) -> DataFrame:
+    return cut.attach(wide).select("sample_ID", *[
+        _classified(rule, as_number(wide, rule.source_col), cut).alias(rule.output_col) for rule in rules])
+
+
+def _report(wide: DataFrame, rules: list[RiskRule], cut: _Cutoffs) -> DataFrame:
+    classed = cut.attach(wide).select(*[
         c for i, rule in enumerate(rules) for c in (
             as_number(wide, rule.source_col).alias(f"x{i}"),
             _classified(rule, as_number(wide, rule.source_col), cut).alias(f"r{i}"))
@@ -180,7 +198,7 @@ def risk_report(wide: DataFrame, rules: Iterable[RiskRule]) -> DataFrame:
             *[F.count(F.when(F.col(f"r{i}") == value, 1)).alias(f"k{i}_{j}")
               for j, (_, value) in enumerate(rule.classes())])
     ])
-    row = cut.attach(counts, wide)
+    row = cut.attach(counts)
 
     def line(rule, entry, label, value):
         return F.struct(*[F.lit(v).alias(n) for n, v in (

@@ -18,10 +18,11 @@ from cohortweave.operators.clean import OutlierRule, outlier_filter_batch, scale
 from cohortweave.operators.coded import MAX_PIVOT_COLUMNS, CodedDefinition, advanced_coded_matrix, code_counts, presence
 from cohortweave.operators.gather import gather_long, gather_wide, pivot_long
 from cohortweave.operators.long import glob_condition, occurrence_date, sample_allow_list
-from cohortweave.operators.mask import EventDefinition, apply_mask_batch, mask_intervals
+from cohortweave.operators.mask import EventDefinition, apply_mask_batch, event_table, events_without_windows, mask_intervals
 from cohortweave.operators.quant import quantitative_table
-from cohortweave.operators.risk import RiskRule, risk_matrix, risk_report
-from cohortweave.runtime import quoted, settle
+from cohortweave.operators.risk import RiskRule, risk_tables
+from cohortweave.runtime import Scope, quoted, settle
+from cohortweave.sources.delimited import LONG_COLUMNS
 
 log = logging.getLogger(__name__)
 
@@ -43,7 +44,7 @@ FAMILY_DEFAULTS = {
 }
 
 
-OTHER_SETTINGS = {"data_type", "phenotype_name", "table", "value_col", "risk_classification"}
+OTHER_SETTINGS = {"data_type", "phenotype_name", "table", "value_col", "long_table", "risk_classification"}
 
 
 def complete_spec(spec: dict) -> dict:
@@ -55,7 +56,8 @@ def complete_spec(spec: dict) -> dict:
     if unknown:
         raise ValueError(f"{spec.get('phenotype_name', '?')}: unknown settings {', '.join(unknown)}")
     full = {**COMMON_DEFAULTS, **FAMILY_DEFAULTS[family], **spec}
-    for needed in ("phenotype_name", "table", "value_col"):
+    full.setdefault("long_table", None)
+    for needed in ("phenotype_name", *(() if full["long_table"] else ("table", "value_col"))):
         if full.get(needed) is None:
             raise ValueError(f"{spec.get('phenotype_name', '?')}: {needed!r} is required")
     full["output_name"] = full["output_name"] or full["phenotype_name"]
@@ -64,7 +66,11 @@ def complete_spec(spec: dict) -> dict:
 
 @dataclass
 class Cohort:
-    """Results of one run. `wide` and the tables read more than once are stored, the rest is lazy."""
+    """Results of one run.
+
+    `wide` and the tables read more than once are stored, the rest is lazy and reads them, until `close` (or the end of a
+    `with` block) drops all stored tables.
+    """
 
     quantitative: DataFrame | None = None
     categorical: DataFrame | None = None
@@ -75,6 +81,29 @@ class Cohort:
     long: DataFrame | None = None
     risk: DataFrame | None = None
     report: DataFrame | None = None
+    scope: Scope = field(default_factory=Scope, repr=False)
+
+    def close(self) -> None:
+        self.scope.drop()
+
+    def __enter__(self) -> Cohort:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def results_only(self) -> None:
+        """Store the results and drop every table that only led to them."""
+        kept = {}
+        for name in ("intervals", "wide", "long", "risk", "report"):
+            if (found := getattr(self, name)) is not None:
+                kept[name] = settle(found)
+                if not any(kept[name] is t for t in self.scope.tables):
+                    self.scope.tables.append(kept[name])
+        self.scope.drop_but(*kept.values())
+        self.quantitative = self.categorical = self.coded = None
+        self.parts = []
+        vars(self).update(kept)
 
 
 def _family_long(specs: list[dict], tables: dict[str, DataFrame], allowed, run_date, family: str) -> DataFrame | None:
@@ -84,7 +113,11 @@ def _family_long(specs: list[dict], tables: dict[str, DataFrame], allowed, run_d
     specification whose filter it passes.
     """
     shared: dict[tuple, list[dict]] = {}
+    ready: dict[str, list[dict]] = {}
     for spec in specs:
+        if spec["long_table"]:
+            ready.setdefault(spec["long_table"], []).append(spec)
+            continue
         place = tuple(spec[k] for k in ("table", "sample_id_col", "value_col", "date_col", "reference_date"))
         shared.setdefault(place, []).append(spec)
 
@@ -108,9 +141,28 @@ def _family_long(specs: list[dict], tables: dict[str, DataFrame], allowed, run_d
             made_up.alias("date_is_synthetic"))
         rows = rows.withColumn("occurrence_date", as_date(rows, "occurrence_date"))
         parts.append(rows.withColumn("phenotype", F.col("value") if family == "coded" else F.col("owner")))
+    parts += [_ready_rows(tables[name], group, family) for name, group in ready.items()]
     return reduce(DataFrame.unionByName, parts) if parts else None
 
 
+def _ready_rows(table: DataFrame, specs: list[dict], family: str) -> DataFrame:
+    """Rows of a ready-made long table as they are: no filter, sample list, code selection or cleaning acts on them.
+
+    A specification takes the rows of its phenotype, or of none; a coded one takes all rows, each under its phenotype or else its value.
+    """
+    for name in LONG_COLUMNS:
+        if name not in table.columns:
+            table = table.withColumn(name, F.lit(None).cast("string"))
+    phenotype = F.col("phenotype").cast("string")
+    mine = lambda s: F.lit(True) if family == "coded" else phenotype.isNull() | (phenotype == s["phenotype_name"])
+    owners = F.array_compact(F.array(*[F.when(mine(s), F.lit(s["phenotype_name"])) for s in specs]))
+    value = as_number(table, "value") if family == "quantitative" else F.col("value").cast("string")
+    return table.where("value IS NOT NULL").select(
+        F.col("sample_ID").cast("string").alias("sample_ID"), F.lit(family).alias("data_type"), F.explode(owners).alias("owner"), value.alias("value"),
+        as_date(table, "occurrence_date").alias("occurrence_date"), F.lit(False).alias("date_is_synthetic"), phenotype.alias("_named"),
+    ).withColumn("phenotype", F.coalesce("_named", "value") if family == "coded" else F.col("owner")).drop("_named")
+
+
 def _subsample_test(raw: DataFrame, value_col: str, subsample):
     if subsample == "all":
         return F.lit(True)
@@ -124,10 +176,11 @@ def _subsample_test(raw: DataFrame, value_col: str, subsample):
 def _masked(long: DataFrame | None, specs: list[dict], intervals: DataFrame | None, spare_synthetic: bool):
     if long is None or intervals is None:
         return long
-    undated = [s["phenotype_name"] for s in specs if s["event_mask"] and not s["date_col"]]
+    dated = lambda s: s["date_col"] or s["long_table"]
+    undated = [s["phenotype_name"] for s in specs if s["event_mask"] and not dated(s)]
     if undated:
         log.warning("no mask for %s: all their dates come from the reference date", undated)
-    opt_in = {s["phenotype_name"]: s["event_mask"] for s in specs if s["date_col"]}
+    opt_in = {s["phenotype_name"]: s["event_mask"] for s in specs if dated(s)}
     return apply_mask_batch(long, intervals, opt_in, "owner", spare_synthetic)
 
 
@@ -158,56 +211,94 @@ def _coded_table(long: DataFrame, specs: list[dict], codes: dict[str, list[str]]
     ])
 
 
+def _check_events(spark, specs: list[dict], events) -> list[str]:
+    """The events that specifications name; raises where one is not defined."""
+    named = sorted({name for spec in specs for name in spec["event_mask"]})
+    if events is None:
+        if named:
+            log.warning("no events are given: nothing is masked by %s", ", ".join(named))
+        return []
+    if isinstance(events, DataFrame):
+        known = {r[0] for r in events.where(F.col("event_type").isin(*named)).select("event_type").distinct().collect()} if named else set()
+    else:
+        known = {e.name for e in events}
+    if unknown := [name for name in named if name not in known]:
+        raise ValueError(f"event_mask names unknown events: {', '.join(unknown)}")
+    return named
+
+
 def run_cohort(specs: Iterable[dict], tables: dict[str, DataFrame], *,
-               definitions: Iterable[CodedDefinition] = (), events: Iterable[EventDefinition] = (),
+               definitions: Iterable[CodedDefinition] = (), events: Iterable[EventDefinition] | DataFrame | None = None,
                allowed: DataFrame | Iterable[str] | None = None, roster: DataFrame | None = None,
                codes: dict[str, list[str]] | None = None, code_columns: bool = True, mask_definitions: bool = False,
-               gather: str = "wide",
-               spare_synthetic: bool = False, run_date: datetime.date | None = None) -> Cohort:
+               gather: str = "wide", spare_synthetic: bool = False, run_date: datetime.date | None = None,
+               results_only: bool = False) -> Cohort:
     """Clean, mask, derive, gather and classify all phenotypes of a cohort.
 
-    `specs` are dicts with the settings of FAMILY_DEFAULTS; `tables` maps their `table` to raw data.
+    `specs` are dicts with the settings of FAMILY_DEFAULTS; `tables` maps their `table` to raw data, or their `long_table` to a
+    ready-made long table that is taken as it is. `events` are definitions or a table of them, which must
+    define every event that a specification names; without `events` nothing is masked.
     Named case/control `definitions` read the unmasked coded rows unless `mask_definitions` is set.
     Event windows always come from unmasked rows. With `code_columns=False` single codes stay out
     of the wide matrix, for vocabularies too large for columns; `codes` names the wanted ones per
     specification and saves the job that lists them. `gather` is wide, long or both; risk classes
-    need the wide form.
+    need the wide form. With `results_only` the results are stored and all else is dropped.
     """
     if gather not in ("wide", "long", "both"):
         raise ValueError(f"gather must be wide, long or both, not {gather!r}")
-    specs = [complete_spec(s) for s in specs]
-    events = list(events)
-    unknown = sorted({name for spec in specs for name in spec["event_mask"]} - {e.name for e in events})
-    if unknown:
-        log.warning("no mask for the unknown events %s", ", ".join(unknown))
-    events, definitions = list(events), list(definitions)
-    by_family = {f: [s for s in specs if s["data_type"] == f] for f in FAMILY_DEFAULTS}
+    specs, definitions = [complete_spec(s) for s in specs], list(definitions)
+    events = events if events is None or isinstance(events, DataFrame) else list(events)
     out = Cohort()
+    with out.scope:
+        _fill(out, specs, tables, definitions, events, allowed, roster, codes, code_columns, mask_definitions, gather, spare_synthetic, run_date)
+        if results_only:
+            out.results_only()
+    return out
+
+
+def _clean(quant: DataFrame, specs: list[dict]) -> DataFrame:
+    """Outliers and scale of raw specifications; ready-made rows pass."""
+    raw = [s for s in specs if not s["long_table"]]
+    quant = outlier_filter_batch(quant, {
+        s["phenotype_name"]: OutlierRule(s["outlier_method"], s["outlier_mode"],
+                                         float(s["outlier_iqr_multiplier"]), float(s["outlier_zscore_sd"]))
+        for s in raw})
+    for method in ("zscore", "minmax"):
+        scaled = [s["phenotype_name"] for s in raw if s["scale"] and s["scale_method"] == method]
+        if scaled:
+            quant = scale_filter(quant, method, scaled)
+    return quant
+
+
+def _fill(out: Cohort, specs, tables, definitions, events, allowed, roster, codes, code_columns, mask_definitions, gather, spare_synthetic, run_date) -> None:
+    spark = next(iter(tables.values())).sparkSession if tables else None
+    named_events = _check_events(spark, specs, events)
+    with_events = isinstance(events, DataFrame) or bool(events)
+    by_family = {f: [s for s in specs if s["data_type"] == f] for f in FAMILY_DEFAULTS}
 
     raw = {f: _family_long(group, tables, allowed, run_date, f) for f, group in by_family.items()}
-    uses = bool(events) + code_columns + 2 * bool(definitions)
+    uses = with_events + code_columns + 2 * bool(definitions)
     if raw["coded"] is not None and uses > 1:
         raw["coded"] = settle(raw["coded"])
     quant = raw["quantitative"]
     if quant is not None:
-        group = by_family["quantitative"]
-        quant = outlier_filter_batch(quant, {
-            s["phenotype_name"]: OutlierRule(s["outlier_method"], s["outlier_mode"],
-                                             float(s["outlier_iqr_multiplier"]), float(s["outlier_zscore_sd"]))
-            for s in group})
-        for method in ("zscore", "minmax"):
-            scaled = [s["phenotype_name"] for s in group if s["scale"] and s["scale_method"] == method]
-            if scaled:
-                quant = scale_filter(quant, method, scaled)
-
-    if events:
+        quant = _clean(quant, by_family["quantitative"])
+
+    if with_events:
         if raw["coded"] is None:
             raise ValueError("events need a coded phenotype as their source")
         out.intervals = settle(mask_intervals(raw["coded"].withColumn("source", F.col("owner")), events))
+        if named_events:
+            listed = event_table(spark, events).where(F.col("event_type").isin(*named_events))
+            silent = sorted(r[0] for r in events_without_windows(out.intervals, listed).collect())  # at most those the specifications name
+            if silent:
+                log.warning("no code matched the events %s", ", ".join(silent))
+        own = event_table(spark, events).select("event_type", "source").distinct() if isinstance(events, DataFrame) else None
+        pairs = {tuple(r) for r in own.where(F.col("event_type").isin(*named_events)).collect()} if own is not None else {(e.name, e.source) for e in events}
         for spec in by_family["coded"]:
-            own = [e.name for e in events if e.source == spec["phenotype_name"] and e.name in spec["event_mask"]]
-            if own:
-                log.warning("%s is masked by events it is the source of: %s", spec["phenotype_name"], own)
+            selfish = [name for name in spec["event_mask"] if (name, spec["phenotype_name"]) in pairs]
+            if selfish:
+                log.warning("%s is masked by events it is the source of: %s", spec["phenotype_name"], selfish)
 
     out.quantitative = _masked(quant, by_family["quantitative"], out.intervals, spare_synthetic)
     out.categorical = _masked(raw["categorical"], by_family["categorical"], out.intervals, spare_synthetic)
@@ -225,6 +316,8 @@ def run_cohort(specs: Iterable[dict], tables: dict[str, DataFrame], *,
         out.parts.append(_coded_table(out.coded, by_family["coded"], codes, roster))
     if definitions:
         source = out.coded if mask_definitions else raw["coded"]
+        if source is None:
+            raise ValueError("named definitions need a coded phenotype as their source")
         out.parts.append(advanced_coded_matrix(source.withColumn("source", F.col("owner")), definitions, roster))
 
     rules = [RiskRule.for_phenotype(s["output_name"], s["risk_classification"])
@@ -232,7 +325,7 @@ def run_cohort(specs: Iterable[dict], tables: dict[str, DataFrame], *,
     if rules and gather == "long":
         raise ValueError("risk classes need the wide matrix")
     if not out.parts:
-        return out
+        return
     if gather == "both":
         out.parts = [settle(part) for part in out.parts]
     if gather != "wide":
@@ -241,6 +334,4 @@ def run_cohort(specs: Iterable[dict], tables: dict[str, DataFrame], *,
         # Cutoffs, classes and report all read the matrix: compute it once.
         out.wide = settle(gather_wide(out.parts, sort=False))
     if rules:
-        out.risk = risk_matrix(out.wide, rules)
-        out.report = risk_report(out.wide, rules)
-    return out
+        out.risk, out.report = risk_tables(out.wide, rules)

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -129,3 +131,55 @@ def test_date_is_typed_once(tables):
     done = run_cohort([lab("HDL")], tables)
     assert dict(done.quantitative.dtypes)["occurrence_date"] == "date"
     assert done.quantitative.where(F.col("date_is_synthetic")).count() == 0
+
+
+def test_unknown_events_are_an_error(tables):
+    with pytest.raises(ValueError, match="brith"):
+        run_cohort([lab("HDL", event_mask=["brith"]), DX], tables, events=BIRTH)
+    with pytest.raises(ValueError, match="birth"):
+        run_cohort([lab("HDL", event_mask=["birth"]), DX], tables, events=())
+
+
+def test_event_table_and_silent_events(spark, tables, caplog):
+    listed = spark.createDataFrame([("birth", "O80", "DX", -10, 10), ("none", "Z99", "DX", 0, 0)], "event_type string, code string, source string, offset_before int, offset_after int")
+    specs = [lab("HDL", event_mask=["birth", "none"]), {**DX, "event_mask": ["birth"]}]
+    wide = rows(run_cohort(specs, tables, events=listed, code_columns=False).wide)
+    assert wide["P1"]["HDL_mean"] == 60.0 and "no code matched the events none" in caplog.text
+    assert "DX is masked by events it is the source of: ['birth']" in caplog.text
+    with pytest.raises(ValueError, match="other"):
+        run_cohort([lab("HDL", event_mask=["other"]), DX], tables, events=listed)
+
+
+def test_ready_made_long_input(spark, tables):
+    """Taken as it is: neither outlier rule, scale, sample list nor code selection acts on it; masks and statistics do."""
+    measures = spark.createDataFrame([("P1", "BMI", "28.4", "2020-01-05"), ("P1", "BMI", "30", "2021-01-01"), ("P2", "BMI", "9999", DAY), ("P2", "WT", "70", DAY)],
+                                     "sample_ID string, phenotype string, value string, occurrence_date string")
+    answers = spark.createDataFrame([("P2", "yes"), ("P5", "no")], "sample_ID string, value string")
+    codes = spark.createDataFrame([("P1", "x", "O80.1", DAY), ("P3", None, "E11.9", DAY)], "sample_ID string, phenotype string, value string, occurrence_date string")
+    ready = lambda name, kind, table, **more: {"phenotype_name": name, "data_type": kind, "long_table": table, **more}
+    specs = [ready("BMI", "quantitative", "m", stats=["max", "count"], scale=True, event_mask=["birth"]), ready("WT", "quantitative", "m", stats=["mean"]),
+             ready("Q", "categorical", "a", one_hot=True, categories=["yes"], event_mask=["birth"]), ready("DX", "coded", "c", subsample=[]), lab("HDL")]
+    done = run_cohort(specs, {**tables, "m": measures, "a": answers, "c": codes}, events=BIRTH, allowed=["P1"])
+    assert rows(done.wide) == {
+        "P1": {"BMI_max": 30.0, "BMI_count": 1, "WT_mean": None, "HDL_mean": 55.0, "Q_yes": None, "E11.9": None, "x": 1},
+        "P2": {"BMI_max": 9999.0, "BMI_count": 1, "WT_mean": 70.0, "HDL_mean": None, "Q_yes": 1, "E11.9": None, "x": None},
+        "P3": {"BMI_max": None, "BMI_count": None, "WT_mean": None, "HDL_mean": None, "Q_yes": None, "E11.9": 1, "x": None},
+        "P5": {"BMI_max": None, "BMI_count": None, "WT_mean": None, "HDL_mean": None, "Q_yes": 0, "E11.9": None, "x": None}}
+
+
+def test_stored_tables_are_dropped(tables, tmp_path, monkeypatch):
+    monkeypatch.setattr("cohortweave.runtime.shared_folder", lambda spark: str(tmp_path))
+    specs = [lab("HDL", event_mask=["birth"], stats=["median", "mean"], qcut_bins=2, outlier_method="iqr", risk_classification={"method": "percentile", "high": 50}), SEX, DX]
+    case = CodedDefinition("T2D", (CodeSource("DX", ("E11",)),))
+    stored = lambda: len(os.listdir(tmp_path / "cohortweave"))
+    done = run_cohort(specs, tables, events=BIRTH, definitions=[case], gather="both", results_only=True)
+    assert stored() == 5 and done.quantitative is None  # intervals, wide, long, risk, report
+    assert rows(done.wide)["P1"]["T2D"] == 1 and done.risk.count() == done.wide.count() and done.report.count() > 0
+    done.close()
+    assert stored() == 0
+    with run_cohort(specs, tables, events=BIRTH, definitions=[case]) as lazy:
+        assert rows(lazy.wide)["P1"]["T2D"] == 1 and lazy.quantitative.count() > 0 and stored() > 2
+    assert stored() == 0
+    with pytest.raises(ValueError):  # fails after tables were written
+        run_cohort(specs + [{**DX, "phenotype_name": "DX2"}], tables, events=BIRTH, codes={"DX": ["E11.9"], "DX2": ["E11.9"]})
+    assert stored() == 0

@@ -9,7 +9,8 @@ from cohortweave.operators.quant import quantile_bins, quantitative_summary
 from cohortweave.operators.risk import RiskRule, risk_matrix
 from cohortweave.plans.cohort import run_cohort
 from cohortweave.runtime import settle
-from workload.base import CODES, EVENTS, ORDERS, PRIORITY, code_records, long_events, query, rounded, table
+from workload.base import (
+    CODES, EVENTS, ORDERS, PRIORITY, cat_priority, code_records, long_codes, long_events, long_orders, query, rounded, table)
 
 SPECS = [
     {"phenotype_name": "TP", "data_type": "quantitative", "table": "orders", "sample_id_col": "o_custkey",
@@ -75,6 +76,48 @@ def _run_cohort(spark, sf_dir):
         {"TP_mean": rounded("TP_mean"), "CLICK_mean": rounded("CLICK_mean")})
 
 
+READY = [
+    {"phenotype_name": "TOTALPRICE", "data_type": "quantitative", "long_table": "measures", "stats": ["count", "min"], "min_occurrences": 2,
+     "event_mask": ["early"]},
+    {"phenotype_name": "PRIORITY", "data_type": "categorical", "long_table": "answers", "one_hot": True,
+     "categories": ["1-URGENT", "5-LOW"], "event_mask": ["early"]},
+    {"phenotype_name": "DX_F", "data_type": "coded", "long_table": "codes", "min_occurrences": 2, "event_mask": ["early"]},
+]
+READY_CODES = ["N10.1", "A02.3", "R24.4"]
+READY_EVENTS = [EventDefinition("early", "DX_F", ("A01", "A02.3"), -200, 100)]
+READY_CASE = [CodedDefinition("CASE", (CodeSource("DX_F", ("R1",), ("A01.1",), ("A3*",), prefix_matching=False), CodeSource("DX_F", ("R10",))), missing_as_control=True)]
+
+
+def _outside(rows):
+    return f"""(SELECT x.* FROM {rows} x WHERE NOT EXISTS (SELECT 1 FROM w WHERE s = "sample_ID" AND occurrence_date BETWEEN ws AND we))"""
+
+
+READY_SQL = f"""WITH dx AS (SELECT * FROM {CODES} WHERE source = 'DX_F'),
+  w AS (SELECT DISTINCT "sample_ID" AS s, occurrence_date - 200 AS ws, occurrence_date + 100 AS we FROM dx
+    WHERE starts_with(value, 'A01') OR starts_with(value, 'A02.3')),
+  tp AS (SELECT "sample_ID", COUNT(*) AS n, MIN(value) AS low FROM {_outside(ORDERS)} GROUP BY 1),
+  pr AS (SELECT "sample_ID", MAX(CAST(value = '1-URGENT' AS INT)) AS urgent, MAX(CAST(value = '5-LOW' AS INT)) AS least
+    FROM {_outside(PRIORITY)} GROUP BY 1),
+  code AS (SELECT "sample_ID", {", ".join(f"CASE WHEN COUNT(CASE WHEN value = '{c}' THEN 1 END) >= 2 THEN 1 END AS c{i}" for i, c in enumerate(READY_CODES))}
+    FROM {_outside("dx")} WHERE value IN ({", ".join(f"'{c}'" for c in READY_CODES)}) GROUP BY 1),
+  verdict AS (SELECT "sample_ID", CASE WHEN bool_or(value = 'R1' OR starts_with(value, 'R10.')) THEN
+    CASE WHEN bool_or(value = 'A01.1') THEN 0 ELSE 1 END WHEN bool_or(starts_with(value, 'A3')) THEN NULL ELSE 0 END AS v FROM dx GROUP BY 1)
+  SELECT "sample_ID", 'TOTALPRICE_count' AS phenotype, CASE WHEN n >= 2 THEN CAST(n AS DOUBLE) END AS value FROM tp
+  UNION ALL SELECT "sample_ID", 'TOTALPRICE_min', CASE WHEN n >= 2 THEN low END FROM tp
+  UNION ALL SELECT "sample_ID", 'PRIORITY_1-URGENT', urgent FROM pr UNION ALL SELECT "sample_ID", 'PRIORITY_5-LOW', least FROM pr
+  {" ".join(f"""UNION ALL SELECT "sample_ID", '{c}', c{i} FROM code""" for i, c in enumerate(READY_CODES))}
+  UNION ALL SELECT "sample_ID", 'CASE', v FROM verdict"""
+
+
+@query("run_cohort_ready_long", READY_SQL)
+def _run_cohort_ready_long(spark, sf_dir):
+    """The whole job on ready-made long tables, gathered cell by cell."""
+    codes = long_codes(spark, sf_dir).where("source = 'DX_F'").drop("source")
+    tables = {"measures": long_orders(spark, sf_dir), "answers": cat_priority(spark, sf_dir), "codes": codes}
+    done = run_cohort(READY, tables, events=READY_EVENTS, definitions=READY_CASE, codes={"DX_F": READY_CODES}, gather="long", results_only=True)
+    return done.long.withColumn("value", F.col("value").cast("double"))
+
+
 @query("flagship", f"""WITH f AS (SELECT phenotype, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3
     FROM {EVENTS} GROUP BY 1),
   s AS (SELECT "sample_ID", avg(v) AS mean, median(v) AS median, stddev_samp(v) AS std, COUNT(*) AS n FROM (
