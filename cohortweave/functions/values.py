@@ -22,7 +22,8 @@ WHITE_SPACE = " \t\n\r\x0b\x0c"
 NUMERIC_TEXT = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity))\s*$"
 
 # Layouts tried after ISO dates.
-DATE_LAYOUTS = ("M/d/yyyy", "yyyyMMdd", "yyyy/M/d", "M-d-yyyy", "d-MMM-yyyy", "MMM d, yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yy")
+DATE_LAYOUTS = ("M/d/yyyy", "yyyyMMdd", "yyyy/M/d", "M-d-yyyy", "d-MMM-yyyy", "MMM d, yyyy", "M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yy",
+                "d MMM yyyy", "MMMM d, yyyy", "MMM d yyyy", "yyyy/M/d H:mm", "yyyy/M/d H:mm:ss", "d-MMM-yy", "M/d/yyyy h:mm a")
 
 
 def strip(column: Column) -> Column:
@@ -59,14 +60,20 @@ def as_number(df: DataFrame, name: str) -> Column:
     return column
 
 
-def as_date(df: DataFrame, name: str) -> Column:
-    """Column `name` as date; text that is not a date becomes null."""
+def as_date(df: DataFrame, name: str, layouts: Iterable[str] = DATE_LAYOUTS) -> Column:
+    """Column `name` as date; text that is neither an ISO date nor in one of the `layouts` becomes null."""
     column = F.col(quoted(name))
     if isinstance(df.schema[name].dataType, T.StringType):
         text = strip(column)
-        return F.coalesce(text.try_cast("date"), *[F.try_to_date(text, layout) for layout in DATE_LAYOUTS])
+        return F.coalesce(text.try_cast("date"), *[F.try_to_date(text, layout) for layout in layouts])
     return column.cast("date")
 
 
+def unreadable_dates(df: DataFrame, names: Iterable[str], layouts: Iterable[str] = DATE_LAYOUTS) -> DataFrame:
+    """One row: for each column how many texts are there but cannot be read as a date."""
+    layouts = list(layouts)
+    return df.agg(*[F.count(F.when(F.col(quoted(n)).isNotNull() & as_date(df, n, layouts).isNull(), 1)).alias(n) for n in names])
+
+
 def coerce_numeric(df: DataFrame, value_col: str = "value", output_col: str = "value_num") -> DataFrame:
     return df.withColumn(output_col, as_number(df, value_col))

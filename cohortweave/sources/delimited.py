@@ -6,6 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortweave.functions.values import normalize_nulls, strip
 from cohortweave.runtime import quoted
@@ -22,6 +23,9 @@ LONG_COLUMNS = ("sample_ID", "data_type", "phenotype", "value", "occurrence_date
 # A run of control characters that text tables do not hold: read with it, a whole line is one column.
 _WHOLE_LINE = "\x01\x02\x03\x02\x01"
 
+# Takes the text of lines whose number of fields is not the header's.
+_ODD_LINE = "\x02odd line\x02"
+
 # What the parser makes room for; wide matrices have far more columns than its default of 20,480.
 MAX_COLUMNS = 1_000_000
 
@@ -45,20 +49,35 @@ def scan_delimited(spark: SparkSession, path: str, sep: str | None = None,
                    multiline: bool = False) -> DataFrame:
     """Read a table with a header row; every column is a string, missing tokens are null.
 
+    Nothing is lost in silence: a line with more fields than the header, and a file with another header than the first
+    one, are errors; fields that a line lacks are null.
+
     `multiline` allows line breaks inside quoted fields, at the price of unsplittable files.
     """
     separator, is_regex = resolve_separator(sep, path)
     if is_regex:
         return normalize_nulls(_scan_by_regex(spark, path, separator))
     # A file whose header differs from the first one's is an error, not a swap of columns.
-    raw = spark.read.csv(path, sep=separator, header=True, inferSchema=False, enforceSchema=False, maxColumns=MAX_COLUMNS,
-                         quote='"', escape='"', multiLine=multiline)
-    return normalize_nulls(raw)
+    options = dict(sep=separator, quote='"', escape='"')
+    first = spark.read.csv(path, header=True, inferSchema=False, maxColumns=MAX_COLUMNS, multiLine=multiline, **options)
+    if not first.columns:
+        return first
+    # Lines are told from one another by all their fields, so none is pruned by the parser.
+    rows = spark.read.options(columnPruning=False).csv(path, T.StructType([*first.schema.fields, T.StructField(_ODD_LINE, T.StringType())]), header=True, enforceSchema=False,
+                          maxColumns=MAX_COLUMNS, multiLine=multiline, mode="PERMISSIVE", columnNameOfCorruptRecord=_ODD_LINE, **options)
+    # Lines with another number of fields come with their text; it is looked at again for a field beyond the header.
+    wider = ", ".join(f"c{i} string" for i in range(len(first.columns) + 1))
+    again = F.from_csv(_ODD_LINE, wider, {**options, "maxColumns": str(MAX_COLUMNS), "mode": "PERMISSIVE"})
+    surplus = F.col(_ODD_LINE).isNotNull() & again.getField(f"c{len(first.columns)}").isNotNull()
+    start = F.coalesce(F.col(quoted(first.columns[0])), F.lit(""))  # a filter on the line's text alone is not allowed
+    refused = F.raise_error(F.concat(F.lit(f"more than {len(first.columns)} fields after '"), start, F.lit("': "), F.col(_ODD_LINE)))
+    return normalize_nulls(rows.where(F.when(surplus, refused.cast("boolean")).otherwise(True)).drop(_ODD_LINE))
 
 
 def _scan_by_regex(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    lines = spark.read.csv(path, sep=_WHOLE_LINE, header=True, inferSchema=False, quote="", escape="")
-    header = lines.columns[0]
+    whole = dict(sep=_WHOLE_LINE, header=True, quote="", escape="")
+    header = spark.read.csv(path, inferSchema=False, **whole).columns[0]
+    lines = spark.read.csv(path, T.StructType([T.StructField(header, T.StringType())]), enforceSchema=False, **whole)
     line = F.col(quoted(header))
     if pattern == r"\s+":
         header, line = header.strip(), strip(line)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortweave.functions.dates import whole_years
-from cohortweave.functions.values import as_date
+from cohortweave.functions.values import as_date, unreadable_dates
 from cohortweave.operators.categorical import CategoricalSpec, categorical
 from cohortweave.operators.coded import CodedDefinition, CodeSource, advanced_coded_batch
 from cohortweave.operators.quantiles import exact_quantiles
@@ -17,10 +17,14 @@ from cohortweave.sources.delimited import scan_delimited
 
 
 def test_date_layouts(spark):
-    texts = ["2022-01-05", "05-JAN-2022", "2022/01/05", "01/05/2022 10:30", "Jan 5, 2022", "01-05-2022", "1/5/22", "1/5/2022", "20220105"]
+    texts = ["2022-01-05", "05-JAN-2022", "2022/01/05", "01/05/2022 10:30", "Jan 5, 2022", "01-05-2022", "1/5/22", "1/5/2022", "20220105",
+             "5 Jan 2022", "January 5, 2022", "Jan 5 2022", "2022/01/05 10:30", "05-Jan-22", "01/05/2022 10:30 PM"]
     df = spark.createDataFrame([(t,) for t in [*texts, "soon", "13/45/2022"]], "d string")
     got = [r[0] for r in df.select(as_date(df, "d")).collect()]
     assert got == [datetime.date(2022, 1, 5)] * len(texts) + [None, None]
+    assert unreadable_dates(df, ["d"]).first()["d"] == 2
+    day_first = df.select(as_date(df.where("d = '01-05-2022'"), "d", ["d-M-yyyy"]).alias("x")).where("x IS NOT NULL").collect()
+    assert datetime.date(2022, 5, 1) in {r[0] for r in day_first}
 
 
 def test_whole_years(spark):
@@ -50,11 +54,26 @@ def test_whitespace_table_keeps_control_characters_and_refuses_surplus(spark, tm
         scan_delimited(spark, str(tmp_path / "b.txt"), r"\s+").collect()
 
 
-def test_other_header_order_is_refused(spark, tmp_path):
-    (tmp_path / "1.csv").write_text("a,b\n1,2\n")
-    (tmp_path / "2.csv").write_text("b,a\n3,4\n")
+@pytest.mark.parametrize("sep, header, other, line", [(None, "a,b", "b,a", "3,4"), (r"\s+", "a b", "b a", "3 4"), ("::", "a::b", "b::a", "3::4")])
+def test_other_header_order_is_refused(spark, tmp_path, sep, header, other, line):
+    (tmp_path / "1.csv").write_text(f"{header}\n{line}\n")
+    (tmp_path / "2.csv").write_text(f"{header}\n{line}\n")
+    assert scan_delimited(spark, str(tmp_path), sep).count() == 2
+    (tmp_path / "2.csv").write_text(f"{other}\n{line}\n")
     with pytest.raises(Exception):
-        scan_delimited(spark, str(tmp_path)).collect()
+        scan_delimited(spark, str(tmp_path), sep).collect()
+
+
+def test_surplus_fields_are_refused_and_missing_ones_null(spark, tmp_path):
+    (tmp_path / "1.csv").write_text('a,b,c\n1,2,3\n4\n5,"x,y",NA\n"say ""hi""",,\n')
+    assert [tuple(r) for r in scan_delimited(spark, str(tmp_path / "1.csv")).collect()] == [("1", "2", "3"), ("4", None, None), ("5", "x,y", None), ('say "hi"', None, None)]
+    assert [r[0] for r in scan_delimited(spark, str(tmp_path / "1.csv")).select("b").collect()] == ["2", None, "x,y", None]
+    (tmp_path / "2.csv").write_text('a,b\n1,2\n1,"2,3",4\n')
+    for columns in (["a", "b"], ["a"]):
+        with pytest.raises(Exception, match="more than 2 fields after '1'"):
+            scan_delimited(spark, str(tmp_path / "2.csv")).select(*columns).collect()
+    with pytest.raises(Exception, match="more than 2 fields"):
+        scan_delimited(spark, str(tmp_path / "2.csv")).count()
 
 
 def test_one_hot_spec_serves_two_tables(long_of):
