@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cohortweave.runtime import settle
+from cohortweave.runtime import Scope, settle
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,25 +62,30 @@ def components(edges: DataFrame) -> DataFrame:
     nodes goes each time, whatever the shape of the graph. A node of any degree costs one combined
     minimum. Every round is written to the shared folder, so a lost executor costs one round.
     """
-    moves, live = [], settle(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct())
-    turn = 0
-    while not live.isEmpty():
-        turn += 1
-        order = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
-        ends = live.select("a", "b").union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        move = settle(ends.groupBy("a").agg(F.least(F.min(order("b")), F.first(order("a")))["id"].alias("to"))
-                      .withColumnRenamed("a", "node"))
-        moves.append(move)
-        left, right = move.toDF("a", "ta"), move.toDF("b", "tb")
-        live = settle(live.join(left, "a").join(right, "b").where("ta <> tb")
-                      .select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
-    if not moves:
-        return edges.select(F.col("a").cast("long").alias("node"), F.col("a").cast("long").alias("root")).where("false")
-    out = moves[-1].toDF("node", "root")
-    for move in reversed(moves[:-1]):
-        later = out.toDF("to", "later")
-        out = move.join(later, "to", "left").select("node", F.coalesce("later", "to").alias("root"))
-    return out
+    with Scope() as scope:
+        moves, live = [], settle(edges.select(F.col("a").cast("long"), F.col("b").cast("long")).where("a <> b").distinct())
+        turn = 0
+        while not live.isEmpty():
+            turn += 1
+            order = lambda c: F.struct(F.xxhash64(F.lit(turn), F.col(c)).alias("h"), F.col(c).alias("id"))  # noqa: B023, E731
+            ends = live.select("a", "b").union(live.select(F.col("b").alias("a"), F.col("a").alias("b")))
+            move = settle(ends.groupBy("a").agg(F.least(F.min(order("b")), F.first(order("a")))["id"].alias("to"))
+                          .withColumnRenamed("a", "node"))
+            moves.append(move)
+            left, right = move.toDF("a", "ta"), move.toDF("b", "tb")
+            before, live = live, settle(live.join(left, "a").join(right, "b").where("ta <> tb")
+                                        .select(F.least("ta", "tb").alias("a"), F.greatest("ta", "tb").alias("b")).distinct())
+            scope.drop(before)
+        if not moves:
+            out = live.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        else:
+            out = moves[-1].toDF("node", "root")
+        for move in reversed(moves[:-1]):
+            later = out.toDF("to", "later")
+            out = move.join(later, "to", "left").select("node", F.coalesce("later", "to").alias("root"))
+        out = settle(out)
+        scope.drop_but(out)
+        return out
 
 
 def bit_filter(ids: DataFrame, bits: int = 1 << 20) -> DataFrame:
