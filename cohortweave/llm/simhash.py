@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.llm.shared import components, row_key
-from cohortweave.runtime import quoted, settle
+from cohortweave.runtime import Scope, quoted, settle
 
 SEED = 42
 SEGMENTS = ((0, 21), (21, 21), (42, 22))  # lowest bit, width
@@ -157,20 +157,26 @@ def rooted(prints: DataFrame, distance: int, large: int) -> DataFrame:
     """`prints` with `root`, one fingerprint for each component."""
     if distance not in (0, 2, 4):
         raise ValueError("three segments with one wildcard each serve distances of 0, 2 or 4 bits")
-    distinct = prints.select("fp").distinct()
-    index = settle(index_rows(distinct))
-    crowded = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > large).select("key")
-    links = bucket_links(index.join(crowded, "key", "left_anti"), distance)
-    links = links.union(centre_links(index.join(crowded, "key", "left_semi").select("fp").distinct(), distance))
-    roots = components(links)
+    with Scope() as scope:
+        distinct = prints.select("fp").distinct()
+        index = settle(index_rows(distinct))
+        crowded = index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > large).select("key")
+        links = bucket_links(index.join(crowded, "key", "left_anti"), distance)
+        links = links.union(centre_links(index.join(crowded, "key", "left_semi").select("fp").distinct(), distance))
+        roots = components(links)
+        scope.drop_but(roots)
     return prints.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def simhash_groups(docs: DataFrame, words: int = 4, distance: int = 4, large: int = 20_000) -> DataFrame:
     """(doc_id, fp, component_id): component_id is the smallest doc_id reachable through links."""
-    named = rooted(settle(fingerprints(docs, words)), distance, large)
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return named.join(smallest, "root").select("doc_id", "fp", "component_id")
+    prints = settle(fingerprints(docs, words))
+    # one row per distinct fingerprint carries the name; a fingerprint that many rows share meets one row only
+    each = settle(prints.groupBy("fp").agg(F.min("doc_id").alias("low")))
+    named = rooted(each, distance, large)
+    smallest = named.groupBy("root").agg(F.min("low").alias("component_id"))
+    names = settle(named.join(smallest, "root").select("fp", "component_id"))
+    return prints.join(names, "fp").select("doc_id", "fp", "component_id")
 
 
 def one_per_group(docs: DataFrame, words: int = 4, distance: int = 4, large: int = 20_000) -> DataFrame:
@@ -178,8 +184,9 @@ def one_per_group(docs: DataFrame, words: int = 4, distance: int = 4, large: int
 
     A row is told by its doc_id and text together, so rows of other groups with the same doc_id, or none, stay as well.
     """
-    keyed = docs.withColumn("_key", row_key())
-    named = rooted(settle(fingerprints(keyed, words, "_key", "binary")), distance, large)
+    keyed = docs.select(F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("doc"), row_key().alias("_key"), "text")
     last = F.substring("_key", 1, 1) == F.unhex(F.lit("00"))  # no doc_id
-    stays = named.groupBy("root").agg(F.min(F.struct(last.alias("last"), "_key"))["_key"].alias("_key")).select("_key")
-    return keyed.join(stays, "_key", "left_semi").dropDuplicates(["_key"]).select(*[F.col(quoted(c)) for c in docs.columns])
+    prints = fingerprints(keyed, words, "_key", "binary")
+    each = settle(prints.groupBy("fp").agg(F.min(F.struct(last.alias("last"), "_key")).alias("low")))
+    stays = rooted(each, distance, large).groupBy("root").agg(F.min("low")["_key"].alias("_key")).select("_key")
+    return keyed.join(stays, "_key", "left_semi").dropDuplicates(["_key"]).select(*[F.col(f"doc.{quoted(c)}") for c in docs.columns])
