@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.llm.shared import may_hold, row_key
-from cohortweave.runtime import settle
+from cohortweave.runtime import Scope, settle
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -219,19 +219,25 @@ def match_pieces(distinct: DataFrame, window: int) -> DataFrame:
 
 def repeated_words(docs: DataFrame, window: int = 20, gram: int = 8, crowd: int = 1000) -> DataFrame:
     """(id, gone): word ranges [low, high) to be removed of every document that has some. `docs`: id, text."""
-    found = settle(anchors(docs, window, gram))
-    often = settle(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", (F.col("n") > crowd).alias("split")))
-    own = found.where(may_hold(often.select("anchor"), F.col("anchor"), 1 << 23)).join(often, "anchor")
-    own = settle(own.select("id", "anchor", "split").distinct().groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("anchor", "split"))).alias("repeated")))
-    some = docs.where(may_hold(own.select("id"), F.col("id"))).join(own, "id")
-    pieces = settle(cut_pieces(some, window, gram).withColumn("t", F.xxhash64("text")))
-    distinct = settle(pieces.groupBy("key", "t", "text").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("times")))
-    partly = match_pieces(distinct.select("key", "first.id", "first.start", "text"), window)
-    copied = settle(distinct.where("times > 1").select("key", "t", "first"))
-    copies = pieces.select("key", "t", "id", "start", "n").where(may_hold(copied.select("t"), F.col("t"), 1 << 23)).join(copied, ["key", "t"])
-    wholly = copies.where((F.col("id") != F.col("first.id")) | (F.col("start") != F.col("first.start"))).select(
-        "id", F.col("start").cast("long").alias("low"), (F.col("start") + F.col("n") + (window - 1)).cast("long").alias("high"))
-    return partly.union(wholly).groupBy("id").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("gone"))
+    with Scope() as scope:
+        found = settle(anchors(docs, window, gram))
+        often = settle(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor", (F.col("n") > crowd).alias("split")))
+        # a hot anchor counts once in a document, which is settled before the anchors meet
+        own = found.where(may_hold(often.select("anchor"), F.col("anchor"), 1 << 23)).distinct().join(often, "anchor")
+        own = settle(own.groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("anchor", "split"))).alias("repeated")))
+        scope.drop(found, often)
+        some = docs.where(may_hold(own.select("id"), F.col("id"))).join(own, "id")
+        pieces = settle(cut_pieces(some, window, gram).withColumn("t", F.xxhash64("text")))
+        scope.drop(own)
+        distinct = settle(pieces.groupBy("key", "t", "text").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("times")))
+        partly = match_pieces(distinct.select("key", "first.id", "first.start", "text"), window)
+        copied = settle(distinct.where("times > 1").select("key", "t", "first"))
+        copies = pieces.select("key", "t", "id", "start", "n").where(may_hold(copied.select("t"), F.col("t"), 1 << 23)).join(copied, ["key", "t"])
+        wholly = copies.where((F.col("id") != F.col("first.id")) | (F.col("start") != F.col("first.start"))).select(
+            "id", F.col("start").cast("long").alias("low"), (F.col("start") + F.col("n") + (window - 1)).cast("long").alias("high"))
+        gone = settle(partly.union(wholly).groupBy("id").agg(F.array_sort(F.collect_set(F.struct("low", "high"))).alias("gone")))
+        scope.drop_but(gone)
+        return gone
 
 
 def kept_words(docs: DataFrame) -> DataFrame:
@@ -259,7 +265,7 @@ def kept_words(docs: DataFrame) -> DataFrame:
 def without_repeats(docs: DataFrame, **settings) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_key().alias("id"), "text")
-    gone = settle(repeated_words(rows.select("id", "text"), **settings))
+    gone = repeated_words(rows.select("id", "text"), **settings)
     touched = may_hold(gone.select("id"), F.col("id"))
     kind = gone.schema["gone"].dataType
     left = rows.where(touched).join(gone, "id", "left").select("doc_id", "text", "gone")
