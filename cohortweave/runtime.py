@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 
 import pyarrow as pa
@@ -34,6 +36,18 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/cohortweave/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _shuffles_end(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go when it ends, rather than when the driver happens to collect garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write `df` to the shared folder once and read it from there.
 
@@ -43,7 +57,8 @@ def settle(df: DataFrame) -> DataFrame:
     if getattr(df, "_settled", None):
         return df
     path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
+    with _shuffles_end(df.sparkSession):
+        df.write.parquet(path)
     done = df.sparkSession.read.schema(df.schema).parquet(path)
     done._settled = path
     for scope in _SCOPES.get()[-1:]:

@@ -41,3 +41,12 @@ def test_what_an_inner_scope_leaves_goes_to_the_outer_one(spark):
     outer.drop()
     outer.drop()
     assert not os.path.exists(folder(c))
+
+
+def test_shuffles_end_with_the_write(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    counts = spark.range(1000).selectExpr("id % 10 AS k").groupBy("k").count()
+    table = settle(counts.join(counts.withColumnRenamed("count", "n"), "k"))
+    assert table.count() == 10 and settle(counts).count() == 10  # the unwritten plan can be run again
+    assert spark.conf.get(key, None) == before
