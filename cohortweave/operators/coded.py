@@ -9,10 +9,11 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import strip
+from cohortweave.operators.chunks import cohort_chunks
 from cohortweave.operators.codes import match_codes, normalize_patterns, pattern_keys
 from cohortweave.runtime import local_table, quoted, settle
 
@@ -81,6 +82,35 @@ def basic_coded_matrix(long: DataFrame, codes: Iterable[str] | None = None, rost
     ])
 
 
+def write_code_blocks(long: DataFrame, path: str, block: int = 1000, min_occurrences: int = 1) -> None:
+    """Presence of every code of a vocabulary of any size, for reading back `block` codes at a time as columns.
+
+    `path`/catalogue lists the codes in order with the block each belongs to; `path`/cells has one row per sample and block, a map
+    from code to value of what the sample has, in a folder per block. Nothing is listed on the driver and no row is as
+    wide as the vocabulary.
+    """
+    codes = long.where(F.col("phenotype").isNotNull()).select("phenotype").distinct()
+    catalogue = settle(cohort_chunks(codes, block, "phenotype").withColumnRenamed("chunk_id", "block"))
+    catalogue.write.parquet(f"{path}/catalogue")
+    cells = basic_coded_long(long, min_occurrences).join(catalogue, "phenotype")
+    rows = cells.groupBy("block", "sample_ID").agg(F.map_from_entries(F.collect_list(F.struct("phenotype", "value"))).alias("cells"))
+    rows.repartitionByRange("block", "sample_ID").write.partitionBy("block").parquet(f"{path}/cells")
+
+
+def read_code_block(spark: SparkSession, path: str, block: str, roster: DataFrame | None = None, missing_as_control: bool = False) -> DataFrame:
+    """One block of `write_code_blocks` as columns, as `basic_coded_matrix` gives them; only its folder is read."""
+    listed = spark.read.parquet(f"{path}/catalogue").where(F.col("block") == block)
+    names = sorted(r[0] for r in listed.select("phenotype").collect())  # at most the size of a block
+    rows = spark.read.schema("sample_ID string, cells map<string,int>, block string").parquet(f"{path}/cells").where(F.col("block") == block)
+    if roster is not None:
+        rows = roster.select("sample_ID").join(rows, "sample_ID", "left")
+    own = lambda c: F.try_element_at("cells", F.lit(c))
+    if missing_as_control and roster is not None:
+        has = lambda c: F.coalesce(F.map_contains_key("cells", c), F.lit(False))
+        return rows.select("sample_ID", *[F.when(has(c), own(c)).otherwise(0).alias(c) for c in names])
+    return rows.select("sample_ID", *[own(c).alias(c) for c in names])
+
+
 @dataclass(frozen=True)
 class CodeSource:
     """Patterns one definition applies, and the coded phenotype its rows come from."""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,6 +42,22 @@ def _mergeable(stat: str, v: Column, when: Column | None) -> Column:
     }[stat]()
 
 
+def _values(long: DataFrame, stats: Iterable[str], keys: list[str]) -> DataFrame:
+    """(*keys, _v, [_d]): numbers, and dates where a statistic needs them."""
+    when = as_date(long, "occurrence_date") if {"first", "last"} & set(stats) else None
+    rows = long.select(*keys, as_number(long, "value").alias("_v"), *([when.alias("_d")] if when is not None else []))
+    return rows.dropna(subset=["_v", *keys])
+
+
+def _folded(rows: DataFrame, stats: Iterable[str], keys: list[str]) -> DataFrame:
+    d = F.col("_d") if "_d" in rows.columns else None
+    return rows.groupBy(*keys).agg(F.count("_v").alias("n"), *[_mergeable(s, F.col("_v"), d).alias(s) for s in stats])
+
+
+def _medians(rows: DataFrame, keys: list[str]) -> DataFrame:
+    return exact_quantiles(rows, keys, F.col("_v"), [0.5]).select(*keys, "n", F.get("quantiles", F.lit(0)).alias("median"))
+
+
 def sample_stats(long: DataFrame, stats: Iterable[str], keys: Iterable[str] = ("sample_ID",)) -> DataFrame:
     """(*keys, n, one column per statistic) over numeric values.
 
@@ -48,20 +65,38 @@ def sample_stats(long: DataFrame, stats: Iterable[str], keys: Iterable[str] = ("
     so that no task ever holds all values of a huge sample; beside others it has the rows written once.
     """
     keys, stats = list(keys), list(stats)
-    when = as_date(long, "occurrence_date") if {"first", "last"} & set(stats) else None
-    rows = long.select(*keys, as_number(long, "value").alias("_v"), *([when.alias("_d")] if when is not None else []))
-    rows = rows.dropna(subset=["_v", *keys])
-    v, d = F.col("_v"), F.col("_d") if when is not None else None
-    others = [_mergeable(s, v, d).alias(s) for s in stats if s != "median"]
+    others = [s for s in stats if s != "median"]
+    rows = _values(long, stats, keys)
     if "median" not in stats:
-        return rows.groupBy(*keys).agg(F.count(v).alias("n"), *others)
+        return _folded(rows, others, keys)
     rows = settle(rows) if others else rows
-    found = exact_quantiles(rows, keys, v, [0.5]).select(*keys, "n", F.get("quantiles", F.lit(0)).alias("median"))
+    found = _medians(rows, keys)
     if others:
-        found = found.join(rows.groupBy(*keys).agg(*others), keys)
+        found = found.join(_folded(rows, others, keys).drop("n"), keys)
     return found.select(*keys, "n", *stats)
 
 
+def table_stats(long: DataFrame, wanted: dict[str, list[str]]) -> DataFrame:
+    """(sample_ID, phenotype, n, one column per statistic) for the statistics wanted of each phenotype.
+
+    The constant-size ones are one aggregation; the plan for medians takes the rows of those phenotypes that want one. Both are
+    stacked, so a cell of a phenotype may come in two rows, each with what it knows.
+    """
+    keys, every = ["sample_ID", "phenotype"], [s for s in STATS if any(s in stats for stats in wanted.values())]
+    others = [s for s in every if s != "median"]
+    with_median = [name for name, stats in wanted.items() if "median" in stats]
+    folded = [name for name, stats in wanted.items() if set(stats) - {"median"}]
+    rows = _values(long.where(F.col("phenotype").isin(*wanted)), every, keys)
+    if with_median and folded:
+        rows = settle(rows)
+    parts = []
+    if folded:
+        parts.append(_folded(rows.where(F.col("phenotype").isin(*folded)), others, keys))
+    if with_median:
+        parts.append(_medians(rows.where(F.col("phenotype").isin(*with_median)), keys))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def quantitative_summary(long: DataFrame, output_name: str, stats: Iterable[str] | str | None = None,
                          min_occurrences: int = 1, qcut_bins: int = 0) -> DataFrame:
     """Statistics of one phenotype per sample: (sample_ID, {output_name}_{stat}..., [{output_name}_bin])."""
@@ -120,8 +155,7 @@ def quantitative_table(long: DataFrame, specs: dict[str, dict], roster: DataFram
                int(cfg.get("min_occurrences", 1)), int(cfg.get("qcut_bins", 0)))
         for name, cfg in specs.items()
     }
-    all_stats = [s for s in STATS if any(s in stats for _, stats, _, _ in settings.values())]
-    cells = sample_stats(long.where(F.col("phenotype").isin(*settings)), all_stats, ["sample_ID", "phenotype"])
+    cells = table_stats(long, {name: stats for name, (_, stats, _, _) in settings.items()})
     table = cells.groupBy("sample_ID").agg(*[
         F.max(F.when((F.col("phenotype") == name) & (F.col("n") >= least), F.col(stat))).alias(f"{output}_{stat}")
         for name, (output, stats, least, _) in settings.items() for stat in stats

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Range keys after the leading one, so that equal leading keys can be spread.
@@ -41,3 +45,12 @@ def write_chunks(df: DataFrame, path: str, format: str = "tsv", mode: str = "err
     """One folder per `chunk_id` of `cohort_chunks`; each task writes few chunks, a large chunk has many files."""
     keys = [c for c in ("chunk_id", *_ROW_KEYS) if c in df.columns]
     _save(df.repartitionByRange(*keys), path, format, mode, ["chunk_id"])
+
+
+def read_chunks(spark: SparkSession, path: str, schema: T.StructType, chunks: Iterable[str] | None = None) -> DataFrame:
+    """Chunks written by `write_chunks` as Parquet; of named ones only their folders are read.
+
+    `schema` is that of the written table. Chunk ids stay text: `007` is no number.
+    """
+    df = spark.read.schema(schema).parquet(path)
+    return df if chunks is None else df.where(F.col("chunk_id").isin(*chunks))

@@ -227,3 +227,21 @@ def test_batch_joins_on_the_head(spark, long_of):
     df = E.advanced_coded_batch(long, [E.CodedDefinition("T2D", (ICD,))])
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_fifty_thousand_codes_in_blocks(spark, long_of, tmp_path):
+    """A vocabulary that fits no table as columns is written once and read back a block at a time."""
+    long = spark.range(120_000).select(
+        F.format_string("P%d", F.col("id") % 7).alias("sample_ID"), F.lit("coded").alias("data_type"),
+        F.format_string("K%05d", F.col("id") % 50_000).alias("phenotype"), F.lit("x").alias("value"))
+    path = str(tmp_path / "blocks")
+    E.write_code_blocks(long, path, block=200, min_occurrences=2)
+    catalogue = spark.read.parquet(f"{path}/catalogue")
+    assert catalogue.count() == 50_000 and catalogue.select("block").distinct().count() == 250
+    got = E.read_code_block(spark, path, "101", people(spark, *(f"P{i}" for i in range(9))), missing_as_control=True)
+    assert len(got.columns) == 201 and got.columns[1] == "K20000"
+    narrow = long.where("phenotype BETWEEN 'K20000' AND 'K20199'")
+    expected = E.basic_coded_matrix(narrow, None, people(spark, *(f"P{i}" for i in range(9))), 2, True)
+    assert got.columns == expected.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, expected.collect()), key=str)
+    assert E.read_code_block(spark, path, "101").count() == 7

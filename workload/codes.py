@@ -1,10 +1,14 @@
 """Pattern matching and coded phenotypes."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.functions.vocabulary import detect_column_type, detect_value_type
 from cohortweave.operators import coded as E
 from cohortweave.operators.codes import code_pattern_match, normalize_patterns, sample_has_any_code
+from cohortweave.runtime import quoted, scratch_path, settle
 from workload.base import CODES, ROSTER, cat_priority, code_records, long_codes, long_events, query, roster, table
 
 PATTERNS = ["N24.*", "A1*", "R50.7", "A33.", " N10.2 "]
@@ -80,6 +84,17 @@ def _basic_coded_matrix(spark, sf_dir):
     return E.basic_coded_matrix(rows, CHAPTERS, roster(spark, sf_dir), 3, missing_as_control=True)
 
 
+@query("basic_coded_blocks", f"""SELECT "sample_ID", value AS phenotype, CAST(1 AS INT) AS value FROM {COUNTS} WHERE n >= 2""")
+def _basic_coded_blocks(spark, sf_dir):
+    """All codes, written in blocks of 300 and read back block by block as columns; the cells that are filled."""
+    path = scratch_path(spark, "blocks")
+    E.write_code_blocks(long_codes(spark, sf_dir), path, 300, 2)
+    blocks = sorted(r[0] for r in spark.read.parquet(f"{path}/catalogue").select("block").distinct().collect())
+    wide = [settle(E.read_code_block(spark, path, b)) for b in blocks]  # 300 columns each
+    cells = [w.unpivot("sample_ID", [F.col(quoted(c)) for c in w.columns if c != "sample_ID"], "phenotype", "value") for w in wide]
+    return reduce(DataFrame.union, cells).where("value IS NOT NULL")
+
+
 @query("per_code_min_occurrences", f'SELECT "sample_ID", value, n FROM {COUNTS} WHERE n >= 2')
 def _per_code_min_occurrences(spark, sf_dir):
     return E.per_code_min_occurrences(long_codes(spark, sf_dir), 2)

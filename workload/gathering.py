@@ -8,8 +8,10 @@ from cohortweave.operators.chunks import cohort_chunks
 from cohortweave.operators.coded import basic_coded
 from cohortweave.operators.gather import gather_both, gather_long, gather_wide, union_wide
 from cohortweave.operators.quant import quantitative_summary
+from cohortweave.runtime import scratch_path
+from cohortweave.sources.sinks import read_chunks, write_chunks
 from workload.base import (
-    CODES, EVENTS, ORDERS, cat_segment, long_codes, long_events, long_orders, query, rounded, table)
+    CODES, EVENTS, ORDERS, cat_segment, day_text, long_codes, long_events, long_orders, query, rounded, table)
 
 
 def parts(spark, sf_dir):
@@ -84,6 +86,20 @@ def _cohort_chunks(spark, sf_dir):
     return cohort_chunks(orders, 100)
 
 
+@query("chunk_round_trip", f"""WITH r AS (SELECT s, ROW_NUMBER() OVER (ORDER BY s) AS place, COUNT(*) OVER () AS n
+    FROM (SELECT DISTINCT "sample_ID" AS s FROM {ORDERS}))
+  SELECT "sample_ID", value, CAST(occurrence_date AS VARCHAR) AS occurrence_date, lpad(CAST((place - 1) // 40 + 1 AS VARCHAR),
+    CAST(length(CAST((n + 39) // 40 AS VARCHAR)) AS INT), '0') AS chunk_id FROM {ORDERS} JOIN r ON "sample_ID" = s""")
+def _chunk_round_trip(spark, sf_dir):
+    """Split, written a folder per chunk, every second chunk reread by itself and both halves stacked."""
+    chunked = cohort_chunks(long_orders(spark, sf_dir), 40).select("sample_ID", "value", "occurrence_date", "chunk_id")
+    path = scratch_path(spark, "chunks")
+    write_chunks(chunked, path, "parquet")
+    names = sorted(r[0] for r in read_chunks(spark, path, chunked.schema).select("chunk_id").distinct().collect())
+    halves = [read_chunks(spark, path, chunked.schema, names[i::2]) for i in range(2)]
+    return union_wide(halves).withColumn("occurrence_date", day_text("occurrence_date"))
+
+
 @query("age_at_reference", """SELECT l_orderkey, l_linenumber, CAST(2024 - year(l_shipdate)
   - CAST((month(l_shipdate), day(l_shipdate)) > (2, 28) AS INT) AS INT) AS age FROM lineitem""")
 def _age_at_reference(spark, sf_dir):
