@@ -7,13 +7,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortweave.runtime import quoted
 
 log = logging.getLogger(__name__)
 
-_BITS = 60  # table markers per long
-
 
 def _usable(tables: Sequence[DataFrame], sample_col: str) -> list[DataFrame]:
     if not tables:
@@ -27,11 +26,21 @@ def _usable(tables: Sequence[DataFrame], sample_col: str) -> list[DataFrame]:
     return usable
 
 
+def _stacked(tables: Sequence[DataFrame]) -> DataFrame:
+    """Union of equal schemas as a tree, so that the plan of hundreds of tables stays shallow."""
+    tables = list(tables)
+    while len(tables) > 1:
+        tables = [a.union(b) for a, b in zip(tables[::2], tables[1::2])] + tables[len(tables) & ~1:]
+    return tables[0]
+
+
 def gather_wide(tables: Sequence[DataFrame], sample_col: str = "sample_ID", sort: bool = True) -> DataFrame | None:
-    """Full outer join of all tables on the sample, as one union and one aggregation.
+    """Full outer join of all tables on the sample, as one union and one exchange.
 
-    A chain of full outer joins shuffles its growing result once per table; here every table is
-    shuffled once. A column name used twice, or a sample with two rows in a table, is an error.
+    Each table gives its row as (number of the table, an array of cells per data type), so the plan grows with the columns
+    and not with tables times columns. A sample has one such row per table, merged into one map from which the
+    columns are read. A column name used twice, or a sample with two rows in a table, is an error; rows
+    are counted with a state of fixed size, however often a sample is repeated.
     """
     tables = _usable(tables, sample_col)
     if not tables:
@@ -41,32 +50,43 @@ def gather_wide(tables: Sequence[DataFrame], sample_col: str = "sample_ID", sort
     if repeated:
         raise ValueError(f"columns produced by more than one table: {repeated}")
 
-    words = range((len(tables) + _BITS - 1) // _BITS)
-    stacked = None
-    for i, table in enumerate(tables):
-        marked = table.where(F.col(sample_col).isNotNull()).withColumns({
-            f"_t{w}": F.lit(1 << (i % _BITS) if i // _BITS == w else 0).cast("bigint") for w in words})
-        stacked = marked if stacked is None else stacked.unionByName(marked, allowMissingColumns=True)
-
-    # Every row stems from another table exactly when there are as many markers as rows.
-    markers = sum((F.bit_count(F.col(f"_m{w}")) for w in words), F.lit(0))
-    joined = stacked.groupBy(sample_col).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        *[F.bit_or(f"_t{w}").alias(f"_m{w}") for w in words],
-        *[F.max(quoted(c)).alias(c) for c in columns],
-    )
-    sample = F.when(markers == F.col("_rows"), F.col(sample_col)).otherwise(
-        F.raise_error(F.concat(F.lit("sample with several rows in one table: "), F.col(sample_col).cast("string"))))
-    wide = joined.select(sample.alias(sample_col), *[quoted(c) for c in columns])
-    return wide.orderBy(sample_col) if sort else wide
+    held = [[(f.name, f.dataType) for f in t.schema.fields if f.name != sample_col] for t in tables]
+    kinds = []
+    for kind in (kind for cells in held for _, kind in cells):
+        if kind not in kinds:
+            kinds.append(kind)
+    arrays = [f"_a{k}" for k in range(len(kinds))]
+    absent = [F.lit(None).cast(T.ArrayType(kind)).alias(a) for kind, a in zip(kinds, arrays)]
+    parts, places = [], []
+    for i, (table, cells) in enumerate(zip(tables, held)):
+        of_kind = [[name for name, kind in cells if kind == k] for k in kinds]
+        parts.append(table.select(F.col(quoted(sample_col)).alias("_sample"), F.lit(i).alias("_table"), *[
+            F.expr(f"array({', '.join(map(quoted, names))}) AS {a}") if names else none
+            for names, a, none in zip(of_kind, arrays, absent)]))
+        for name, kind in cells:
+            k = kinds.index(kind)
+            places.append(f"_t{i}.{arrays[k]}[{of_kind[k].index(name)}] AS {quoted(name)}")
+
+    # Dealt by sample alone: both groupings below then need no exchange of their own.
+    rows = _stacked(parts).where("_sample IS NOT NULL").repartition("_sample").groupBy("_sample", "_table").agg(
+        F.count(F.lit(1)).alias("_n"), F.first(F.struct(F.lit(True).alias("_here"), *arrays)).alias("_cells"))
+    checked = F.when(F.col("_n") == 1, F.col("_cells")).otherwise(F.raise_error(
+        F.concat(F.lit("sample with several rows in one table: "), F.col("_sample").cast("string"))))
+    merged = rows.groupBy("_sample").agg(F.map_from_entries(F.collect_list(F.struct("_table", checked.alias("_cells")))).alias("_of"))
+    merged = merged.selectExpr("_sample", *[f"_of[{i}] AS _t{i}" for i in range(len(tables))])
+    wide = merged.selectExpr(f"_sample AS {quoted(sample_col)}", *places)
+    return wide.orderBy(quoted(sample_col)) if sort else wide
+
+
+def _text(name: str) -> str:
+    """`name` as a string literal."""
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def _cells(table: DataFrame, sample_col: str) -> DataFrame:
-    pairs = F.array(*[
-        F.struct(F.lit(c).alias("phenotype"), F.col(quoted(c)).cast("string").alias("value"))
-        for c in table.columns if c != sample_col
-    ])
-    return table.select(sample_col, F.explode(pairs).alias("_cell")).select(sample_col, "_cell.*")
+    # one expression in text: building columns one by one takes longer than planning them
+    pairs = ", ".join(f"named_struct('phenotype', {_text(c)}, 'value', CAST({quoted(c)} AS STRING))" for c in table.columns if c != sample_col)
+    return table.selectExpr(quoted(sample_col), f"inline(array({pairs}))")
 
 
 def gather_long(tables: Sequence[DataFrame], sample_col: str = "sample_ID", sort: bool = True) -> DataFrame | None:
@@ -74,9 +94,7 @@ def gather_long(tables: Sequence[DataFrame], sample_col: str = "sample_ID", sort
     tables = [t for t in _usable(tables, sample_col) if len(t.columns) > 1]
     if not tables:
         return None
-    out = _cells(tables[0], sample_col)
-    for table in tables[1:]:
-        out = out.unionByName(_cells(table, sample_col))
+    out = _stacked([_cells(t, sample_col) for t in tables])
     return out.orderBy(sample_col, "phenotype") if sort else out
 
 

@@ -2,6 +2,7 @@ import datetime
 
 import pytest
 from conftest import by_sample
+from pyspark.sql import functions as F
 
 from cohortweave.functions.dates import age_at_reference
 from cohortweave.operators.chunks import cohort_chunks
@@ -115,3 +116,25 @@ def test_chunk_round_trip(long_of, spark, tmp_path):
     assert "PartitionFilters: [isnotnull(chunk_id" in plan or "chunk_id#" in plan.split("PartitionFilters")[1][:80]
     stacked = union_wide([read_chunks(spark, str(tmp_path / "c"), chunked.schema, [f"{i:02d}"]) for i in (12, 1, 2)])
     assert [r.sample_ID for r in stacked.select("sample_ID").distinct().orderBy("sample_ID").collect()] == ["P00", "P01", "P02", "P03", "P22"]
+
+
+def test_hundreds_of_tables_of_many_types(spark):
+    def table(i):
+        value = [F.col("id") * i, F.concat(F.lit("x"), F.col("id")), F.expr("DATE '2020-01-01'"), F.create_map(F.lit("k"), F.col("id"))][i % 4]
+        return spark.range(i % 2, 3, numPartitions=1).select(
+            F.col("id").cast("string").alias("sample.ID"), value.alias(f"E{i}.1"), F.lit(i).cast("double").alias(f"it's `{i}`"))
+
+    tables = [table(i) for i in range(120)]
+    wide = gather_wide(tables, "sample.ID", sort=False)
+    assert wide.columns == ["sample.ID"] + [c for t in tables for c in t.columns[1:]]
+    assert [wide.schema[f"E{i}.1"].dataType for i in range(4)] == [tables[i].schema[f"E{i}.1"].dataType for i in range(4)]
+    plan = wide._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    # the plan grows with the tables, not with tables times columns
+    assert len(plan) < 4 * 60 * len(gather_wide(tables[:2], "sample.ID", sort=False)._jdf.queryExecution().executedPlan().toString())
+    rows = {r["sample.ID"]: r for r in wide.coalesce(1).collect()}
+    assert set(rows) == {"0", "1", "2"}
+    assert (rows["2"]["E4.1"], rows["2"]["E5.1"], rows["2"]["E7.1"], rows["2"]["it's `9`"]) == (8, "x2", {"k": 2}, 9.0)
+    assert rows["0"]["E5.1"] is None and rows["0"]["it's `9`"] is None and rows["0"]["it's `8`"] == 8.0
+    long = gather_long([t.drop("E3.1") for t in tables[:6]], "sample.ID", sort=False).collect()
+    assert ("1", "it's `5`", "5.0") in {tuple(r) for r in long} and len(long) == 3 * 2 * 3 + 3 * 2 * 2 - 2

@@ -49,15 +49,15 @@ def _gather_long(spark, sf_dir):
     return gather_long(parts(spark, sf_dir)).withColumn("value", F.col("value").cast("double"))
 
 
-@query("gather_both", f"""SELECT w."sample_ID", w.filled, l.cells FROM (
-  SELECT "sample_ID", COUNT(*) AS cells FROM ({LONG}) GROUP BY 1) l JOIN (
-  SELECT "sample_ID", COUNT(value) AS filled FROM ({LONG}) GROUP BY 1) w USING ("sample_ID")""")
+@query("gather_both", f"""SELECT "sample_ID", phenotype, CAST(value AS DOUBLE) AS long_value, CAST(value AS DOUBLE) AS wide_value FROM ({LONG})""")
 def _gather_both(spark, sf_dir):
-    # Both forms hold the same cells.
+    """Both forms cell by cell: what either holds stands beside what the other has there."""
     wide, long = gather_both(parts(spark, sf_dir), sort=False)
-    filled = sum((F.col(f"`{n}`").isNotNull().cast("bigint") for n in wide.columns if n != "sample_ID"), F.lit(0))
-    cells = long.groupBy("sample_ID").agg(F.count(F.lit(1)).alias("cells"))
-    return wide.select("sample_ID", filled.cast("bigint").alias("filled")).join(cells, "sample_ID")
+    names = [n for n in wide.columns if n != "sample_ID"]
+    cells = wide.select("sample_ID", *[F.col(f"`{n}`").cast("double").alias(n) for n in names]).unpivot(
+        "sample_ID", [F.col(f"`{n}`") for n in names], "phenotype", "wide_value").where("wide_value IS NOT NULL")
+    long = long.withColumn("long_value", F.col("value").cast("double")).drop("value")
+    return long.join(cells, ["sample_ID", "phenotype"], "full")
 
 
 @query("union_wide", """SELECT CAST(c_custkey AS VARCHAR) AS "sample_ID", c_mktsegment AS segment, NULL AS brand,
