@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortweave.runtime import quoted
 
 # Range keys after the leading one, so that equal leading keys can be spread.
 _ROW_KEYS = ("sample_ID", "occurrence_date", "value")
@@ -37,6 +38,21 @@ def write_long(df: DataFrame, path: str, format: str = "parquet", mode: str = "e
     _save(clustered, path, format, mode)
 
 
+def write_long_buckets(df: DataFrame, name: str, path: str, buckets: int, spread: int = 4) -> DataFrame:
+    """Write a long table as the catalogue table `name`, in buckets by sample; returns it as reread.
+
+    Per-sample aggregations and joins of tables with equal buckets then need no exchange. Each bucket is written by
+    up to `spread` tasks, dealt by the other columns, so that a sample with a large share of all rows is not
+    written by one; a table has at most `buckets` * `spread` files. A reader takes a bucket per task, so `buckets` should
+    grow with the data (some 200 MB each). Rows without a sample are kept. An existing table of that name is an error.
+    """
+    others = [F.col(quoted(f.name)) for f in df.schema.fields if f.name != "sample_ID" and not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    salt = F.pmod(F.xxhash64(*others), F.lit(spread)) if others else F.lit(0)
+    dealt = df.repartition(buckets * spread, F.pmod(F.hash("sample_ID"), F.lit(buckets)), salt)
+    dealt.write.format("parquet").option("path", path).bucketBy(buckets, "sample_ID").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def write_wide(df: DataFrame, path: str, format: str = "tsv", mode: str = "errorifexists") -> None:
     _save(df, path, format, mode)
 

@@ -8,7 +8,7 @@ from cohortweave.functions.values import NA_TOKENS, as_date, as_number, normaliz
 from cohortweave.operators import long as L
 from cohortweave.operators.report import phenotype_report
 from cohortweave.sources.delimited import resolve_separator, scan_delimited, scan_long, scan_roster
-from cohortweave.sources.sinks import write_chunks, write_long, write_wide
+from cohortweave.sources.sinks import write_chunks, write_long, write_long_buckets, write_wide
 
 LIPIDS = [("P001", "55", "HDL", "2020-01-01"), ("P002", "60", "HDL", "2020-01-01"), ("P003", "48", "HDL", "2020-01-02"),
           ("P004", "51", "HDL", "2020-01-02"), ("P001", "120", "LDL", "2020-01-01"), ("P002", "98", "LDL", "2020-01-01"),
@@ -184,3 +184,20 @@ def test_report(long_of):
     report = {r.phenotype: r for r in phenotype_report(long_of(rows), {"BMI": ["BMI_mean", "BMI_bin"]}).collect()}
     assert (report["BMI"].n_rows, report["BMI"].n_numeric, report["BMI"].n_samples) == (3, 2, 2)
     assert report["BMI"].columns == "BMI_mean, BMI_bin" and report["SEX"].columns is None
+
+
+def test_buckets_by_sample_spare_the_exchange(long_of, spark, tmp_path):
+    rows = [(f"P{i % 7}" if i % 3 else "HOT", "quantitative", "X", str(i), None) for i in range(300)] + [(None, "quantitative", "X", "1", None)]
+    name = f"buckets_{tmp_path.name}".replace("-", "_").lower()
+    back = write_long_buckets(long_of(rows), name, str(tmp_path / "b"), 4)
+    try:
+        counts = back.groupBy("sample_ID").agg(F.count(F.lit(1)).alias("n"))
+        assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+        joined = back.join(counts.hint("merge"), "sample_ID")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        found = {r["sample_ID"]: r["n"] for r in counts.collect()}
+        assert found["HOT"] == 100 and found[None] == 1 and sum(found.values()) == 301
+        hot = back.where("sample_ID = 'HOT'").select(F.input_file_name()).distinct().count()
+        assert hot > 1  # one sample, several writers
+    finally:
+        spark.sql(f"DROP TABLE {name}")

@@ -9,7 +9,7 @@ from cohortweave.operators import long as L
 from cohortweave.operators.report import phenotype_report
 from cohortweave.runtime import scratch_path
 from cohortweave.sources.delimited import scan_delimited, scan_long, scan_roster
-from cohortweave.sources.sinks import write_long, write_wide
+from cohortweave.sources.sinks import write_long, write_long_buckets, write_wide
 from workload.base import (
     CODES, EVENTS, MESSY_SQL, ORDERS, PRIORITY, SEGMENT, cat_priority, cat_segment, code_records, day_text, long_codes,
     long_events, long_orders, messy_events, query, table)
@@ -63,13 +63,24 @@ def _scan_roster(spark, sf_dir):
     return scan_roster(spark, path)
 
 
-@query("write_long", f"""SELECT phenotype, COUNT(*) AS n_rows, COUNT(DISTINCT "sample_ID") AS n_samples
-  FROM (SELECT value AS phenotype, "sample_ID" FROM {CODES}) GROUP BY phenotype""")
+@query("write_long", f"""SELECT "sample_ID", data_type, value AS phenotype, value, source,
+  CAST(occurrence_date AS VARCHAR) AS occurrence_date FROM {CODES}""")
 def _write_long(spark, sf_dir):
     path = scratch_path(spark, "codes-long")
     write_long(long_codes(spark, sf_dir), path)
-    back = spark.read.parquet(path).groupBy("phenotype", "sample_ID").agg(F.count(F.lit(1)).alias("n"))
-    return back.groupBy("phenotype").agg(F.sum("n").alias("n_rows"), F.count("sample_ID").alias("n_samples"))
+    return spark.read.parquet(path).withColumn("occurrence_date", day_text("occurrence_date"))
+
+
+@query("write_long_buckets", f"""SELECT "sample_ID", COUNT(*) AS n_rows, COUNT(DISTINCT value) AS n_codes, MIN(value) AS first_code,
+  CAST(MAX(occurrence_date) AS VARCHAR) AS last_day FROM {CODES} GROUP BY 1""")
+def _write_long_buckets(spark, sf_dir):
+    """Written once by sample; what is asked of a sample afterwards needs no exchange."""
+    path = scratch_path(spark, "codes-buckets")
+    back = write_long_buckets(long_codes(spark, sf_dir), path.rsplit("/", 1)[1].replace("-", "_"), path, 16)
+    summary = back.groupBy("sample_ID").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("value").alias("n_codes"), F.min("value").alias("first_code"),
+        F.max("occurrence_date").alias("last_day"))
+    return summary.withColumn("last_day", day_text("last_day"))
 
 
 @query("write_wide", """SELECT CAST(c_custkey AS VARCHAR) AS "sample_ID", c_name, c_mktsegment,
