@@ -1,16 +1,18 @@
 """Resharding by minimum-cost flow.
 
 From the rows and bytes that the old shards hold and the rows that the new shards may hold, a flow over the
-(old, new) pairs settles how many rows go where: staying costs nothing, moving costs. The flow sees shards
-only, never documents. Each old shard then gives away its smallest documents, so that for the
-required counts the fewest bytes travel; runs of documents in that order are the blocks of a transfer.
+(old, new) pairs settles how many rows go where: staying costs nothing, moving costs bytes. The flow sees shards
+only, never documents. Each old shard gives away its smallest documents, so what leaves it costs more a row the more
+rows leave; the row at the cut, which may stay or go, has an arc of its own with its own bytes. Hence no other
+transfer to such counts moves fewer bytes. Runs of documents in that order are the blocks of a transfer.
 `rewrite` writes the files of changed shards only and points at the old files for the others.
 
 Law: `rows`. Shards differ by one document at most, whatever share one old shard, source or text has.
 
 Defined results: a null text has no bytes; a null doc_id is an id of its own (-1 for the law of the old layout);
 rows repeated under a doc_id are documents of their own, ties in size and id go by text hash;
-an empty table gives an empty result; surplus columns are carried along by `rewrite`.
+an empty table gives an empty result; surplus columns, whatever their names, are carried along by `rewrite`, which writes
+each row once, rows with equal (also null) ids and texts included.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.llm.shared import ranked, whole_text
+from cohortweave.runtime import quoted
 
 
 @dataclass
@@ -74,23 +77,25 @@ class Network:
             sent += step
 
 
-def transfers(rows: dict[int, int], shards: int, cost: dict[int, int] | None = None) -> list[tuple[int, int, int]]:
+def transfers(rows: dict[int, int], shards: int, cost: dict[int, list[tuple[int, int]]] | None = None) -> list[tuple[int, int, int]]:
     """(old, new, rows) of the cheapest way to counts that are at most one apart.
 
-    `rows`: rows of each old shard. `cost`: what moving one row out of it costs (1 if not given). Which shards get
-    the surplus row is part of the solution.
+    `rows`: rows of each old shard. `cost`: (rows, bytes a row) in the order in which rows would leave it, bytes not falling
+    (1 a row if not given). Which shards get the surplus row is part of the solution.
     """
     total = sum(rows.values())
     least, more = divmod(total, shards)
     old = sorted(rows)
-    first_new = 1 + len(old)
+    first_new = 1 + 2 * len(old)
     pool, sink = first_new + shards, first_new + shards + 1
     net = Network(sink + 1)
     ways = []
     for i, shard in enumerate(old):
-        net.link(0, 1 + i, rows[shard], 0)
-        for new in range(shards):
-            ways.append((shard, new, net.link(1 + i, first_new + new, rows[shard], 0 if new == shard else (cost or {}).get(shard, 1))))
+        held, leaving = 1 + 2 * i, 2 + 2 * i
+        net.link(0, held, rows[shard], 0)
+        for n, size in (cost or {}).get(shard, [(rows[shard], 1)]):
+            net.link(held, leaving, n, size)
+        ways += [(shard, new, net.link(held if new == shard else leaving, first_new + new, rows[shard], 0)) for new in range(shards)]
     for new in range(shards):
         net.link(first_new + new, sink, least, 0)
         net.link(first_new + new, pool, 1, 0)
@@ -100,19 +105,38 @@ def transfers(rows: dict[int, int], shards: int, cost: dict[int, int] | None = N
     return [(a, b, start - arc.room) for a, b, arc in ways for start in [rows[a]] if start > arc.room]
 
 
+def leaving_bytes(placed: DataFrame, held: dict[int, int], shards: int) -> dict[int, list[tuple[int, int]]]:
+    """What rows cost that leave an old shard: those that have to, the one at the cut, and those before it.
+
+    `placed` ranks rows from the largest. The first and last kind have one price a row, which decides nothing: rows behind
+    the cut leave any shard that stays and those before it need not leave.
+    """
+    least = sum(held.values()) // shards
+    rank, size = F.col("_rank"), F.col("size")
+    found = placed.groupBy("old_shard").agg(
+        F.min(F.when(rank > least, size)).alias("last"), F.max(F.when(rank == least, size)).alias("cut"),
+        F.min(F.when(rank < least, size)).alias("kept")).collect()  # a row per old shard
+    out = {}
+    for r in found:
+        n = held[r["old_shard"]]
+        pieces = [(n - least - 1, r["last"]), (1, r["cut"]), (least, r["kept"])] if n > least else [(n, r["kept"])]
+        out[r["old_shard"]] = [(count, price) for count, price in pieces if count > 0]
+    return out
+
+
 def reshard(docs: DataFrame, old_shard: Column, shards: int) -> DataFrame:
-    """(doc_id, size, text_crc32, old_shard, shard, slot): every row of `docs` in one of `shards` shards.
+    """(doc_id, size, text_crc32, text_hash, old_shard, shard, slot): every row of `docs` in one of `shards` shards.
 
     `slot` counts the documents of a new shard from 0: those that stayed first, then block after block.
     """
     text = whole_text()
     sized = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + F.lit(8)).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("_hash"), old_shard.cast("int").alias("old_shard"))
-    placed = ranked(sized, ["old_shard"], [F.col("size").desc(), F.col("doc_id"), F.col("_hash")])
+        F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("text_hash"), old_shard.cast("int").alias("old_shard"))
+    placed = ranked(sized, ["old_shard"], [F.col("size").desc(), F.col("doc_id"), F.col("text_hash")])
     held = {r["old_shard"]: r["n"] for r in placed.groupBy("old_shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks, filled = [], [0] * shards
-    flow = transfers(held, shards)
+    flow = transfers(held, shards, leaving_bytes(placed, held, shards))
     for new in range(shards):  # rows that stay come first in the shard
         for a, b, n in flow:
             if a == b == new:
@@ -127,15 +151,16 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int) -> DataFrame:
     table = docs.sparkSession.createDataFrame(blocks, "_old int, shard int, _from long, _to long, _slot long")
     inside = (F.col("old_shard") == F.col("_old")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to"))
     out = placed.join(F.broadcast(table), inside)  # at most one block per pair of shards
-    return out.select("doc_id", "size", "text_crc32", "old_shard", "shard", (F.col("_rank") - F.col("_from") + F.col("_slot")).alias("slot"))
+    return out.select("doc_id", "size", "text_crc32", "text_hash", "old_shard", "shard", (F.col("_rank") - F.col("_from") + F.col("_slot")).alias("slot"))
 
 
 def rewrite(docs: DataFrame, placed: DataFrame, folder: str, current: dict[int, str] | None = None) -> dict[int, str]:
     """Write the shards whose rows changed below `folder`; the new {shard: path}.
 
-    `placed` is the result of `reshard` for `docs`, whose doc_ids must be unique here; `current` names the folders of the old
-    shards. A shard that neither lost nor gained a row keeps its folder. A new generation gets a new folder, so readers of
-    the old one are not disturbed and a failed run leaves it whole.
+    `placed` is the result of `reshard` for `docs`; `current` names the folders of the old shards. A shard that neither lost nor
+    gained a row keeps its folder. A new generation gets a new folder, so readers of the old one are not disturbed and a
+    failed run leaves it whole. Rows meet their places by id and text, and rows equal in both by their
+    number among them, which no task counts alone.
     """
     moved = placed.where("old_shard <> shard")
     touched = {r[0] for r in moved.select("old_shard").union(moved.select("shard")).distinct().collect()}
@@ -143,9 +168,19 @@ def rewrite(docs: DataFrame, placed: DataFrame, folder: str, current: dict[int,
     shards = [r[0] for r in placed.select("shard").distinct().collect()]
     write = sorted(s for s in shards if s in touched or s not in current)
     target = f"{folder.rstrip('/')}/generation-{uuid.uuid4().hex}"
+    name, keys = "_shard", ["_id", "_text", "_crc"]
+    while name in {c.lower() for c in docs.columns}:
+        name += "_"
     if write:
-        places = placed.where(F.col("shard").isin(write)).select(F.col("doc_id").alias("_id"), F.col("shard").alias("_shard"), F.col("slot").alias("_slot"))
-        joined = docs.join(places, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-        (joined.repartitionByRange("_shard", "_slot").sortWithinPartitions("_shard", "_slot")
-         .select(*docs.columns, "_shard").write.partitionBy("_shard").parquet(target))
-    return {s: f"{target}/_shard={s}" if s in write else current[s] for s in shards}
+        places = placed.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"), F.col("text_crc32").alias("_crc"), "shard", "slot")
+        # all places are numbered, so that rows and places of one key get the same numbers
+        places = ranked(places, keys, [F.col("shard"), F.col("slot")]).where(F.col("shard").isin(write))
+        text = whole_text()
+        rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64(text).alias("_text"), F.crc32(text.cast("binary")).alias("_crc"),
+                           F.struct(*[F.col(quoted(c)) for c in docs.columns]).alias("_doc"), F.monotonically_increasing_id().alias("_nth"))
+        rows = ranked(rows, keys, [F.col("_nth")])
+        same = [rows[c].eqNullSafe(places[c]) for c in (*keys, "_rank")]
+        joined = rows.join(places, same).select("_doc", "shard", "slot")
+        joined = joined.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot")
+        joined.select(*[F.col(f"_doc.{quoted(c)}") for c in docs.columns], F.col("shard").alias(name)).write.partitionBy(name).parquet(target)
+    return {s: f"{target}/{name}={s}" if s in write else current[s] for s in shards}

@@ -1,5 +1,7 @@
+import random
 import zlib
 from collections import Counter
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
@@ -63,3 +65,44 @@ def test_query(spark, sf_dir):
     stayed = sum(r["old_shard"] == r["shard"] for r in rows)
     least, more = divmod(len(rows), 24)
     assert stayed == sum(min(n, least) for n in old.values()) + min(more, sum(n > least for n in old.values()))
+
+
+def fewest_bytes(sizes, shards):
+    """By trying every choice of shards with the surplus row; each gives its smallest documents away."""
+    total = sum(map(len, sizes.values()))
+    least, more = divmod(total, shards)
+    best = None
+    for above in combinations(range(shards), more):
+        bytes_moved = 0
+        for shard, held in sizes.items():
+            stay = least + (shard in above) if shard < shards else 0
+            bytes_moved += sum(sorted(held, reverse=True)[stay:])
+        best = bytes_moved if best is None else min(best, bytes_moved)
+    return best
+
+
+def test_fewest_bytes_move(docs_of):
+    random.seed(3)
+    cases = [({0: [1000] * 4, 1: [1] * 3}, 3), ({0: [1] * 4, 1: [1000] * 3}, 3), ({0: [5, 5], 1: [9], 4: [7, 1, 3]}, 2)]
+    cases += [({s: [random.choice((0, 3, 40, 900)) for _ in range(random.randrange(1, 9))] for s in range(random.randrange(1, 5))}, random.randrange(2, 5))
+              for _ in range(5)]
+    for lengths, shards in cases:
+        held = [(s, n) for s, ns in lengths.items() for n in ns]
+        docs = docs_of([(i, "x" * n, str(s)) for i, (s, n) in enumerate(held)])
+        got = resharding.reshard(docs, F.col("source").cast("int"), shards).collect()
+        counts = Counter({s: 0 for s in range(shards)}) + Counter(r["shard"] for r in got)
+        assert len(got) == len(held) and max(counts.values()) - min(counts[s] for s in range(shards)) <= 1
+        sizes = {s: [n + 8 for n in ns] for s, ns in lengths.items()}
+        assert sum(r["size"] for r in got if r["shard"] != r["old_shard"]) == fewest_bytes(sizes, shards), (lengths, shards)
+
+
+def test_rewrite_keeps_each_row_once(spark, docs_of, tmp_path):
+    rows = [(7, "same", "a"), (7, "same", "b"), (7, "other", "c"), (None, None, "d"), (None, "", "e"), (None, "", "f"), (None, "x", "g"), (1, "y", "h"), (2, "z", "i")]
+    docs = docs_of(rows).withColumn("_shard", F.col("source")).withColumn("a.b", F.lit(3)).withColumn("_doc", F.lit(4)).withColumn("slot", F.lit(5))
+    placed = resharding.reshard(docs, F.lit(0), 4)
+    paths = resharding.rewrite(docs, placed, str(tmp_path))
+    back = [r for s in paths for r in spark.read.parquet(paths[s]).collect()]
+    assert sorted(r["source"] for r in back) == list("abcdefghi")
+    assert all(r["_shard"] == r["source"] and (r["a.b"], r["_doc"], r["slot"]) == (3, 4, 5) for r in back)
+    assert {r["source"]: (r["doc_id"], r["text"]) for r in back} == {c: (i, t) for i, t, c in rows}
+    assert {s: spark.read.parquet(paths[s]).count() for s in paths} == Counter(r["shard"] for r in placed.collect())
