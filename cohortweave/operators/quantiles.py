@@ -22,14 +22,17 @@ from cohortweave.functions.values import as_number
 from cohortweave.runtime import quoted, settle
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: Column, probabilities: Sequence[float],
+                    weight: Column | None = None) -> DataFrame:
     """Linear-interpolated quantiles per group: (*keys, n, quantiles array<double>).
 
-    Null values and rows with a null key are left out; a group without values gives no row.
+    Null values and rows with a null key are left out; a group without values gives no row. With a `weight` (a whole number) a row stands
+    for so many equal ones.
     """
     names, keys = list(keys), [quoted(k) for k in keys]
-    present = df.select(*keys, value.cast("double").alias("_v")).dropna(subset=[*names, "_v"])
-    counts = present.groupBy(*keys, "_v").agg(F.count("_v").alias("_w"))
+    times = [] if weight is None else [weight.cast("long").alias("_times")]
+    present = df.select(*keys, value.cast("double").alias("_v"), *times).dropna(subset=[*names, "_v"])
+    counts = present.groupBy(*keys, "_v").agg((F.sum("_times") if times else F.count("_v")).alias("_w"))
     dealt = counts.repartitionByRange(*[F.col(k) for k in keys], F.col("_v")).withColumn("_part", F.spark_partition_id())
     # written, as a second sampling could choose other ranges
     dealt = settle(dealt)

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.operators import clean as C
 from cohortweave.operators import quantiles as Q
+from cohortweave.operators import reported as R
 
 
 def values(df, phenotype="ALT"):
@@ -108,3 +109,42 @@ def test_crowded_group_is_spread_and_answers_alike_alone(spark):
     counts = crowded.groupBy("k", "x").count().repartitionByRange(8, "k", "x").groupBy(F.spark_partition_id()).count()
     most, total = counts.agg(F.max("count"), F.sum("count")).first()
     assert most < total / 4
+
+
+@pytest.mark.parametrize("method, mode, scale", [
+    ("iqr", "cap", "zscore"), ("iqr", "remove", "minmax"), ("zscore", "remove", None), ("zscore", "cap", "zscore"), ("none", "cap", "minmax")])
+def test_one_go_equals_the_steps_and_their_reports(long_of, method, mode, scale):
+    rows = [(f"P{i:02d}", "quantitative", p, t, "2020-01-01") for p, texts in {
+        "ALT": ["10", "12", "11", "10.5", "9999", "x", None], "ONE": ["7"], "SAME": ["3", "3", "3"], "NONE": ["a", None],
+        None: ["4"]}.items() for i, t in enumerate(texts)] + [("P1", "coded", "ALT", "E11", None), (None, "quantitative", "ALT", "12", None)]
+    long = long_of(rows)
+    rule = C.OutlierRule(method, mode, zscore_sd=1.5)
+    done = R.clean_with_reports(long, rule, scale)
+
+    def told(df):
+        out = []
+        for r in df.collect():
+            cells = [float(c) if name == "value" and c not in (None, "x", "a", "E11") else c for name, c in r.asDict().items()]
+            out.append(tuple(f"{c:.9g}" if isinstance(c, float) else str(c) for c in cells))
+        return sorted(out)
+
+    stepped = C.outlier_filter(long, rule)
+    assert told(done.rows) == told(C.scale_filter(stepped, scale) if scale else stepped)
+    assert done.rows.schema["value"].dataType == long.schema["value"].dataType
+    if method != "none":
+        assert told(done.outliers) == told(C.outlier_report(long, rule))
+    else:
+        assert done.outliers.isEmpty()
+    assert told(done.scales.drop("method")) == told(C.scale_stats(stepped).select("phenotype", "n", "mean", "sd", "lo", "hi"))
+
+
+def test_one_go_reads_the_rows_twice(spark, long_of, tmp_path):
+    path = str(tmp_path / "long")
+    long_of([(f"P{i}", "quantitative", "ALT", str(i % 5), None) for i in range(50)]).write.parquet(path)
+    done = R.clean_with_reports(spark.read.parquet(path), C.OutlierRule(), "zscore")
+    plan = done.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2  # the rows and the settings of phenotypes
+    for report in (done.outliers, done.scales):
+        assert path not in str(report.inputFiles())
+    assert C.outlier_report(spark.read.parquet(path)).inputFiles() != done.outliers.inputFiles()
+    assert done.rows.where("value IS NULL").isEmpty()

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.operators.clean import (
     OutlierRule, outlier_filter, outlier_report, scale_filter, scale_report)
+from cohortweave.operators.reported import clean_with_reports
 from workload.base import EVENTS, day_text, long_events, query, rounded
 
 KEYS = '"sample_ID", phenotype, CAST(occurrence_date AS VARCHAR) AS occurrence_date'
@@ -97,3 +98,16 @@ def _scale_filter(spark, sf_dir):
 @query("scale_report", f"""SELECT phenotype, 'minmax' AS method, lo, hi FROM ({STATS})""")
 def _scale_report(spark, sf_dir):
     return scale_report(long_events(spark, sf_dir), "minmax")
+
+
+@query("clean_with_reports", f"""WITH capped AS (SELECT "sample_ID", phenotype, occurrence_date, value AS was,
+    LEAST(GREATEST(value, lo), hi) AS value FROM {EVENTS} JOIN ({IQR}) USING (phenotype)),
+  s AS (SELECT phenotype, avg(value) AS mean, stddev_samp(value) AS sd, COUNT(*) AS n_total,
+    COUNT(CASE WHEN was <> value THEN 1 END) AS n_capped FROM capped GROUP BY phenotype)
+  SELECT {KEYS}, ROUND((value - mean) / sd, 9) AS value, n_total, n_capped, CAST(0 AS BIGINT) AS n_removed, ROUND(mean, 6) AS mean
+  FROM capped JOIN s USING (phenotype)""")
+def _clean_with_reports(spark, sf_dir):
+    """Capped and scaled rows beside what both reports say of their phenotype."""
+    done = clean_with_reports(long_events(spark, sf_dir), OutlierRule(), "zscore")
+    scales = done.scales.select("phenotype", rounded("mean"))
+    return _shown(done.rows).join(done.outliers, "phenotype").join(scales, "phenotype")
