@@ -74,6 +74,29 @@ def test_candidates_are_added_and_base_stays(docs_of):
         assert not any(a["start"] < b["end"] and b["start"] < a["end"] for a in r["added"] for b in r["base"])
 
 
+def test_many_matches_in_one_text(docs_of):
+    text = " ".join(f"u{i}@h{i}.org, joe{i} (at) firm{i}.com or +1 212 555 {1000 + i % 9000}" for i in range(20_000))
+    row = pii.personal_data(docs_of([text, "x"])).where("doc_id = 0").first()
+    assert [tuple(s) for s in row["base"]] == plain_spans(text) and len(row["base"]) == 40_000
+
+
+def test_touching_equals_comparing_all(spark):
+    rng = random.Random(4)
+    rows = []
+    for i in range(300):
+        base = []
+        for kind in range(4):
+            ends = sorted(rng.sample(range(60), 2 * rng.choice([0, 1, 1, 2, 5])))
+            base += [(s, kind, e) for s, e in zip(ends[::2], ends[1::2])]
+        start = rng.randrange(60)
+        rows.append((i, sorted(base), (start, start + rng.randrange(1, 9))))
+    df = spark.createDataFrame(rows, "i int, base array<struct<start: bigint, kind: int, end: bigint>>, c struct<start: bigint, end: bigint>")
+    kinds = ", ".join(f"filter(base, b -> b.kind = {k})" for k in range(4))
+    got = {r["i"]: r["hit"] for r in df.selectExpr("i", f"{pii.touches(f'array({kinds})', 'c')} AS hit").collect()}
+    assert got == {i: any(s < c[1] and c[0] < e for s, _, e in base) for i, base, c in rows}
+    assert set(got.values()) == {True, False}
+
+
 def test_empty_and_repeated(docs_of):
     assert pii.personal_data(docs_of(["x"]).where("false")).count() == 0
     assert pii.personal_data(docs_of([(1, "a@b.c", "s"), (1, "a@b.c", "s"), (None, None, None)])).count() == 3
