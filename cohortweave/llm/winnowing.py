@@ -6,7 +6,8 @@ by the shift between them; nothing shorter than k bytes ever matches. A text wit
 window; a text shorter than k is one gram.
 
 `neighbours` brings each document together with the next by doc_id without one task over all: documents are dealt to ranges of
-doc_id, and the first document of each range goes to the range before it as well.
+(doc_id, hash of the text), a partition each and as many as the bytes ask for, and the first document of each range goes to the range before
+it as well. Many rows under one doc_id, also a null one, are split by the hash.
 
 Defined results: a null text counts as empty; an empty text has no hashes, and two such are alike (1.0); rows repeated under
 a doc_id follow each other in the order of a hash of the text; a null doc_id comes first; a single document
@@ -15,19 +16,22 @@ is its own next; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import hashlib
+import json
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortweave.llm.shared import whole_text
 
 BASE = 0x9E3779B97F4A7C15
 LOWEST = -(1 << 63)
+RANGE_BYTES = 256 << 20
 
 
 def gram_hashes(data: bytes, k: int) -> np.ndarray:
@@ -91,15 +95,38 @@ def edited(text: str, other: str) -> str:
     return text[:len(text) - q] + other[:q] if q else text
 
 
+def range_count(docs: DataFrame) -> int:
+    """Ranges of about `RANGE_BYTES` of text, and no fewer than the session's shuffle partitions."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // RANGE_BYTES))
+
+
+def range_starts(rows: DataFrame, ranges: int) -> list[tuple[int, int]]:
+    """Sorted (id, hash) at which ranges of near equal counts begin; an id that fills several is split evenly by hash."""
+    if ranges < 2:
+        return []
+    error = max(1e-5, min(0.01, 0.25 / ranges))
+    cuts = rows.select(F.col("_id").cast("double").alias("d")).approxQuantile("d", [i / ranges for i in range(1, ranges)], error)
+    often = Counter(min(int(c), -LOWEST - 1) for c in cuts)
+    return [(i, LOWEST + (j << 64) // n) for i, n in sorted(often.items()) for j in range(n)]
+
+
+def range_of(starts: list[tuple[int, int]]) -> Column:
+    """How many of `starts` are at or before the row's (_id, _hash), by halving steps."""
+    if not starts:
+        return F.lit(0)
+    bounds = F.from_json(F.lit(json.dumps([{"i": i, "h": h} for i, h in starts])), "array<struct<i bigint, h bigint>>")
+    row = F.struct(F.col("_id").alias("i"), F.col("_hash").alias("h"))
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(starts).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) <= row, at + step).otherwise(at))
+
+
 def neighbours(docs: DataFrame, ranges: int) -> DataFrame:
-    """(part, tail, doc_id, text): sorted runs; `tail` rows only show what follows the last document of a part."""
+    """(part, tail, doc_id, text): a sorted run a partition; `tail` rows only show what follows the last document of a part."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    rows = rows.withColumn("_id", F.coalesce("doc_id", F.lit(LOWEST)))
-    ids = docs.select(F.col("doc_id").cast("double").alias("d"))
-    cuts = sorted({int(c) for c in ids.approxQuantile("d", [i / ranges for i in range(1, ranges)], 0.01)}) if ranges > 1 else []
-    bounds = F.from_json(F.lit(str(cuts)), "array<bigint>")
-    rows = rows.withColumn("part", F.size(F.filter(bounds, lambda b: b <= F.col("_id"))) if cuts else F.lit(0))
-    rows = rows.withColumn("_hash", F.xxhash64("text"))
+    rows = rows.withColumn("_id", F.coalesce("doc_id", F.lit(LOWEST))).withColumn("_hash", F.xxhash64("text"))
+    starts = range_starts(rows, ranges)
+    rows = rows.withColumn("part", range_of(starts))
     # one row per range, as many as there are partitions
     firsts = sorted(tuple(r) for r in rows.groupBy("part").agg(F.min(F.struct("_id", "_hash")).alias("f")).select("part", "f._id", "f._hash").collect())
     before = {f: firsts[i - 1][0] for i, f in enumerate(firsts)}  # the first one follows the last range
@@ -112,7 +139,7 @@ def neighbours(docs: DataFrame, ranges: int) -> DataFrame:
     else:
         shown = F.array(F.struct("part", F.lit(False).alias("tail")))
     rows = rows.withColumn("_to", F.explode(shown)).select("_to.part", "_to.tail", "doc_id", "_id", "_hash", "text")
-    return rows.repartition(max(1, len(firsts)), "part").sortWithinPartitions("part", "tail", "_id", "_hash").select("part", "tail", "doc_id", "text")
+    return rows.repartitionById(len(starts) + 1, "part").sortWithinPartitions("part", "tail", "_id", "_hash").select("part", "tail", "doc_id", "text")
 
 
 def fingerprint_edits(docs: DataFrame, k: int = 16, window: int = 24) -> DataFrame:
@@ -139,8 +166,7 @@ def fingerprint_edits(docs: DataFrame, k: int = 16, window: int = 24) -> DataFra
             columns = list(zip(*out)) or [[]] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return neighbours(docs, ranges).mapInArrow(run, schema)
+    return neighbours(docs, range_count(docs)).mapInArrow(run, schema)
 
 
 def fingerprints(docs: DataFrame, k: int = 16, window: int = 24) -> DataFrame:

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortweave.llm import winnowing
 from cohortweave.llm.queries import QUERIES
@@ -84,6 +85,28 @@ def test_odd_tables(docs_of):
     assert winnowing.fingerprints(docs_of(["some text that is long enough", None])).count() == 2
 
 
+def test_many_rows_under_one_id_are_split(docs_of):
+    """A third of the rows without an id, a third under one id: still ranges of near equal counts, and the same results."""
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("abcdefgh ") for _ in range(40))
+    table = docs_of([(i if i % 3 == 2 else 50 if i % 3 else None, word(), "s") for i in range(600)])
+    parts = winnowing.neighbours(table, 12).where("NOT tail").withColumn("at", F.spark_partition_id())
+    sizes = [r["count"] for r in parts.groupBy("part", "at").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 150 and sum(sizes) == 600
+    rows = [(n, r["text"]) for n, r in enumerate(table.orderBy(F.col("doc_id").asc_nulls_first(), F.xxhash64("text")).collect())]
+    got = winnowing.fingerprint_edits(table).select("n_chars", "edited_sha256", "near_edited", "near_next").collect()
+    assert sorted(map(tuple, got)) == sorted(expected(rows).values())
+
+
+def test_ranges_begin_where_asked(spark):
+    low, high = winnowing.LOWEST, -winnowing.LOWEST - 1
+    starts = [(low, 0), (1, low), (1, 0), (7, low), (high, low)]
+    rows = spark.createDataFrame([(i, h) for i in (low, 0, 1, 6, 7, high) for h in (low, -1, 0, high)], "_id long, _hash long")
+    for n in range(len(starts) + 1):
+        for r in rows.withColumn("part", winnowing.range_of(starts[:n])).collect():
+            assert r["part"] == sum(s <= (r["_id"], r["_hash"]) for s in starts[:n])
+
+
 def test_query(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = shown(QUERIES["op2_winnowing"](spark, sf_dir))
