@@ -9,3 +9,11 @@ def test_documents_are_joined_before_the_rows_come_to_one_task(spark, docs_of):
     assert rows.rdd.getNumPartitions() == 1 and "Coalesce" not in plan
     assert plan.index("SinglePartition") < plan.index("Join")  # the exchange is above the join
     assert toxicity.labelled_rows(docs, labels, 20).rdd.getNumPartitions() > 1 and rows.count() <= 20
+
+
+def test_a_labelled_id_repeated_many_times_stays_within_the_bound(spark, docs_of):
+    docs = docs_of([(1, "text %d" % i, "s") for i in range(500)] + [(3, "other", "s")])
+    labels = spark.createDataFrame([(1, 1), (3, 0)], "doc_id long, toxic int")
+    assert toxicity.labelled_rows(docs, labels, 20).count() == 501
+    first, again = (sorted(map(tuple, toxicity.gathered_rows(d, labels, 20).collect())) for d in (docs, docs.repartition(7)))
+    assert len(first) == 20 and first == again
