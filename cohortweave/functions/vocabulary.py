@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cohortweave.functions.values import NUMERIC_TEXT, strip
-from cohortweave.runtime import quoted
+from cohortweave.runtime import local_table, quoted
 
 # Accepted spellings of each canonical data type.
 DATA_TYPE_ALIASES = {
@@ -82,27 +82,14 @@ def _share(value: Column, pattern: str) -> Column:
     return F.avg(F.when(value.isNotNull(), value.rlike(pattern).cast("int")))
 
 
-def detect_value_type(df: DataFrame, columns: list[str], sample_size: int | None = None,
-                      order_by: str | None = None) -> DataFrame:
-    """Data type suggested by the values of each column: (column, n_values, value_type).
-
-    All non-null values count by default. With `sample_size` only the first ones in the order of
-    `order_by` do; Spark then trims each column on the map side before the shuffle.
-    """
+def detect_value_type(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Data type suggested by all non-null values of each column: (column, n_values, value_type)."""
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("string").alias("text")) for c in columns
     ]))
-    keep = [F.col(quoted(order_by)).alias("_order")] if order_by else []
-    cells = df.select(*keep, pairs.alias("_cell")).select(*(["_order"] if keep else []), "_cell.*")
-    if sample_size is not None:
-        if order_by is None:
-            raise ValueError("sample_size needs order_by: Spark rows have no order of their own")
-        first = W.partitionBy("column").orderBy("_order", "text")
-        cells = (
-            cells.where(F.col("text").isNotNull())
-            .withColumn("_rank", F.row_number().over(first))
-            .where(F.col("_rank") <= sample_size)
-        )
+    # a row without a value per column, so that an empty table has them too
+    every = local_table(df.sparkSession, {"column": columns, "text": [None] * len(columns)}, {"column": pa.string(), "text": pa.string()})
+    cells = df.select(pairs.alias("_cell")).select("_cell.*").union(every)
     text = F.col("text")
     shares = cells.groupBy("column").agg(
         F.count(text).alias("n_values"),
@@ -117,15 +104,7 @@ def detect_value_type(df: DataFrame, columns: list[str], sample_size: int | None
         .when(F.col("numeric"), "quantitative")
         .otherwise("categorical")
     )
-    seen = shares.select("column", "n_values", kind.alias("value_type"))
-    if sample_size is None:
-        return seen
-    # A column without any value lost all its rows to the sampling filter.
-    everything = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
-    return everything.join(F.broadcast(seen), "column", "left").select(
-        "column", F.coalesce("n_values", F.lit(0)).cast("bigint").alias("n_values"),
-        F.coalesce("value_type", F.lit("unknown")).alias("value_type"),
-    )
+    return shares.select("column", "n_values", kind.alias("value_type"))
 
 
 def profile_table(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 from cohortweave.operators.coded import MAX_PIVOT_COLUMNS
 from cohortweave.runtime import local_table
 
-# Up to this many counters are computed as expressions on every row.
-MAX_EXPRESSIONS = 64
-
 
 @dataclass(frozen=True)
 class CategoricalSpec:
@@ -70,30 +67,17 @@ def _value_counters(specs: list[CategoricalSpec]) -> list[tuple[str, str, str]]:
     return out
 
 
-def _count_by_expressions(rows: DataFrame, specs: list[CategoricalSpec], counters) -> DataFrame:
-    """All counters of a sample in one aggregation of fixed-size states, combined on the map side."""
-    texts: dict[tuple[str, str], list[str]] = {}
-    for counter, phenotype, text in counters:
-        texts.setdefault((counter, phenotype), []).append(text)
-    mine = {s.phenotype: F.col("phenotype") == s.phenotype for s in specs}
-    return rows.groupBy("sample_ID").agg(
-        *[F.count(F.when(mine[s.phenotype], 1)).alias(f"n{i}") for i, s in enumerate(specs)],
-        *[F.count(F.when(mine[p] & F.col("text").isin(*ts), 1)).alias(c) for (c, p), ts in texts.items()],
-    )
-
-
 def _count_by_lookup(rows: DataFrame, specs: list[CategoricalSpec], counters) -> DataFrame:
-    """The same for many counters: values find theirs by a hash join instead of a test per counter."""
-    cells = rows.groupBy("sample_ID", "phenotype", "text").agg(F.count(F.lit(1)).alias("n"))
-    counters = counters + [(f"n{i}", s.phenotype, None) for i, s in enumerate(specs)]
+    """All counters of a sample: values find theirs by a hash join, whatever their number, and are counted on the map side."""
+    counters = list(dict.fromkeys(counters + [(f"n{i}", s.phenotype, None) for i, s in enumerate(specs)]))
     wanted = local_table(
         rows.sparkSession, dict(zip(("counter", "_phenotype", "_text"), map(list, zip(*counters)))),
         dict.fromkeys(("counter", "_phenotype", "_text"), pa.string()))
     # A null text in the lookup stands for the total of the phenotype.
-    keyed = cells.withColumn("_key", F.explode(F.array_distinct(F.array("text", F.lit(None)))))
+    keyed = rows.withColumn("_key", F.explode(F.array_distinct(F.array("text", F.lit(None)))))
     hits = keyed.join(wanted, (F.col("phenotype") == F.col("_phenotype")) & F.col("_key").eqNullSafe(F.col("_text")))
     names = list(dict.fromkeys(c for c, _, _ in counters))
-    return hits.groupBy("sample_ID").pivot("counter", names).agg(F.sum("n")).na.fill(0)
+    return hits.groupBy("sample_ID").pivot("counter", names).agg(F.count(F.lit(1))).na.fill(0)
 
 
 def _most_frequent(counts: list[Column], codes: list) -> Column:
@@ -130,7 +114,7 @@ def _encoded(i: int, spec: CategoricalSpec, short_as_zero: bool) -> list[Column]
 
 def categorical_matrix(long: DataFrame, specs: Iterable[CategoricalSpec], roster: DataFrame | None = None,
                        short_as_zero: bool = False) -> DataFrame:
-    """Encode many phenotypes in one scan and one shuffle: (sample_ID, columns of each spec).
+    """Encode many phenotypes in one scan: (sample_ID, columns of each spec).
 
     A sample with fewer rows than `min_occurrences` gets null in all columns of the phenotype. With
     `short_as_zero` presence is 0 for it instead and the other encodings take its rows as they are.
@@ -142,9 +126,7 @@ def categorical_matrix(long: DataFrame, specs: Iterable[CategoricalSpec], roster
             specs[specs.index(spec)] = replace(spec, categories=found)
     rows = long.where(F.col("phenotype").isin(*[s.phenotype for s in specs]) & F.col("sample_ID").isNotNull()).select(
         "sample_ID", "phenotype", F.col("value").cast("string").alias("text"))
-    counters = _value_counters(specs)
-    count = _count_by_expressions if len(counters) <= MAX_EXPRESSIONS else _count_by_lookup
-    table = count(rows, specs, counters)
+    table = _count_by_lookup(rows, specs, _value_counters(specs))
     if roster is not None:
         table = roster.select("sample_ID").join(table, "sample_ID", "left")
     return table.select("sample_ID", *[c for i, s in enumerate(specs) for c in _encoded(i, s, short_as_zero)])

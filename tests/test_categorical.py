@@ -4,11 +4,6 @@ from conftest import by_sample
 from cohortweave.operators.categorical import CategoricalSpec, categorical, categorical_matrix_multi, list_categories
 
 
-@pytest.fixture(params=[64, -1], ids=["expressions", "lookup"], autouse=True)
-def either_count(request, monkeypatch):
-    monkeypatch.setattr("cohortweave.operators.categorical.MAX_EXPRESSIONS", request.param)
-
-
 @pytest.fixture
 def sex(long_of):
     rows = [("P1", "female"), ("P1", "female"), ("P1", "male"), ("P2", "male"), ("P3", "unknown"), (None, "male"), ("P3", None)]
@@ -62,3 +57,16 @@ def test_matrix_of_all_samples(sex):
     table = categorical_matrix_multi(sex, [
         CategoricalSpec("SEX", min_occurrences=3), CategoricalSpec("OTHER", dictionary={"male": 4}, min_occurrences=3)])
     assert sorted(map(tuple, table.collect())) == [("P1", 1, None), ("P2", 0, None), ("P3", 0, None), ("P9", None, 4)]
+
+
+def test_a_text_under_one_code_twice_counts_once(sex, everyone):
+    spec = CategoricalSpec("SEX", "S", dictionary={"male": 1, "female": 2, 7: 2, "7": 2})
+    assert by_sample(categorical(sex, spec, everyone)) == {"P1": 2, "P2": 1, "P3": None, "P4": None}
+    more = sex.union(sex.where("sample_ID = 'P3'").selectExpr("'P4'", "data_type", "phenotype", "'7'", "occurrence_date").limit(1))
+    assert by_sample(categorical(more, spec, everyone))["P4"] == 2
+
+
+def test_a_thousand_one_hot_columns(sex, everyone):
+    names = [f"c{i}" for i in range(999)] + ["male"]
+    row = categorical(sex, CategoricalSpec("SEX", "S", one_hot=True, categories=names), everyone).where("sample_ID = 'P1'").first()
+    assert len(row) == 1001 and row["S_male"] == 1 and sum(row[1:]) == 1
