@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortweave.runtime import quoted
+from cohortweave.runtime import listing_in_few_tasks, quoted
 
 # Range keys after the leading one, so that equal leading keys can be spread.
 _ROW_KEYS = ("sample_ID", "occurrence_date", "value")
@@ -68,5 +68,6 @@ def read_chunks(spark: SparkSession, path: str, schema: T.StructType, chunks: It
 
     `schema` is that of the written table. Chunk ids stay text: `007` is no number.
     """
-    df = spark.read.schema(schema).parquet(path)
+    with listing_in_few_tasks(spark):
+        df = spark.read.schema(schema).parquet(path)
     return df if chunks is None else df.where(F.col("chunk_id").isin(*chunks))
