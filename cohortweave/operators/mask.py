@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from cohortweave.functions.values import as_date, strip
 from cohortweave.operators.codes import dotted_children, match_codes, pattern_keys
-from cohortweave.runtime import local_table, quoted
+from cohortweave.runtime import local_table, quoted, settle
 
 log = logging.getLogger(__name__)
 
@@ -22,6 +22,9 @@ INTERVAL_COLUMNS = ("sample_ID", "event_type", "window_start", "window_end")
 # Runs of 2**22 days hold all dates.
 TOP_LEVEL = 22
 
+# Sizes of the runs of days that windows are filed under, as powers of two. Two of the last hold all days that a date can name.
+LEVELS = (4, 8, 12, 16, 20, 24, 28, 31)
+
 
 @dataclass(frozen=True)
 class EventDefinition:
@@ -134,24 +137,40 @@ def _nodes(start: Column, end: Column) -> Column:
     return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(TOP_LEVEL)), at)))
 
 
+def _places(start: Column, end: Column) -> Column:
+    """The one or two aligned runs of days that a window lies in: array of (level, node), the run having 2**level days.
+
+    The level is the smallest of LEVELS whose runs are no shorter than the window. Disjoint windows of a level are longer than
+    a sixteenth of its run (but for the lowest), so that at most some seventeen meet in a run.
+    """
+    length = F.date_diff(end, start) + 1
+    level = F.lit(LEVELS[-1])
+    for n in reversed(LEVELS[:-1]):
+        level = F.when(length <= 1 << n, n).otherwise(level)
+    run = lambda day: F.struct(level.alias("level"), F.call_function("shiftright", F.unix_date(day), level).alias("node"))
+    return F.array_distinct(F.array(run(start), run(end)))
+
+
 def _outside(long: DataFrame, windows: DataFrame, extra: Callable[[Column], Column] | None = None) -> DataFrame:
     """Rows of `long` in no window of their sample; `extra` tests a row against the event types of the windows on its day.
 
-    Windows are taken apart into aligned runs of days and the distinct (sample, day) pairs into the runs they lie in, of the
-    sizes that occur; they meet by equality, so a lifelong window costs some twenty rows and the days of a huge sample
-    spread. The rows then meet the masked days by equality.
+    A window is filed under the runs of days it lies in, two rows at most whatever its length, and the distinct (sample, day) pairs
+    are looked up in the runs of the sizes that occur; they meet by equality and are then compared, so the days of a huge sample
+    spread. The rows then meet the masked days by equality. The filed windows are written once, as the sizes are asked of them first.
     """
     types = F.col("event_type") if "event_type" in windows.columns else F.lit("")
-    nodes = windows.select(F.col("sample_ID").alias("_s"), types.alias("_type"), F.inline(_nodes(F.col("window_start"), F.col("window_end"))))
-    levels = nodes.agg(F.collect_set("level").alias("levels")).scalar()
+    filed = settle(windows.select(
+        F.col("sample_ID").alias("_s"), types.alias("_type"), F.col("window_start").alias("_from"), F.col("window_end").alias("_to"),
+        F.inline(_places(F.col("window_start"), F.col("window_end")))))
+    levels = filed.agg(F.collect_set("level").alias("levels")).scalar()
     left = long.withColumn("_day", as_date(long, "occurrence_date"))
     days = left.where("_day IS NOT NULL AND sample_ID IS NOT NULL").select(F.col("sample_ID").alias("_s"), "_day").distinct()
     place = lambda n: F.struct(n.alias("level"), F.call_function("shiftright", F.unix_date("_day"), n).alias("node"))
-    hits = days.withColumn("_levels", levels).select("_s", "_day", F.inline(F.transform("_levels", place))).join(nodes, ["_s", "level", "node"])
-    hits = hits.groupBy("_s", F.col("_day").alias("_hit")).agg(F.collect_set("_type").alias("_types"))
+    near = days.withColumn("_levels", levels).select("_s", "_day", F.inline(F.transform("_levels", place))).join(filed, ["_s", "level", "node"])
+    hits = near.where("_day BETWEEN _from AND _to").select("_s", F.col("_day").alias("_hit"), "_type").distinct()
     inside = (F.col("sample_ID") == F.col("_s")) & (F.col("_day") == F.col("_hit"))
     if extra is not None:
-        inside = inside & extra(F.col("_types"))
+        inside = inside & extra(F.array("_type"))
     return left.join(hits, inside, "left_anti").drop("_day")
 
 
